@@ -10,6 +10,7 @@ from ..fixtures import Fixtures
 from ..operators import cohort as co
 from ..operators.distribution import Distribution
 from ..operators.graph import build_crosswalk, dose_form_groups
+from ..operators.survey import survey_reference
 from ..session import apply_defaults
 from ..settings import ClassQuery, ModuleSettings
 
@@ -70,8 +71,23 @@ class Context:
         return co.cohort_ndc_rows(self.spark, self.fx.crosswalk, cohorts, self.dose_form_map,
                                   self.fx.class_members)
 
+    @cached_property
+    def reference(self) -> DataFrame:
+        return survey_reference(self.fx.prescription, self.fx.demographics)
+
     # -- distributions -----------------------------------------------------------
     def distribution(self, ndc_rows: DataFrame | None = None, **flags) -> Distribution:
         return Distribution(self.fx.prescription, self.fx.demographics,
                             self.all_ndc_rows() if ndc_rows is None else ndc_rows,
                             self.fx.region_states, **flags)
+
+
+# The module of the population comparison: age bands only, one band.
+PEDIATRIC_BANDS = ("0-5",)
+# Dose-form filters applied to the built crosswalk.
+FORM_FILTER = ModuleSettings(module_name="forms", rxcui_include=("any",),
+                             dose_form_filter=("SMALL", "ASIA Product"))
+TTY_FILTER = ModuleSettings(module_name="forms", rxcui_include=("any",), ingredient_tty_filter="MIN")
+# Class queries resolved by the class membership query.
+CLASS_QUERIES = (ClassQuery("ECONOMY", "ATC"), ClassQuery("EPC-SMALL", "has_EPC"),
+                 ClassQuery("PROMO", "ATC"), ClassQuery("EPC-LARGE", "has_MoA"))

@@ -10,8 +10,22 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .context import Context
+from .. import functions as fn
+from ..operators import cohort as co
+from ..operators import dosage, graph, lookup, states, survey, validation
+from ..session import scratch_path
+from ..settings import DEFAULT_AGE_RANGES, ModuleSettings
+from ..sources import delimited, profile, sinks
+from ..sources import dimensions as dims
+from ..sources import fixed_width as fw
+from ..sources.class_members import class_query_table, resolve_class_members
+from ..streaming import incremental
+from .context import ALL, CLASS_QUERIES, COHORTS, FORM_FILTER, PEDIATRIC_BANDS, TTY_FILTER, Context
+
+ALL_MODULE = ModuleSettings(module_name=ALL, rxcui_include=("*",))
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -61,3 +75,398 @@ def product_distribution_all(ctx: Context) -> DataFrame:
 @query
 def product_distribution_noflags(ctx: Context) -> DataFrame:
     return _single(ctx.distribution(age=False, gender=False, state=False).product())
+
+
+@query
+def weighted_person_count(ctx: Context) -> DataFrame:
+    """Distinct persons per (ingredient, id, weight, demographics), times weight."""
+    return _single(ctx.distribution(product_level=False).weighted_person_count())
+
+
+@query
+def ingredient_rollup(ctx: Context) -> DataFrame:
+    return _single(ctx.distribution(product_level=False).ingredient_rollup())
+
+
+@query
+def product_rollup(ctx: Context) -> DataFrame:
+    return _single(ctx.distribution().product_rollup())
+
+
+@query
+def validation_distribution(ctx: Context) -> DataFrame:
+    return _single(ctx.distribution().validation())
+
+
+@query
+def multi_cohort_distribution(ctx: Context) -> DataFrame:
+    """Three modules (ids, classes, filters) in one job, keyed by cohort."""
+    return ctx.distribution(ctx.module_ndc_rows(), product_level=False).ingredient()
+
+
+# -- C12: lookup tables ------------------------------------------------------
+
+@query
+def lookup_long(ctx: Context) -> DataFrame:
+    return _single(lookup.lookup_long(ctx.distribution()))
+
+
+def _wide(ctx: Context, table: str, **flags) -> DataFrame:
+    dist = ctx.distribution(**flags)
+    long = lookup.lookup_long(dist)
+    return lookup.lookup_wide(long, dist.demos, F.col("lookup_table") == F.lit(table))
+
+
+@query
+def lookup_wide_ingredient(ctx: Context) -> DataFrame:
+    return _wide(ctx, "all_medications_ingredient_distribution.csv")
+
+
+@query
+def lookup_wide_product(ctx: Context) -> DataFrame:
+    """The product table of one ingredient (a wide table per lookup file)."""
+    return _wide(ctx, "all_medications_combo_0_product_distribution.csv")
+
+
+@query
+def lookup_wide_noflags(ctx: Context) -> DataFrame:
+    return _wide(ctx, "all_medications_ingredient_distribution.csv", age=False, gender=False, state=False)
+
+
+@query
+def lookup_csv_roundtrip(ctx: Context) -> DataFrame:
+    """Write the long lookup as CSV folders per module and table, read back."""
+    path = scratch_path(ctx.spark, "lookup-csv")
+    long = lookup.lookup_long(ctx.distribution())
+    sinks.write_lookup_long(long, path)
+    schema = T.StructType([
+        T.StructField("age", T.StringType()), T.StructField("gender", T.StringType()),
+        T.StructField("state", T.StringType()), T.StructField("transition", T.StringType()),
+        T.StructField("probability", T.DoubleType()), T.StructField("cohort", T.StringType()),
+        T.StructField("lookup_table", T.StringType())])
+    return _single(sinks.read_csv(ctx.spark, path, schema))
+
+
+# -- C1 / C2 / J1: concept graph -------------------------------------------
+
+@query
+def build_crosswalk(ctx: Context) -> DataFrame:
+    return ctx.built_crosswalk
+
+
+@query
+def typed_path_2hop(ctx: Context) -> DataFrame:
+    return graph.traverse(ctx.fx.rxnconso, ctx.fx.rxnrel, "IN", ("ingredient_of", "constitutes"), "SCD")
+
+
+@query
+def typed_path_4hop(ctx: Context) -> DataFrame:
+    return graph.traverse(ctx.fx.rxnconso, ctx.fx.rxnrel, "IN",
+                          ("ingredient_of", "constitutes", "contained_in", "has_tradename"), "BPCK")
+
+
+@query
+def dose_form_groups(ctx: Context) -> DataFrame:
+    return ctx.dose_form_map
+
+
+# -- C5 - C7: cohorts -------------------------------------------------------------
+
+def _ids(ctx: Context) -> DataFrame:
+    return co.cohort_ingredient_ids(ctx.spark, COHORTS, ctx.fx.class_members)
+
+
+@query
+def cohort_include_exclude(ctx: Context) -> DataFrame:
+    """(cohort, rxcui): class members and ids to include, minus exclusions."""
+    return _ids(ctx)
+
+
+@query
+def match_either_key(ctx: Context) -> DataFrame:
+    return co.match_either_key(ctx.fx.crosswalk, _ids(ctx))
+
+
+@query
+def distinct_products(ctx: Context) -> DataFrame:
+    return co.distinct_products(co.match_either_key(ctx.fx.crosswalk, _ids(ctx)))
+
+
+@query
+def expand_by_product(ctx: Context) -> DataFrame:
+    return co.expand_by_product(ctx.fx.crosswalk, co.match_either_key(ctx.fx.crosswalk, _ids(ctx)))
+
+
+@query
+def resolve_one_per_key(ctx: Context) -> DataFrame:
+    matched = co.match_either_key(ctx.fx.crosswalk, _ids(ctx))
+    return co.resolve_one_per_ndc(co.expand_by_product(ctx.fx.crosswalk, matched))
+
+
+@query
+def resolve_then_filter(ctx: Context) -> DataFrame:
+    return ctx.module_ndc_rows()
+
+
+@query
+def filter_group_include(ctx: Context) -> DataFrame:
+    rows = co.whole_crosswalk(ctx.built_crosswalk, FORM_FILTER.module_name)
+    return _single(co.filter_by_dose_form(rows, [FORM_FILTER], ctx.dose_form_map, "include"))
+
+
+@query
+def filter_group_exclude(ctx: Context) -> DataFrame:
+    rows = co.whole_crosswalk(ctx.built_crosswalk, FORM_FILTER.module_name)
+    return _single(co.filter_by_dose_form(rows, [FORM_FILTER], ctx.dose_form_map, "exclude"))
+
+
+@query
+def filter_term_type(ctx: Context) -> DataFrame:
+    rows = co.whole_crosswalk(ctx.built_crosswalk, TTY_FILTER.module_name)
+    return _single(co.filter_by_ingredient_tty(rows, [TTY_FILTER]))
+
+
+@query
+def class_members(ctx: Context) -> DataFrame:
+    queries = class_query_table(ctx.spark, [("classes", q.class_id, q.relationship) for q in CLASS_QUERIES])
+    return _single(resolve_class_members(queries, ctx.fx.class_members))
+
+
+@query
+def match_counts(ctx: Context) -> DataFrame:
+    """Package codes left after each step of the cohort chain, per module."""
+    matched = co.match_either_key(ctx.fx.crosswalk, _ids(ctx))
+    expanded = co.expand_by_product(ctx.fx.crosswalk, matched)
+    resolved = co.resolve_one_per_ndc(expanded)
+    return profile.match_counts({"matched": matched, "expanded": expanded, "resolved": resolved,
+                                 "filtered": ctx.module_ndc_rows()})
+
+
+@query
+def product_pairs(ctx: Context) -> DataFrame:
+    """(product name, product id) pairs of the survey join, with row counts."""
+    rows = survey.survey_join(ctx.reference, ctx.all_ndc_rows())
+    return rows.groupBy("medication_product_name", "medication_product_rxcui").agg(
+        F.count(F.lit(1)).alias("count"))
+
+
+# -- C3 / C8 / J7 / J8: survey ------------------------------------------------------
+
+@query
+def survey_reference(ctx: Context) -> DataFrame:
+    return ctx.reference
+
+
+@query
+def survey_join(ctx: Context) -> DataFrame:
+    return _single(survey.survey_join(ctx.reference, ctx.all_ndc_rows()))
+
+
+@query
+def decode_gender(ctx: Context) -> DataFrame:
+    d = ctx.fx.demographics
+    return d.select("DUPERSID", "SEX", fn.decode_gender("SEX").alias("gender"))
+
+
+@query
+def age_band_expand(ctx: Context) -> DataFrame:
+    """Bands expanded to single ages, equi-joined to the persons' ages."""
+    ages = dims.age_band_values(ctx.spark, DEFAULT_AGE_RANGES)
+    d = ctx.fx.demographics.select("DUPERSID", "AGELAST")
+    return d.join(F.broadcast(ages), d["AGELAST"] == ages["age_values"]).select("DUPERSID", "AGELAST", "age")
+
+
+@query
+def age_band_join(ctx: Context) -> DataFrame:
+    ref = ctx.reference.select("DUPERSID", "RXNDC", "AGELAST")
+    return dims.with_age_bands(ref, "AGELAST", DEFAULT_AGE_RANGES)
+
+
+@query
+def region_fanout(ctx: Context) -> DataFrame:
+    ref = ctx.reference.select("DUPERSID", "RXNDC", "region_num")
+    states = ctx.fx.region_states
+    return ref.join(states, ref["region_num"] == states["region_value"]).select(
+        "DUPERSID", "RXNDC", "region_num", "state")
+
+
+@query
+def region_states(ctx: Context) -> DataFrame:
+    """The nested region -> states form, exploded to long form."""
+    nested = ctx.fx.region_states.groupBy("region_value").agg(F.collect_list("state").alias("states"))
+    return dims.explode_states(nested)
+
+
+# -- scalar functions ------------------------------------------------------------------
+
+@query
+def text_to_int_prefix(ctx: Context) -> DataFrame:
+    t = ctx.fx.t
+    texts = (t.lineitem.select(F.lit("quantity").alias("source"), F.col("l_quantity").cast("string").alias("text"))
+             .unionByName(t.customer.select(F.lit("balance").alias("source"), F.col("c_acctbal").cast("string").alias("text")))
+             .unionByName(t.part.select(F.lit("name").alias("source"), F.col("p_name").alias("text")))
+             .unionByName(t.events.select(F.lit("props").alias("source"), F.col("props").alias("text"))))
+    return texts.distinct().select("source", "text", fn.text_to_int_prefix("text").alias("value"))
+
+
+@query
+def normalize_camel(ctx: Context) -> DataFrame:
+    p = ctx.fx.t.part
+    name = F.concat("p_brand", F.lit(" / "), "p_name")
+    return p.select("p_partkey", name.alias("name"), fn.normalize_name(name).alias("normalized"))
+
+
+@query
+def normalize_lower(ctx: Context) -> DataFrame:
+    p = ctx.fx.t.pages
+    return p.select("page_id", "url", fn.normalize_name("url", "lower").alias("normalized"))
+
+
+@query
+def normalize_upper_spaces(ctx: Context) -> DataFrame:
+    d = ctx.fx.t.documents
+    return d.select("doc_id", "source", fn.normalize_name("source", "upper", spaces=True).alias("normalized"))
+
+
+@query
+def json_key_values(ctx: Context) -> DataFrame:
+    e = ctx.fx.t.events
+    return e.select("event_id", F.explode(fn.json_key_values("props", "k")).alias("value"))
+
+
+# -- C4 / C17: dosage ----------------------------------------------------------------------
+
+@query
+def rx_quantity_days(ctx: Context) -> DataFrame:
+    return dosage.rx_quantity_days(ctx.fx.prescription, ctx.fx.crosswalk)
+
+
+@query
+def dosage_instructions(ctx: Context) -> DataFrame:
+    return dosage.dosage_instructions(dosage.rx_quantity_days(ctx.fx.prescription, ctx.fx.crosswalk))
+
+
+# -- C18 - C20: second population ---------------------------------------------------------
+
+def _chosen(ctx: Context) -> DataFrame:
+    rows = ctx.all_ndc_rows()
+    return rows.select("cohort", fn.normalize_name("medication_product_name").alias("medication_product_name"),
+                       F.col("medication_ndc").cast("bigint").alias("code"))
+
+
+def _observed(ctx: Context) -> DataFrame:
+    return validation.observed_distribution(ctx.fx.medications, ctx.fx.patients, _chosen(ctx))
+
+
+def _expected(ctx: Context) -> DataFrame:
+    dist = ctx.distribution(gender=False, state=False, bands=PEDIATRIC_BANDS)
+    return validation.expected_counts(dist.validation(), _observed(ctx), PEDIATRIC_BANDS[0])
+
+
+@query
+def observed_distribution(ctx: Context) -> DataFrame:
+    return _single(_observed(ctx))
+
+
+@query
+def expected_counts(ctx: Context) -> DataFrame:
+    return _single(_expected(ctx))
+
+
+@query
+def chi_square(ctx: Context) -> DataFrame:
+    return _single(validation.chi_square(_observed(ctx), _expected(ctx)))
+
+
+# -- C14 - C16: states and documents -------------------------------------------------------
+
+@query
+def transitions(ctx: Context) -> DataFrame:
+    return _single(states.transitions(ctx.distribution()))
+
+
+@query
+def rollup_remarks(ctx: Context) -> DataFrame:
+    return _single(states.rollup_remarks(ctx.distribution()))
+
+
+@query
+def order_states(ctx: Context) -> DataFrame:
+    rows = survey.survey_join(ctx.reference, ctx.all_ndc_rows())
+    return _single(states.order_states(rows, [ALL_MODULE]))
+
+
+@query
+def module_documents(ctx: Context) -> DataFrame:
+    """One JSON document per module, three modules in one job."""
+    ndc = ctx.module_ndc_rows()
+    dist = ctx.distribution(ndc)
+    rows = survey.survey_join(ctx.reference, ndc)
+    return states.module_documents(dist, rows, list(COHORTS))
+
+
+# -- sources and sinks ------------------------------------------------------------------------
+
+@query
+def scan_pipe_delimited(ctx: Context) -> DataFrame:
+    """Vocabulary nodes staged as a pipe file in the full layout, read back."""
+    path = scratch_path(ctx.spark, "rxnconso")
+    n = ctx.fx.rxnconso
+    full = n.select(*[
+        (F.col({"RXCUI": "rxcui", "SAB": "sab", "TTY": "tty", "STR": "str"}[c])
+         if c in ("RXCUI", "SAB", "TTY", "STR") else F.lit("")).alias(c)
+        for c in delimited.RXNCONSO_COLUMNS[:-1]])
+    delimited.write_pipe(full, path)
+    back = delimited.read_pipe(ctx.spark, path, delimited.RXNCONSO_COLUMNS)
+    return back.select(F.col("RXCUI").alias("rxcui"), F.col("SAB").alias("sab"),
+                       F.col("TTY").alias("tty"), F.col("STR").alias("str"))
+
+
+@query
+def scan_fixed_width(ctx: Context) -> DataFrame:
+    """Prescriptions staged in the 66-field fixed-width layout, read back."""
+    path = scratch_path(ctx.spark, "rx-fixed")
+    fw.format_fixed_width(ctx.fx.prescription, fw.PRESCRIPTION_SPECS, 610).write.mode("overwrite").text(path)
+    back = fw.read_fixed_width(ctx.spark, path, fw.PRESCRIPTION_SPECS)
+    return back.select("DUPERSID", "RXNDC", "RXQUANTY", "RXDAYSUP")
+
+
+@query
+def scan_fixed_width_pruned(ctx: Context) -> DataFrame:
+    """Persons staged at their positions in a 4 332-wide line; five fields
+    read, year digits stripped from the names."""
+    path = scratch_path(ctx.spark, "person-fixed")
+    d = ctx.fx.demographics.select(
+        "DUPERSID", F.col("PERWTF").alias("PERWT18F"), F.col("REGION").alias("REGION18"), "SEX", "AGELAST")
+    fw.format_fixed_width(d, fw.PERSON_SPECS, 4332).write.mode("overwrite").text(path)
+    return fw.read_person_file(ctx.spark, path)
+
+
+@query
+def scan_tsv_cp1252(ctx: Context) -> DataFrame:
+    """A directory-style table staged as Windows-1252 TSV with header, read back."""
+    path = scratch_path(ctx.spark, "part-tsv")
+    part = ctx.fx.t.part
+    delimited.write_tsv(part, path)
+    back = delimited.read_tsv(ctx.spark, path)
+    return back.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in part.schema.fields])
+
+
+@query
+def incremental_match(ctx: Context) -> DataFrame:
+    """Order files ingested as a stream, joined to the chosen products."""
+    src = scratch_path(ctx.spark, "orders-in")
+    ctx.fx.medications.repartition(6).write.mode("overwrite").option("header", True).csv(src)
+    chosen = _chosen(ctx).select("medication_product_name", "code").distinct()
+    out = incremental.run_order_ingest(ctx.spark, src, chosen, scratch_path(ctx.spark, "orders-out"),
+                                       scratch_path(ctx.spark, "orders-ckpt"))
+    return out.select("START", "PATIENT", "CODE", "medication_product_name")
+
+
+@query
+def table_row_counts(ctx: Context) -> DataFrame:
+    fx = ctx.fx
+    return profile.table_row_counts({
+        "demographics": fx.demographics, "prescription": fx.prescription, "crosswalk": fx.crosswalk,
+        "rxnconso": fx.rxnconso, "rxnrel": fx.rxnrel, "rxnsat": fx.rxnsat,
+        "region_states": fx.region_states})
