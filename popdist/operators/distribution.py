@@ -8,9 +8,10 @@ For a set of cohorts sharing one demographic profile (flags and bands):
   rounded half-even to 3 places, 0 when the total is 0.
 
 Plan shape: prescriptions -> packages (broadcast by AQE when small) ->
-distinct person items (map-side partial aggregate) -> join persons on the
-person id -> the second distinct reuses that partitioning (no exchange) ->
-sums by (item, demographics) are tiny.  Everything is computed at region
+distinct person items (map-side partial aggregate, so repeated fills never
+cross the network) -> join persons on the person id -> the second distinct
+reuses that partitioning (no exchange) -> sums by (item, demographics) are
+tiny.  Everything is computed at region
 level and fanned out to states at the very end: every state has one region,
 so X(i, a, g, state) = X(i, a, g, region(state)) and the fan-out only
 multiplies the final, aggregated rows.
@@ -20,7 +21,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import share
@@ -36,11 +37,11 @@ PROD_ID = "medication_product_rxcui"
 def with_group_total(df: DataFrame, keys: list[str], value: str, total: str) -> DataFrame:
     """Add the sum of ``value`` over ``keys`` to every row.
 
-    An aggregate joined back on its keys: the aggregate is partial on the
-    map side and the join is an equi-join, so no group is ever gathered into
-    one task (with no demographic keys the key is just the cohort)."""
-    totals = df.groupBy(*keys).agg(F.sum(value).alias(total))
-    return df.join(totals, keys)
+    Used only on aggregated rows (one per item and group), so a window
+    partition holds the items of one group -- a list bounded by the
+    vocabulary, not by the survey.  A window keeps one lineage; joining an
+    aggregate back to its own input would plan the whole input twice."""
+    return df.withColumn(total, F.sum(value).over(Window.partitionBy(*keys)))
 
 
 class Distribution:
