@@ -89,6 +89,24 @@ class Distribution:
         items = person_items(self.prescription, self.ndc_rows, product=self.product_level)
         return items.join(self.people.select("DUPERSID", "person_weight", *self.rdemos), "DUPERSID")
 
+    def materialize(self) -> "Distribution":
+        """Cut lineage for a build that derives many outputs: the distinct
+        (person, item, weight, demographics) rows are checkpointed to the
+        shared checkpoint folder (they keep their person-id partitioning),
+        then the two region-level aggregates -- both small -- are
+        checkpointed too.  Every later output reads those, so a lost
+        executor never re-runs the survey joins."""
+        from ..session import cut_lineage
+
+        cols = ["cohort", ING, ING_ID, "person_weight", "DUPERSID", *self.rdemos]
+        if self.product_level:
+            cols[3:3] = [PROD, PROD_ID]
+        self.__dict__["joined"] = cut_lineage(self.joined.select(*cols).distinct())
+        self.__dict__["ingredient_region"] = cut_lineage(self.ingredient_region)
+        if self.product_level:
+            self.__dict__["product_region"] = cut_lineage(self.product_region)
+        return self
+
     # -- ingredient level --------------------------------------------------------
     @cached_property
     def ingredient_weights(self) -> DataFrame:

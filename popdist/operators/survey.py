@@ -56,7 +56,8 @@ def demographic_persons(demographics: DataFrame, region_states: DataFrame, *, ag
     if age:
         p = with_age_bands(p, "AGELAST", bands)
     if state:
-        regions = region_states.select(F.col("region_value").alias("region_num")).distinct()
+        # a semi join needs no distinct on its right side
+        regions = region_states.select(F.col("region_value").alias("region_num"))
         p = p.join(regions, "region_num", "left_semi")
     return p
 

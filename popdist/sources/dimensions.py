@@ -70,8 +70,8 @@ def with_age_bands(df: DataFrame, age_col: str, bands, out: str = "age") -> Data
     is a generator over a literal array -- no shuffle, no broadcast, stays in
     whole-stage codegen."""
     age = F.col(age_col).cast("int")
-    hits = F.filter(band_array(bands), lambda b: (age >= b["lo"]) & (age <= b["hi"]))
-    return df.withColumn(out, F.explode(F.transform(hits, lambda b: b["age"])))
+    hits = F.array(*[F.when((age >= lo) & (age <= hi), F.lit(name)) for name, lo, hi in band_bounds(bands)])
+    return df.withColumn(out, F.explode(F.array_compact(hits)))
 
 
 def age_band_values(spark: SparkSession, bands) -> DataFrame:
