@@ -39,3 +39,11 @@ def write_lines(lines: DataFrame, column: str, path: str) -> None:
 def write_table(df: DataFrame, path: str) -> None:
     """Materialise an intermediate result as Parquet (replace)."""
     df.write.mode("overwrite").parquet(path)
+
+
+def table_once(spark: SparkSession, name: str, build) -> DataFrame:
+    """Load-if-absent: build and save the table only when the catalog does
+    not have it yet, then read it (the existence check guards each load)."""
+    if not spark.catalog.tableExists(name):
+        build().write.mode("overwrite").format("parquet").saveAsTable(name)
+    return spark.table(name)
