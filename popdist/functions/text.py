@@ -25,7 +25,7 @@ def title_case(c: ColumnOrName) -> Column:
     another character, ``initcap`` cases the words, and the spaces are
     taken out again.  Plain expressions (no lambdas), so identical plans
     stay identical and Spark can reuse their shuffles."""
-    spaced = F.regexp_replace(_col(c), "([^A-Za-z])([A-Za-z])", "$1 $2")
+    spaced = F.regexp_replace(_col(c), r"(\P{Alpha})(\p{Alpha})", "$1 $2")
     return F.regexp_replace(F.initcap(spaced), " ", "")
 
 
@@ -37,8 +37,11 @@ def normalize_name(c: ColumnOrName, case: str = "camel", spaces: bool = False) -
     then the case is set: ``lower``, ``upper`` or ``camel`` (title case);
     any other value keeps the case.  ``spaces`` turns ``_`` into spaces.
     """
-    out = F.regexp_replace(_col(c), "[^a-zA-Z0-9]", "_")
-    out = F.regexp_replace(out, "_{2,}", "_")
+    # One pass for "non-alphanumeric -> _" and "collapse runs of _": a run
+    # of non-alphanumeric characters (underscores included) becomes one _.
+    # \P{Alnum} is the POSIX (ASCII) class, the same set as [^a-zA-Z0-9],
+    # and much faster in Java's regex engine.
+    out = F.regexp_replace(_col(c), r"\P{Alnum}+", "_")
     out = F.regexp_replace(out, "_$", "")
     if case == "lower":
         out = F.lower(out)

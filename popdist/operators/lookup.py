@@ -23,22 +23,24 @@ def transition_name(prefix: str, name: Column | str) -> Column:
 
 def lookup_long(dist: Distribution, app: AppSettings = AppSettings()) -> DataFrame:
     """(cohort, lookup_table, demographics..., transition, probability)
-    for the ingredient table and every product table of every module."""
-    demos = dist.demos
-    ing = dist.fan_out(dist.ingredient_region).select(
+    for the ingredient table and every product table of every module.
+    Table and transition names are computed on the region-level rows,
+    before the fan-out to states multiplies them."""
+    ing = dist.ingredient_region.select(
         "cohort",
         table_name(F.col("cohort"), F.lit(app.ingredient_distribution_suffix)).alias("lookup_table"),
-        *demos,
+        *dist.rdemos,
         transition_name(app.state_prefix, ING).alias("transition"),
         F.col("percent").alias("probability"))
-    prod = dist.fan_out(dist.product_region).select(
+    prod = dist.product_region.select(
         "cohort",
         table_name(F.col("cohort"), F.lit("_"), F.col(ING),
                    F.lit(app.product_distribution_suffix)).alias("lookup_table"),
-        *demos,
+        *dist.rdemos,
         transition_name(app.state_prefix, PROD).alias("transition"),
         F.col("percent").alias("probability"))
-    return ing.unionByName(prod)
+    cols = ["cohort", "lookup_table", *dist.demos, "transition", "probability"]
+    return dist.fan_out(ing).select(*cols).unionByName(dist.fan_out(prod).select(*cols))
 
 
 def lookup_wide(long: DataFrame, demos: list[str], lookup_table: Column | None = None,
