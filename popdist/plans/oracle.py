@@ -577,3 +577,14 @@ def row_counts_sql() -> str:
     names = ("demographics", "prescription", "crosswalk", "rxnconso", "rxnrel", "rxnsat", "region_states")
     sel = "\nUNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS row_count FROM fx_{n}" for n in names)
     return with_(*SURVEY, *GRAPH) + sel
+
+
+def unmatched_classes_sql(queries) -> str:
+    from ..sources.class_members import RELATION_SOURCE, SINGLE_RELATION_SOURCES
+    rows = ", ".join(
+        f"({q(c.class_id)}, {q(c.relationship)}, {q(RELATION_SOURCE[c.relationship])}, "
+        f"{'NULL' if c.relationship in SINGLE_RELATION_SOURCES else q(c.relationship)})" for c in queries)
+    return with_(FX_CLASS_MEMBERS) + f"""SELECT v.class_id, v.relationship, v.rela_source
+FROM (VALUES {rows}) v(class_id, relationship, rela_source, rela)
+WHERE NOT EXISTS (SELECT 1 FROM fx_class_members m WHERE m.class_id = v.class_id
+  AND m.rela_source = v.rela_source AND (v.rela IS NULL OR m.rela = v.rela))"""

@@ -44,6 +44,7 @@ ORACLES: dict[str, str] = {
     "filter_group_exclude": o.form_filter_sql(FORM_FILTER.dose_form_filter, "exclude"),
     "filter_term_type": o.term_type_sql(TTY_FILTER.ingredient_tty_filter),
     "class_members": o.class_members_sql(CLASS_QUERIES),
+    "class_queries_unmatched": o.unmatched_classes_sql(CLASS_QUERIES),
     "match_counts": o.match_counts_sql(COHORTS),
     "product_pairs": o.product_pairs_sql(),
     # survey
@@ -86,4 +87,6 @@ WHERE json_extract(props, '$.k') IS NOT NULL""",
     "scan_tsv_cp1252": "SELECT * FROM part",
     "incremental_match": o.incremental_sql(),
     "table_row_counts": o.row_counts_sql(),
+    "scan_csv_columns": """SELECT CAST(l_shipdate AS DATE) AS START, CAST(o_custkey AS VARCHAR) AS PATIENT,
+  l_partkey AS CODE FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
 }

@@ -21,7 +21,7 @@ from ..settings import DEFAULT_AGE_RANGES, ModuleSettings
 from ..sources import delimited, profile, sinks
 from ..sources import dimensions as dims
 from ..sources import fixed_width as fw
-from ..sources.class_members import class_query_table, resolve_class_members
+from ..sources.class_members import class_query_table, resolve_class_members, unmatched_class_queries
 from ..streaming import incremental
 from .context import ALL, CLASS_QUERIES, COHORTS, FORM_FILTER, PEDIATRIC_BANDS, TTY_FILTER, Context
 
@@ -470,3 +470,26 @@ def table_row_counts(ctx: Context) -> DataFrame:
         "demographics": fx.demographics, "prescription": fx.prescription, "crosswalk": fx.crosswalk,
         "rxnconso": fx.rxnconso, "rxnrel": fx.rxnrel, "rxnsat": fx.rxnsat,
         "region_states": fx.region_states})
+
+
+@query
+def scan_csv_columns(ctx: Context) -> DataFrame:
+    """A medication-order CSV with more columns than used, read with its
+    schema and only the three used columns kept (the order-file reader)."""
+    path = scratch_path(ctx.spark, "orders-csv")
+    t = ctx.fx.t
+    li, o = t.lineitem, t.orders
+    wide = li.join(o, li.l_orderkey == o.o_orderkey).select(
+        F.to_date("l_shipdate").alias("START"), F.to_date("o_orderdate").alias("STOP"),
+        F.col("o_custkey").cast("string").alias("PATIENT"), F.col("l_suppkey").cast("string").alias("PAYER"),
+        F.col("l_partkey").cast("bigint").alias("CODE"), F.col("l_extendedprice").alias("BASE_COST"))
+    wide.write.mode("overwrite").option("header", True).csv(path)
+    return delimited.read_csv_columns(ctx.spark, path, wide.schema, ["START", "PATIENT", "CODE"])
+
+
+@query
+def class_queries_unmatched(ctx: Context) -> DataFrame:
+    """Class queries that found no member, reported instead of silently empty."""
+    queries = class_query_table(ctx.spark, [("classes", q.class_id, q.relationship) for q in CLASS_QUERIES])
+    return _single(unmatched_class_queries(queries, ctx.fx.class_members)).select(
+        "class_id", "relationship", "rela_source")
