@@ -7,6 +7,10 @@ For a set of cohorts sharing one demographic profile (flags and bands):
 * shares are X over the sum of X in d (Y over the sum of Y in (i, d)),
   rounded half-even to 3 places, 0 when the total is 0.
 
+Sums keep the weight's type: integer weights sum exactly as bigint, survey
+weights read as decimal(18, 6) sum exactly as decimal, so the result does
+not depend on the order of the partial sums.
+
 Plan shape: prescriptions -> packages (broadcast by AQE when small) ->
 distinct person items (map-side partial aggregate, so repeated fills never
 cross the network) -> join persons on the person id -> the second distinct
@@ -114,13 +118,12 @@ class Distribution:
         distinct = self.joined.select("cohort", ING, ING_ID, "person_weight", "DUPERSID",
                                       *self.rdemos).distinct()
         return distinct.groupBy("cohort", ING, *self.rdemos).agg(
-            F.sum("person_weight").cast("bigint").alias("weighted"))
+            F.sum("person_weight").alias("weighted"))
 
     @cached_property
     def ingredient_region(self) -> DataFrame:
         t = with_group_total(self.ingredient_weights, ["cohort", *self.rdemos], "weighted", "total")
-        return t.withColumn("total", F.col("total").cast("bigint")).withColumn(
-            "percent", share("weighted", "total"))
+        return t.withColumn("percent", share("weighted", "total"))
 
     def ingredient(self) -> DataFrame:
         """P(ingredient | demographics)."""
@@ -133,7 +136,7 @@ class Distribution:
         counted = (self.joined.groupBy("cohort", ING, ING_ID, "person_weight", *self.rdemos)
                    .agg(F.countDistinct("DUPERSID").alias("patient_count")))
         counted = counted.withColumn(
-            "weighted_patient_count", (F.col("person_weight") * F.col("patient_count")).cast("bigint"))
+            "weighted_patient_count", F.col("person_weight") * F.col("patient_count"))
         return self.fan_out(counted).select(
             "cohort", ING, ING_ID, "person_weight", *self.demos, "patient_count",
             "weighted_patient_count")
@@ -146,13 +149,12 @@ class Distribution:
         distinct = self.joined.select("cohort", PROD, PROD_ID, ING, ING_ID, "person_weight",
                                       "DUPERSID", *self.rdemos).distinct()
         return distinct.groupBy("cohort", PROD, ING, *self.rdemos).agg(
-            F.sum("person_weight").cast("bigint").alias("weighted"))
+            F.sum("person_weight").alias("weighted"))
 
     @cached_property
     def product_region(self) -> DataFrame:
         t = with_group_total(self.product_weights, ["cohort", ING, *self.rdemos], "weighted", "total")
-        return t.withColumn("total", F.col("total").cast("bigint")).withColumn(
-            "percent", share("weighted", "total"))
+        return t.withColumn("percent", share("weighted", "total"))
 
     def product(self) -> DataFrame:
         """P(product | ingredient, demographics), every ingredient at once."""
@@ -174,14 +176,13 @@ class Distribution:
                 F.col("percent").alias("percent_ingredient_patients"),
                 F.col("percent").alias("agg_percent_ingredient_patients")).distinct()
         r = (x.select("cohort", ING, "weighted").distinct()
-             .groupBy("cohort", ING).agg(F.sum("weighted").cast("bigint").alias(
+             .groupBy("cohort", ING).agg(F.sum("weighted").alias(
                  "agg_weighted_patient_count_ingredient_demographic")))
         r = with_group_total(r, ["cohort"], "agg_weighted_patient_count_ingredient_demographic",
                              "agg_weighted_patient_count_ingredient_total")
         return r.select(
             "cohort", ING, "agg_weighted_patient_count_ingredient_demographic",
-            F.col("agg_weighted_patient_count_ingredient_total").cast("bigint").alias(
-                "agg_weighted_patient_count_ingredient_total"),
+            "agg_weighted_patient_count_ingredient_total",
             share("agg_weighted_patient_count_ingredient_demographic",
                   "agg_weighted_patient_count_ingredient_total").alias("agg_percent_ingredient_patients"))
 
@@ -195,14 +196,13 @@ class Distribution:
                 F.col("percent").alias("percent_product_patients"),
                 F.col("percent").alias("agg_percent_product_patients")).distinct()
         r = (y.select("cohort", ING, PROD, "weighted").distinct()
-             .groupBy("cohort", ING, PROD).agg(F.sum("weighted").cast("bigint").alias(
+             .groupBy("cohort", ING, PROD).agg(F.sum("weighted").alias(
                  "agg_weighted_patient_count_product_demographic")))
         r = with_group_total(r, ["cohort", ING], "agg_weighted_patient_count_product_demographic",
                              "agg_weighted_patient_count_product_total")
         return r.select(
             "cohort", ING, PROD, "agg_weighted_patient_count_product_demographic",
-            F.col("agg_weighted_patient_count_product_total").cast("bigint").alias(
-                "agg_weighted_patient_count_product_total"),
+            "agg_weighted_patient_count_product_total",
             share("agg_weighted_patient_count_product_demographic",
                   "agg_weighted_patient_count_product_total").alias("agg_percent_product_patients"))
 

@@ -20,7 +20,7 @@ def survey_reference(prescription: DataFrame, demographics: DataFrame) -> DataFr
     the final distinct see far fewer rows."""
     pairs = prescription.select("DUPERSID", "RXNDC").distinct()
     persons = demographics.select(
-        "DUPERSID", F.col("PERWTF").alias("person_weight"),
+        "DUPERSID", person_weight(demographics).alias("person_weight"),
         decode_gender("SEX").alias("gender"), "AGELAST", F.col("REGION").alias("region_num"))
     return pairs.join(persons, "DUPERSID").select(
         "DUPERSID", "person_weight", "RXNDC", "gender", "AGELAST", "region_num").distinct()
@@ -36,10 +36,18 @@ def survey_join(reference: DataFrame, ndc_rows: DataFrame) -> DataFrame:
     return out.withColumn("gender", none_text("gender"))
 
 
+def person_weight(demographics: DataFrame):
+    """The sampling weight: numeric columns as they are; text (as read from
+    the fixed-width file) as an exact decimal."""
+    if dict(demographics.dtypes)["PERWTF"] == "string":
+        return F.col("PERWTF").cast("decimal(18,6)")
+    return F.col("PERWTF")
+
+
 def persons(demographics: DataFrame) -> DataFrame:
     """Person rows with the survey-join forms of the demographics."""
     return demographics.select(
-        "DUPERSID", F.col("PERWTF").alias("person_weight"),
+        "DUPERSID", person_weight(demographics).alias("person_weight"),
         none_text(decode_gender("SEX")).alias("gender"),
         F.col("AGELAST"), F.col("REGION").alias("region_num"))
 

@@ -68,3 +68,26 @@ def test_module_documents_round_trip(spark):
         orders = [s for s in st.values() if s.get("type") == "MedicationOrder"]
         assert orders and all(o["direct_transition"] == "Terminal" for o in orders)
         assert all(o["codes"][0]["system"] == "RxNorm" for o in orders)
+
+
+def test_fractional_text_weights_sum_exactly(spark):
+    """Survey weights read as text become decimals and sum without loss."""
+    from decimal import Decimal
+
+    from popdist.operators.distribution import Distribution
+
+    demo = spark.createDataFrame(
+        [("p1", "1234.567891", "1", 30, 1), ("p2", "0.000001", "2", 31, 1), ("p3", "10.5", "9", 40, 1)],
+        "DUPERSID string, PERWTF string, SEX string, AGELAST int, REGION int")
+    rx = spark.createDataFrame([("p1", "n1"), ("p1", "n1"), ("p2", "n1"), ("p3", "n2")], "DUPERSID string, RXNDC string")
+    ndc = spark.createDataFrame(
+        [("c", "n1", "A", "I-A", "P1", "P-1"), ("c", "n2", "A", "I-A", "P2", "P-2")],
+        "cohort string, medication_ndc string, medication_ingredient_name string, medication_ingredient_rxcui string, "
+        "medication_product_name string, medication_product_rxcui string")
+    states_ = spark.createDataFrame([(1, "S1"), (1, "S2")], "region_value int, state string")
+    d = Distribution(rx, demo, ndc, states_, age=False, gender=False, state=True)
+    rows = {(r.state): r for r in d.ingredient().collect()}
+    assert rows["S1"].weighted == Decimal("1234.567891") + Decimal("0.000001") + Decimal("10.5")
+    assert rows["S1"].percent == 1.0
+    prod = {(r.medication_product_name, r.state): r.weighted for r in d.product().collect()}
+    assert prod[("P1", "S2")] == Decimal("1234.567892")
