@@ -3,7 +3,6 @@ scratch folder that jobs use to cut lineage or stage files."""
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -85,12 +84,3 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
 
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for helpers that need an OS path."""
-    return path[5:] if path.startswith("file:") else path
-
-
-def ensure_dir(path: str) -> str:
-    os.makedirs(local_path(path), exist_ok=True)
-    return path
