@@ -137,12 +137,16 @@ def filter_by_dose_form(rows: DataFrame, cohorts: Sequence[ModuleSettings], dose
     dmap = dose_form_map.select("df", "dfg")
     by_group = values.join(dmap, values["value"] == dmap["dfg"]).select("cohort", "df")
     by_form = values.join(dmap, values["value"] == dmap["df"]).select("cohort", "df")
-    forms = by_group.unionByName(by_form).distinct().withColumnRenamed("df", "dose_form_name")
+    forms = (by_group.unionByName(by_form).distinct().withColumnRenamed("df", "dose_form_name")
+             .withColumn("_listed", F.lit(True)))
+    # One pass: a left join against the distinct (cohort, form) pairs never
+    # duplicates a row; a null form matches nothing, as in a semi/anti join.
     names = [m.module_name for m in listed]
-    filtered = rows.where(F.col("cohort").isin(names))
-    untouched = rows.where(~F.col("cohort").isin(names))
-    how = "left_semi" if method == "include" else "left_anti"
-    return untouched.unionByName(filtered.join(forms, ["cohort", "dose_form_name"], how))
+    hit = F.col("_listed").isNotNull() if method == "include" else F.col("_listed").isNull()
+    return (rows.join(forms, ["cohort", "dose_form_name"], "left")
+            .where(~F.col("cohort").isin(names) | hit)
+            .drop("_listed")
+            .select(*rows.columns))
 
 
 def resolve_then_filter(rows: DataFrame, cohorts: Sequence[ModuleSettings],
