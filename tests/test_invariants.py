@@ -91,3 +91,70 @@ def test_fractional_text_weights_sum_exactly(spark):
     assert rows["S1"].percent == 1.0
     prod = {(r.medication_product_name, r.state): r.weighted for r in d.product().collect()}
     assert prod[("P1", "S2")] == Decimal("1234.567892")
+
+
+def test_hot_person_matches_brute_force(spark):
+    """One person holds most prescription rows.  With broadcasts off and
+    low skew thresholds (sort-merge joins, AQE skew handling), the weighted
+    shares equal a plain computation from the definition: no row lost,
+    no person counted twice for an item."""
+    from decimal import ROUND_HALF_EVEN, Decimal
+
+    from popdist.operators.distribution import Distribution
+    from popdist.sources.dimensions import band_bounds
+
+    bands = ("0-17", "18-64", "60-99")  # 60-64 lies in two bands
+    people = [(f"p{i}", str(10 + 7 * i), ("1", "2", "9")[i % 3], (5 * i) % 90, 1 + i % 3) for i in range(40)]
+    ndcs = [(f"n{k}", ("Alpha", "Beta", "Gamma", "Delta")[k % 4]) for k in range(8)]
+    rx = [("p0", f"n{k % 8}") for k in range(400)]  # the hot person: 400 of 560 rows
+    rx += [(f"p{i}", f"n{(i * j) % 9}") for i in range(1, 40) for j in range(4)] + [("p7", "n3")] * 4
+    region_states = [(1, "S1"), (2, "S2"), (2, "S3")]  # region 3 has no state
+
+    demo = spark.createDataFrame(people, "DUPERSID string, PERWTF string, SEX string, AGELAST int, REGION int")
+    pres = spark.createDataFrame(rx, "DUPERSID string, RXNDC string")
+    ndc = spark.createDataFrame(
+        [("c", n, ing, "I-" + ing, "P-" + n, "P-" + n) for n, ing in ndcs],
+        "cohort string, medication_ndc string, medication_ingredient_name string, "
+        "medication_ingredient_rxcui string, medication_product_name string, medication_product_rxcui string")
+    states = spark.createDataFrame(region_states, "region_value int, state string")
+
+    # brute force from the definition
+    ing_of = dict(ndcs)
+    person = {p: (Decimal(w), {"1": "M", "2": "F"}.get(s, "None"), a, r) for p, w, s, a, r in people}
+    x: dict = {}
+    for p, i in {(p, ing_of[n]) for p, n in rx if n in ing_of}:
+        w, g, a, r = person[p]
+        for name, lo, hi in band_bounds(bands):
+            if lo <= a <= hi:
+                for rv, st in region_states:
+                    if rv == r:
+                        x[(i, name, g, st)] = x.get((i, name, g, st), 0) + w
+    total: dict = {}
+    for (i, b, g, st), v in x.items():
+        total[(b, g, st)] = total.get((b, g, st), 0) + v
+
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1KB"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        d = Distribution(pres, demo, ndc, states, bands=bands, product_level=False)
+        got = {(r.medication_ingredient_name, r.age, r.gender, r.state): r for r in d.ingredient().collect()}
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+    assert set(got) == set(x)
+    for key, v in x.items():
+        r = got[key]
+        t = total[key[1:]]
+        assert Decimal(r.weighted) == v and Decimal(r.total) == t
+        expect = (v / t).quantize(Decimal("0.001"), rounding=ROUND_HALF_EVEN) if t else Decimal(0)
+        assert abs(Decimal(repr(r.percent)) - expect) <= Decimal("0.001")
