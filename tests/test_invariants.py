@@ -158,3 +158,53 @@ def test_hot_person_matches_brute_force(spark):
         assert Decimal(r.weighted) == v and Decimal(r.total) == t
         expect = (v / t).quantize(Decimal("0.001"), rounding=ROUND_HALF_EVEN) if t else Decimal(0)
         assert abs(Decimal(repr(r.percent)) - expect) <= Decimal("0.001")
+
+
+def test_hot_patient_observed_counts_match_brute_force(spark):
+    """Observed order counts with one patient and one product code holding
+    most orders, under sort-merge joins and AQE skew handling."""
+    import datetime as dt
+
+    from popdist.operators.validation import PEDIATRIC_AGE_DAYS, observed_distribution
+
+    born = {f"a{i}": dt.date(2020, 1, 1) + dt.timedelta(days=97 * i) for i in range(30)}
+    meds = [(dt.date(2021, 1, 1) + dt.timedelta(days=k % 50), "a0", 100) for k in range(300)]
+    meds += [(dt.date(2020, 6, 1) + dt.timedelta(days=211 * i + j), f"a{i}", 100 + (i + j) % 5)
+             for i in range(1, 30) for j in range(5)]
+    meds += [(dt.date(2022, 1, 1), "ghost", 100)]  # no patient row
+    chosen = [("c", "Prod A", 100), ("c", "Prod B", 101), ("c", "Prod B", 101), ("d", "Prod A", 100),
+              ("d", "Prod C", 103)]
+
+    expect: dict = {}
+    for start, pat, code in meds:
+        if pat not in born or (start - born[pat]).days >= PEDIATRIC_AGE_DAYS:
+            continue
+        for cohort, prod, c in set(chosen):
+            if c == code:
+                expect[(cohort, prod)] = expect.get((cohort, prod), 0) + 1
+
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1KB"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        out = observed_distribution(
+            spark.createDataFrame(meds, "START date, PATIENT string, CODE bigint"),
+            spark.createDataFrame(list(born.items()), "Id string, BIRTHDATE date"),
+            spark.createDataFrame(chosen, "cohort string, medication_product_name string, code bigint"))
+        got = {(r.cohort, r.medication_product_name): r for r in out.collect()}
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+    assert {k: r.patient_count for k, r in got.items()} == expect
+    for (cohort, prod), r in got.items():
+        total = sum(v for (c, _), v in expect.items() if c == cohort)
+        assert abs(r.percent - expect[(cohort, prod)] / total) < 1e-12
