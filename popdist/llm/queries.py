@@ -7,19 +7,46 @@ from pyspark.sql import DataFrame, SparkSession
 from popdist.llm.common import documents
 
 
+def tokenizer_path() -> str:
+    """The vocabulary file that the queries use; operators take any path."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from popdist.llm.exact_dedup import dedup
 
     return dedup(documents(spark, sf_dir))
 
 
+def op3_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from popdist.llm.bpe import encode_documents, round_trip
+
+    path = path or tokenizer_path()
+    return round_trip(encode_documents(documents(spark, sf_dir), path), path).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from popdist.llm.sharding import shard_documents
 
     return shard_documents(documents(spark, sf_dir), shards=40)
 
 
+def op10_packing(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
+    from popdist.llm.packing import pack
+
+    return pack(documents(spark, sf_dir), path or tokenizer_path()).drop("ids")
+
+
 REGISTRY = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op3_bpe": op3_bpe,
     "op7_sharding": op7_sharding,
+    "op10_packing": op10_packing,
 }
