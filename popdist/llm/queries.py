@@ -20,6 +20,18 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup(documents(spark, sf_dir))
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from popdist.llm.secret_scan import BASE_KINDS, joined, scan
+
+    spans = scan(documents(spark, sf_dir))
+    of = lambda *kinds: F.filter("spans", lambda s: s["kind"].isin(*kinds))
+    return spans.select(
+        "doc_id", *(F.size(of(k)).cast("long").alias(f"n_{k}") for k in BASE_KINDS),
+        F.sha2(joined(of(*BASE_KINDS)), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
     from pyspark.sql import functions as F
 
@@ -38,6 +50,13 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(documents(spark, sf_dir), shards=40)
 
 
+def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from popdist.llm.vptree import nearest
+
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return nearest(vectors, vectors.where("vec_id % 100 = 0"), k=10, relax=1.0)
+
+
 def op10_packing(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
     from popdist.llm.packing import pack
 
@@ -46,7 +65,9 @@ def op10_packing(spark: SparkSession, sf_dir: str, path: str | None = None) -> D
 
 REGISTRY = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_secret_scan": op2_secret_scan,
     "op3_bpe": op3_bpe,
     "op7_sharding": op7_sharding,
+    "op8_nearest": op8_nearest,
     "op10_packing": op10_packing,
 }
