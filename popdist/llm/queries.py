@@ -44,6 +44,12 @@ def op3_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFr
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from popdist.llm.quality import classify
+
+    return classify(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from popdist.llm.sharding import shard_documents
 
@@ -67,6 +73,7 @@ REGISTRY = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_secret_scan": op2_secret_scan,
     "op3_bpe": op3_bpe,
+    "op4_quality": op4_quality,
     "op7_sharding": op7_sharding,
     "op8_nearest": op8_nearest,
     "op10_packing": op10_packing,
