@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -35,7 +36,7 @@ from popdist.llm.common import id_text
 #: code points of a leaf; longer texts are cut
 LEAF = 32_768
 #: cached chunks of a Python worker, at about 250 bytes each
-CACHE = 300_000
+CACHE = 200_000
 #: code points on either side of a join in the first window
 WINDOW = 32
 
@@ -54,36 +55,57 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def token_table(spec: dict) -> list[str]:
+    """Token strings by id, special ones too."""
+    vocab = spec["model"]["vocab"] | {t["content"]: t["id"] for t in spec["added_tokens"]}
+    tokens = [""] * (1 + max(vocab.values()))
+    for token, i in vocab.items():
+        tokens[i] = token
+    return tokens
+
+
+def decode(tokens: list[str], ids: np.ndarray) -> str:
+    """As the library decodes without a decoder: tokens, one space between."""
+    return " ".join(map(tokens.__getitem__, ids.tolist()))
+
+
 class WordBpe:
     """Encoder and decoder over a tokenizers file with word-end tokens."""
 
     def __init__(self, path: str, cache: int = CACHE):
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.exact = Tokenizer.from_file(path)
-        self.exact.no_truncation()
-        self.exact.no_padding()
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         letters, vocab = _byte_letters(), spec["model"]["vocab"]
+        self.path = path
         self.specials = [t["content"].encode() for t in spec["added_tokens"]]
-        self.tokens = [""] * (1 + max([*vocab.values(), *(t["id"] for t in spec["added_tokens"])]))
+        self.tokens = token_table(spec)
         #: bytes of text that a token stands for
         self.surface = np.zeros(len(self.tokens), dtype=np.int64)
         ranks = {}
         for token, i in vocab.items():
             body = bytes(letters[c] for c in token.removesuffix(END))
-            self.tokens[i], self.surface[i] = token, len(body)
+            self.surface[i] = len(body)
             if 0 not in body or token == chr(256):  # a zero byte marks the word's end here
                 ranks[body + b"\0" * token.endswith(END)] = i
         for t in spec["added_tokens"]:
-            self.tokens[t["id"]], self.surface[t["id"]] = t["content"], len(t["content"].encode())
+            self.surface[t["id"]] = len(t["content"].encode())
         self.merger = tiktoken.Encoding("words", pat_str="[^\\x00]+\\x00", mergeable_ranks=ranks, special_tokens={})
         self.words = regex.compile(SPLIT + "| ")
         self.gap = vocab["Ġ" + END]  # a word of one space: none comes from a text
         self.limit, self.cache = cache, {}
 
+    @cached_property
+    def exact(self):
+        """The tokenizers library's own encoder; loaded when first needed."""
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(self.path)
+        tokenizer.no_truncation()
+        tokenizer.no_padding()
+        return tokenizer
+
     def _learn(self, chunks: set[bytes]) -> None:
         plain = []
         for c in chunks:
@@ -116,8 +138,7 @@ class WordBpe:
         return self.encode_many([text.encode()])[0]
 
     def decode(self, ids: np.ndarray) -> str:
-        """As the library decodes without a decoder: tokens, one space between."""
-        return " ".join(map(self.tokens.__getitem__, ids.tolist()))
+        return decode(self.tokens, ids)
 
     # -- tree concatenation ---------------------------------------------------
 
@@ -224,7 +245,7 @@ def encode_documents(docs: DataFrame, path: str, leaf: int = LEAF) -> DataFrame:
         for b in batches:
             texts = b.column("text").cast(pa.binary())
             sizes = np.diff(np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1])
-            for s in slices(sizes, 8 << 20):
+            for s in slices(sizes, 2 << 20):
                 n = s.stop - s.start
                 ids = bpe.encode_many(texts.slice(s.start, n).to_pylist())
                 yield pa.RecordBatch.from_pydict({
@@ -264,17 +285,18 @@ def round_trip(encoded: DataFrame, path: str) -> DataFrame:
     """(doc_id, ids array, decoded text) from ``encode_documents``."""
 
     def run(batches):
-        bpe = load(path)
+        with open(path, encoding="utf-8") as f:
+            tokens = token_table(json.load(f))
         for b in batches:
             raw = b.column("ids")
             sizes = np.array([len(x.as_buffer()) for x in raw], dtype=np.int64) if len(raw) else np.zeros(0, np.int64)
-            for s in slices(sizes, 8 << 20):
+            for s in slices(sizes, 2 << 20):
                 n = s.stop - s.start
                 ids = [np.frombuffer(x, np.uint32) for x in raw.slice(s.start, n).to_pylist()]
                 flat = np.concatenate(ids).astype(np.int32) if ids else np.zeros(0, np.int32)
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": b.column("doc_id").slice(s.start, n),
                     "ids": pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32), flat),
-                    "decoded": pa.array([bpe.decode(i) for i in ids], pa.string())})
+                    "decoded": pa.array([decode(tokens, i) for i in ids], pa.string())})
 
     return encoded.mapInArrow(run, "doc_id long, ids array<int>, decoded string")
