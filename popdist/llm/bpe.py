@@ -229,6 +229,15 @@ def slices(sizes: np.ndarray, most: int) -> Iterator[slice]:
         yield slice(start, len(sizes))
 
 
+def text_slices(column: pa.Array, most: int = 2 << 20) -> Iterator[tuple[slice, list[bytes]]]:
+    """A batch's texts as UTF-8 bytes, about ``most`` bytes at a time."""
+    texts = column.cast(pa.binary())
+    if len(texts):
+        bounds = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1]
+        for s in slices(np.diff(bounds), most):
+            yield s, texts.slice(s.start, s.stop - s.start).to_pylist()
+
+
 def encode_documents(docs: DataFrame, path: str, leaf: int = LEAF) -> DataFrame:
     """(row, doc_id, ids) of every row; ids are little-endian unsigned 32-bit.
 
@@ -243,13 +252,10 @@ def encode_documents(docs: DataFrame, path: str, leaf: int = LEAF) -> DataFrame:
     def whole(batches):
         bpe = load(path)
         for b in batches:
-            texts = b.column("text").cast(pa.binary())
-            sizes = np.diff(np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1])
-            for s in slices(sizes, 2 << 20):
-                n = s.stop - s.start
-                ids = bpe.encode_many(texts.slice(s.start, n).to_pylist())
+            for s, texts in text_slices(b.column("text")):
+                ids = bpe.encode_many(texts)
                 yield pa.RecordBatch.from_pydict({
-                    "row": b.column("row").slice(s.start, n), "doc_id": b.column("doc_id").slice(s.start, n),
+                    "row": b.column("row").slice(s.start, len(texts)), "doc_id": b.column("doc_id").slice(s.start, len(texts)),
                     "ids": pa.array([i.tobytes() for i in ids], pa.binary())})
 
     def cut(batches):
@@ -264,10 +270,11 @@ def encode_documents(docs: DataFrame, path: str, leaf: int = LEAF) -> DataFrame:
     def encode_parts(batches):
         bpe = load(path)
         for b in batches:
-            ids = bpe.encode_many(b.column("text").cast(pa.binary()).to_pylist())
-            yield pa.RecordBatch.from_pydict(
-                {c: b.column(c) for c in ("row", "doc_id", "part", "text")}
-                | {"ids": pa.array([i.tobytes() for i in ids], pa.binary())})
+            for s, texts in text_slices(b.column("text")):
+                ids = bpe.encode_many(texts)
+                yield pa.RecordBatch.from_pydict(
+                    {c: b.column(c).slice(s.start, len(texts)) for c in ("row", "doc_id", "part", "text")}
+                    | {"ids": pa.array([i.tobytes() for i in ids], pa.binary())})
 
     def concatenate(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("part")
