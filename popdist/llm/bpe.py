@@ -21,13 +21,13 @@ may hold a special token, goes to the tokenizers library itself.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
 from functools import cached_property
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,16 +35,20 @@ from popdist.llm.common import id_text
 
 #: code points of a leaf; longer texts are cut
 LEAF = 32_768
-#: cached chunks of a Python worker, at about 250 bytes each
+#: chunks of one generation of a Python worker's cache, at about 200 bytes
+#: each; there are two generations
 CACHE = 200_000
 #: code points on either side of a join in the first window
 WINDOW = 32
 
 END = "</w>"
-#: fixed value: the tokenizer's word split
-SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-#: letters whose lower-casing and normal form no neighbour changes
-_PLAIN = regex.compile("[!-~À-įĲ-ňŊ-ž]+")
+#: characters whose lower-casing and normal form no neighbour changes
+_PLAIN = re.compile("[ !-~À-ÖØ-öø-įĲ-ňŊ-ž]*")
+#: those of them that are letters after lower-casing; fixed value: the
+#: tokenizer's word split, for these characters
+_LETTERS = "a-zß-öø-ž"
+_ASCII = re.compile("[\\x00-\\x7f]")
+_WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^ {_LETTERS}0-9]+| ")
 
 
 def _byte_letters() -> dict[str, int]:
@@ -92,9 +96,8 @@ class WordBpe:
         for t in spec["added_tokens"]:
             self.surface[t["id"]] = len(t["content"].encode())
         self.merger = tiktoken.Encoding("words", pat_str="[^\\x00]+\\x00", mergeable_ranks=ranks, special_tokens={})
-        self.words = regex.compile(SPLIT + "| ")
         self.gap = vocab["Ġ" + END]  # a word of one space: none comes from a text
-        self.limit, self.cache = cache, {}
+        self.limit, self.cache, self.older = cache, {}, {}
 
     @cached_property
     def exact(self):
@@ -106,30 +109,38 @@ class WordBpe:
         tokenizer.no_padding()
         return tokenizer
 
-    def _learn(self, chunks: set[bytes]) -> None:
-        plain = []
-        for c in chunks:
-            text = c.decode()
-            if _PLAIN.fullmatch(text) and "<|" not in text:
-                plain.append((c, text))
-            else:
-                self.cache[c] = np.array(self.exact.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
-        if plain:
-            words = self.words.findall(" ".join(t for _, t in plain).lower())
-            ids = np.array(self.merger.encode_ordinary("\0".join(words) + "\0"), np.uint32)
-            ends = np.append(np.flatnonzero(ids == self.gap), len(ids))
-            start, raw = 0, ids.tobytes()
-            for (c, _), end in zip(plain, ends.tolist(), strict=True):
-                self.cache[c] = raw[4 * start:4 * end]
-                start = end + 1
+    def _learn(self, chunks: list[bytes]) -> None:
+        texts = b" ".join(chunks).decode()
+        if "<|" in texts or not _PLAIN.fullmatch(texts):
+            plain = []
+            for c in chunks:
+                text = c.decode()
+                if "<|" not in text and _PLAIN.fullmatch(text):
+                    plain.append(c)
+                else:
+                    self.cache[c] = np.array(self.exact.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
+            chunks, texts = plain, b" ".join(plain).decode()
+        if chunks:
+            ids = np.array(self.merger.encode_ordinary("\0".join(_WORDS.findall(texts.lower())) + "\0"), np.uint32)
+            ends = 4 * np.append(np.flatnonzero(ids == self.gap), len(ids))
+            raw, start = ids.tobytes(), 0
+            for c, end in zip(chunks, ends.tolist(), strict=True):
+                self.cache[c] = raw[start:end]
+                start = end + 4
 
     def encode_many(self, texts: list[bytes]) -> list[np.ndarray]:
         """The ids of each text (UTF-8)."""
         split = [t.split() for t in texts]  # ASCII white space only
         wanted = set().union(*split)
-        if len(self.cache) + len(wanted) > self.limit:
-            self.cache = {c: self.cache[c] for c in wanted if c in self.cache}
-        if missing := wanted - self.cache.keys():
+        if len(self.cache) > self.limit:
+            self.older, self.cache = self.cache, {}
+        missing = []
+        for c in wanted - self.cache.keys():
+            if (known := self.older.get(c)) is None:
+                missing.append(c)
+            else:
+                self.cache[c] = known
+        if missing:
             self._learn(missing)
         get = self.cache.__getitem__
         return [np.frombuffer(b"".join(map(get, s)), np.uint32) for s in split]
@@ -148,9 +159,9 @@ class WordBpe:
         and never inside a special token."""
         cuts, at = [0], size
         marks = [(m.start(), m.end()) for s in self.specials
-                 for m in regex.finditer(regex.escape(s.decode()), text)]
+                 for m in re.finditer(re.escape(s.decode()), text)]
         while at < len(text):
-            if (m := regex.compile("[\\x00-\\x7f]").search(text, at)) is None:
+            if (m := _ASCII.search(text, at)) is None:
                 break
             at = m.start()
             if inside := [e for s, e in marks if s < at < e]:
@@ -238,8 +249,18 @@ def text_slices(column: pa.Array, most: int = 2 << 20) -> Iterator[tuple[slice,
             yield s, texts.slice(s.start, s.stop - s.start).to_pylist()
 
 
-def encode_documents(docs: DataFrame, path: str, leaf: int = LEAF) -> DataFrame:
-    """(row, doc_id, ids) of every row; ids are little-endian unsigned 32-bit.
+#: makes columns of texts' ids
+Finish = Callable[[list[np.ndarray]], dict[str, pa.Array]]
+
+
+def raw_ids(ids: list[np.ndarray]) -> dict[str, pa.Array]:
+    """``ids`` binary: little-endian unsigned 32-bit."""
+    return {"ids": pa.array([i.tobytes() for i in ids], pa.binary())}
+
+
+def encode_documents(docs: DataFrame, path: str, leaf: int = LEAF, finish: Finish = raw_ids,
+                     columns: str = "ids binary") -> DataFrame:
+    """(row, doc_id, ...) of every row; ``finish`` turns ids into ``columns``.
 
     Null and empty texts have no ids.  Texts over ``leaf`` code points are cut
     into leaves spread over tasks, and concatenated by row.  ``row`` numbers
@@ -253,10 +274,8 @@ def encode_documents(docs: DataFrame, path: str, leaf: int = LEAF) -> DataFrame:
         bpe = load(path)
         for b in batches:
             for s, texts in text_slices(b.column("text")):
-                ids = bpe.encode_many(texts)
-                yield pa.RecordBatch.from_pydict({
-                    "row": b.column("row").slice(s.start, len(texts)), "doc_id": b.column("doc_id").slice(s.start, len(texts)),
-                    "ids": pa.array([i.tobytes() for i in ids], pa.binary())})
+                yield pa.RecordBatch.from_pydict(
+                    {c: b.column(c).slice(s.start, len(texts)) for c in ("row", "doc_id")} | finish(bpe.encode_many(texts)))
 
     def cut(batches):
         bpe = load(path)
@@ -271,39 +290,29 @@ def encode_documents(docs: DataFrame, path: str, leaf: int = LEAF) -> DataFrame:
         bpe = load(path)
         for b in batches:
             for s, texts in text_slices(b.column("text")):
-                ids = bpe.encode_many(texts)
                 yield pa.RecordBatch.from_pydict(
-                    {c: b.column(c).slice(s.start, len(texts)) for c in ("row", "doc_id", "part", "text")}
-                    | {"ids": pa.array([i.tobytes() for i in ids], pa.binary())})
+                    {c: b.column(c).slice(s.start, len(texts)) for c in ("row", "doc_id", "part", "text")} | raw_ids(bpe.encode_many(texts)))
 
     def concatenate(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("part")
         ids = load(path).concatenate([(t, np.frombuffer(i, np.uint32)) for t, i in zip(part.text, part.ids, strict=True)])
-        return pd.DataFrame({"row": part.row.iloc[:1], "doc_id": part.doc_id.iloc[:1].astype("Int64"), "ids": [ids.tobytes()]})
+        made = {c: a.to_pandas() for c, a in finish([ids]).items()}
+        return pd.DataFrame({"row": part.row.iloc[:1].to_numpy(), "doc_id": part.doc_id.iloc[:1].astype("Int64").array} | made)
 
-    out = "row long, doc_id long, ids binary"
+    out = f"row long, doc_id long, {columns}"
     leaves = long.mapInArrow(cut, "row long, doc_id long, part int, text string") \
         .repartition("row", "part") \
         .mapInArrow(encode_parts, "row long, doc_id long, part int, text string, ids binary")
     return short.mapInArrow(whole, out).unionByName(leaves.groupBy("row").applyInPandas(concatenate, out))
 
 
-def round_trip(encoded: DataFrame, path: str) -> DataFrame:
-    """(doc_id, ids array, decoded text) from ``encode_documents``."""
+def round_trip(docs: DataFrame, path: str, leaf: int = LEAF) -> DataFrame:
+    """(row, doc_id, ids array, decoded text): texts encoded and decoded again."""
 
-    def run(batches):
-        with open(path, encoding="utf-8") as f:
-            tokens = token_table(json.load(f))
-        for b in batches:
-            raw = b.column("ids")
-            sizes = np.array([len(x.as_buffer()) for x in raw], dtype=np.int64) if len(raw) else np.zeros(0, np.int64)
-            for s in slices(sizes, 2 << 20):
-                n = s.stop - s.start
-                ids = [np.frombuffer(x, np.uint32) for x in raw.slice(s.start, n).to_pylist()]
-                flat = np.concatenate(ids).astype(np.int32) if ids else np.zeros(0, np.int32)
-                yield pa.RecordBatch.from_pydict({
-                    "doc_id": b.column("doc_id").slice(s.start, n),
-                    "ids": pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32), flat),
-                    "decoded": pa.array([decode(tokens, i) for i in ids], pa.string())})
+    def both(ids: list[np.ndarray]) -> dict[str, pa.Array]:
+        tokens, sizes = load(path).tokens, [len(i) for i in ids]
+        return {"ids": pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32),
+                                                np.concatenate([np.zeros(0, np.uint32), *ids]).astype(np.int32)),
+                "decoded": pa.array([decode(tokens, i) for i in ids], pa.string())}
 
-    return encoded.mapInArrow(run, "doc_id long, ids array<int>, decoded string")
+    return encode_documents(docs, path, leaf, both, "ids array<int>, decoded string")

@@ -142,19 +142,15 @@ def make_plan(histogram: dict[int, int], first_sequence: int, window: int = WIND
     return plan
 
 
-def with_end(encoded: DataFrame, end_id: int) -> DataFrame:
-    """(row, doc_id, n, ids): the end id appended; ids as 16-bit when they fit."""
+def with_end(end_id: int):
+    """Columns n and ids, the end id appended; ids as 16-bit where they fit."""
 
-    def run(batches):
-        for b in batches:
-            ids = [np.append(np.frombuffer(x, np.uint32), np.uint32(end_id)) for x in b.column("ids").to_pylist()]
-            kind = [np.uint16 if len(i) == 0 or i.max() < 1 << 16 else np.uint32 for i in ids]
-            yield pa.RecordBatch.from_pydict({
-                "row": b.column("row"), "doc_id": b.column("doc_id"),
-                "n": pa.array([len(i) for i in ids], pa.int64()),
-                "ids": pa.array([i.astype(k).tobytes() for i, k in zip(ids, kind, strict=True)], pa.binary())})
+    def finish(ids: list[np.ndarray]) -> dict[str, pa.Array]:
+        ended = [np.append(i, np.uint32(end_id)) for i in ids]
+        return {"n": pa.array([len(i) for i in ended], pa.int64()),
+                "ids": pa.array([i.astype(np.uint16 if i.max() < 1 << 16 else np.uint32).tobytes() for i in ended], pa.binary())}
 
-    return encoded.mapInArrow(run, "row long, doc_id long, n long, ids binary")
+    return finish
 
 
 def pack(docs: DataFrame, path: str, end_id: int = 2, window: int = WINDOW, leaf: int = LEAF) -> DataFrame:
@@ -165,7 +161,7 @@ def pack(docs: DataFrame, path: str, end_id: int = 2, window: int = WINDOW, leaf
     their own.  No rows in, no rows out.  Columns: doc_id, start, length,
     ids_crc32, doc_tokens, sequence_id, offset, ids (little-endian, 32-bit).
     """
-    tokens = staged(with_end(encode_documents(docs, path, leaf), end_id), "pack-tokens")
+    tokens = staged(encode_documents(docs, path, leaf, with_end(end_id), "n long, ids binary"), "pack-tokens")
     narrow = tokens.select(
         "row", (F.col("n") % window).cast("int").alias("rest"),
         F.expr(f"n div {window}").alias("full"))

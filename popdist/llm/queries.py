@@ -35,10 +35,9 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
     from pyspark.sql import functions as F
 
-    from popdist.llm.bpe import encode_documents, round_trip
+    from popdist.llm.bpe import round_trip
 
-    path = path or tokenizer_path()
-    return round_trip(encode_documents(documents(spark, sf_dir), path), path).select(
+    return round_trip(documents(spark, sf_dir), path or tokenizer_path()).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
