@@ -252,8 +252,8 @@ def _odds(hashes: np.ndarray, doc: np.ndarray, labels: np.ndarray, min_docs: int
     return known[often], odds[often]
 
 
-def fit(texts: list[bytes], labels: np.ndarray, rounds: int = 6, batch: int = 256, rate: float = 0.01,
-        min_docs: int = 10, drawn: int = 2, sure: float = 1.0, seed: int = 0) -> BiGru:
+def fit(texts: list[bytes], labels: np.ndarray, rounds: int = 5, batch: int = 256, rate: float = 0.01,
+        min_docs: int = 16, drawn: int = 1, sure: float = 1.0, seed: int = 0) -> BiGru:
     """Multiple-instance training.  In each round a toxic document teaches its
     currently worst window (and others that look as bad) as toxic; a clean one
     teaches its worst and ``drawn`` random windows as clean.  Words and
@@ -283,6 +283,8 @@ def fit(texts: list[bytes], labels: np.ndarray, rounds: int = 6, batch: int = 25
     rank, level = best[windows.at].max(1), 3.0
     step = 0
     for turn in range(rounds):
+        if turn:
+            rank, level = net.window_logits(words, windows), sure
         order = np.lexsort((-rank, windows.doc))
         first = np.concatenate([[True], windows.doc[order][1:] != windows.doc[order][:-1]])
         worst = order[first]
@@ -301,5 +303,4 @@ def fit(texts: list[bytes], labels: np.ndarray, rounds: int = 6, batch: int = 25
                 m[k] = 0.9 * m[k] + 0.1 * g[k]
                 v[k] = 0.999 * v[k] + 0.001 * g[k] ** 2
                 w -= lr * (m[k] / (1 - 0.9 ** step)) / (np.sqrt(v[k] / (1 - 0.999 ** step)) + 1e-8)
-        rank, level = net.window_logits(words, windows), sure
     return net

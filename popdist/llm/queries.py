@@ -49,6 +49,12 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from popdist.llm.toxicity import classify
+
+    return classify(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from popdist.llm.sharding import shard_documents
 
@@ -73,6 +79,7 @@ REGISTRY = {
     "op2_secret_scan": op2_secret_scan,
     "op3_bpe": op3_bpe,
     "op4_quality": op4_quality,
+    "op5_toxicity": op5_toxicity,
     "op7_sharding": op7_sharding,
     "op8_nearest": op8_nearest,
     "op10_packing": op10_packing,
