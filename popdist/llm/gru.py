@@ -252,12 +252,13 @@ def _odds(hashes: np.ndarray, doc: np.ndarray, labels: np.ndarray, min_docs: int
     return known[often], odds[often]
 
 
-def fit(texts: list[bytes], labels: np.ndarray, rounds: int = 5, batch: int = 256, rate: float = 0.01,
-        min_docs: int = 16, drawn: int = 1, sure: float = 1.0, seed: int = 0) -> BiGru:
+def fit(texts: list[bytes], labels: np.ndarray, steps: int = 240, batch: int = 128, rate: float = 0.01,
+        min_share: float = 0.004, drawn: int = 1, sure: float = 1.0, seed: int = 0) -> BiGru:
     """Multiple-instance training.  In each round a toxic document teaches its
     currently worst window (and others that look as bad) as toxic; a clean one
-    teaches its worst and ``drawn`` random windows as clean.  Words and
-    character sequences of fewer than ``min_docs`` documents are unknown."""
+    teaches its worst and ``drawn`` random windows as clean; rounds go on for at
+    least ``steps`` batches.  Words and character sequences in less than
+    ``min_share`` of the documents (or two of them) are unknown."""
     words = read_words(texts)
     windows = windows_of(words.doc, words.n_docs)
     rate_toxic = float(labels.mean()) if len(labels) else 0.5
@@ -267,6 +268,8 @@ def fit(texts: list[bytes], labels: np.ndarray, rounds: int = 5, batch: int = 25
         net.p["out"][:] = 0
         net.p["bias"][:] = np.log(max(rate_toxic, 1e-3) / max(1 - rate_toxic, 1e-3))
         return net
+    min_docs = max(3, round(min_share * len(texts)))
+    rounds = max(5, -(-steps * batch // max(1, (1 + drawn) * len(texts))))
     vocabulary, word_odds = _odds(words.hash, words.doc, labels, min_docs)
     k = words.chars.shape[1]
     sequences, char_odds = _odds(words.chars.ravel(), np.repeat(words.doc, k), labels, min_docs)

@@ -68,6 +68,15 @@ def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(vectors, vectors.where("vec_id % 100 = 0"), k=10, relax=1.0)
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from popdist.llm.substring_dedup import dedup_substrings
+
+    return dedup_substrings(documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
     from popdist.llm.packing import pack
 
@@ -82,5 +91,6 @@ REGISTRY = {
     "op5_toxicity": op5_toxicity,
     "op7_sharding": op7_sharding,
     "op8_nearest": op8_nearest,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_packing": op10_packing,
 }
