@@ -55,6 +55,12 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from popdist.llm.jaccard_join import join
+
+    return join(documents(spark, sf_dir))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from popdist.llm.sharding import shard_documents
 
@@ -89,6 +95,7 @@ REGISTRY = {
     "op3_bpe": op3_bpe,
     "op4_quality": op4_quality,
     "op5_toxicity": op5_toxicity,
+    "op6_jaccard_join": op6_jaccard_join,
     "op7_sharding": op7_sharding,
     "op8_nearest": op8_nearest,
     "op9_substring_dedup": op9_substring_dedup,
