@@ -213,9 +213,12 @@ class BiGru:
 
     # -- documents --------------------------------------------------------------
 
-    def window_logits(self, words: Words, windows: Windows, most: int = 16_384) -> np.ndarray:
-        x = self.inputs(words)[0]
-        parts = [self.forward(x, windows.at[i:i + most]) for i in range(0, len(windows.at), most)]
+    def window_logits(self, words: Words, windows: Windows, most: int = 8_192) -> np.ndarray:
+        """``most`` windows at a time, so memory does not grow with the texts."""
+        parts = []
+        for i in range(0, len(windows.at), most):
+            part, rows = _part(words, windows.at[i:i + most])
+            parts.append(self.forward(self.inputs(part)[0], rows))
         return np.concatenate(parts) if parts else np.zeros(0, np.float32)
 
     def score(self, texts: list[bytes]) -> np.ndarray:
@@ -230,10 +233,11 @@ class BiGru:
 def _part(words: Words, rows: np.ndarray) -> tuple[Words, np.ndarray]:
     """The words numbered in ``rows`` (windows, -1 allowed) as Words of their
     own, and ``rows`` in that numbering."""
-    used, new = np.unique(rows, return_inverse=True)
-    new = new.reshape(rows.shape)
-    if used[0] < 0:
-        used, new = used[1:], new - 1
+    inside = np.zeros(len(words.hash) + 1, dtype=bool)
+    inside[rows] = True  # -1 marks the last place
+    used = np.flatnonzero(inside[:-1])
+    place = np.cumsum(inside) - 1
+    new = np.where(rows >= 0, place[rows], -1)
     return Words(words.hash[used], words.doc[used], words.chars[used], words.n_docs), new
 
 
@@ -247,7 +251,7 @@ def _odds(hashes: np.ndarray, doc: np.ndarray, labels: np.ndarray, min_docs: int
     h, d = h[new], d[new]
     known, inverse = np.unique(h, return_inverse=True)
     n_all, n_toxic = np.bincount(inverse), np.bincount(inverse, labels[d])
-    odds = np.log((n_toxic + 0.5) / (labels.sum() + 1)) - np.log((n_all - n_toxic + 0.5) / (len(labels) - labels.sum() + 1))
+    odds = np.log((n_toxic + 1) / (labels.sum() + 2)) - np.log((n_all - n_toxic + 1) / (len(labels) - labels.sum() + 2))
     often = (n_all >= min_docs) & (known != 0)
     return known[often], odds[often]
 
@@ -258,7 +262,7 @@ def fit(texts: list[bytes], labels: np.ndarray, steps: int = 240, batch: int = 1
     currently worst window (and others that look as bad) as toxic; a clean one
     teaches its worst and ``drawn`` random windows as clean; rounds go on for at
     least ``steps`` batches.  Words and character sequences in less than
-    ``min_share`` of the documents (or two of them) are unknown."""
+    ``min_share`` of the documents (or in under five) are unknown."""
     words = read_words(texts)
     windows = windows_of(words.doc, words.n_docs)
     rate_toxic = float(labels.mean()) if len(labels) else 0.5
@@ -268,11 +272,13 @@ def fit(texts: list[bytes], labels: np.ndarray, steps: int = 240, batch: int = 1
         net.p["out"][:] = 0
         net.p["bias"][:] = np.log(max(rate_toxic, 1e-3) / max(1 - rate_toxic, 1e-3))
         return net
-    min_docs = max(3, round(min_share * len(texts)))
+    min_docs = max(5, round(min_share * len(texts)))
     rounds = max(5, -(-steps * batch // max(1, (1 + drawn) * len(texts))))
     vocabulary, word_odds = _odds(words.hash, words.doc, labels, min_docs)
-    k = words.chars.shape[1]
-    sequences, char_odds = _odds(words.chars.ravel(), np.repeat(words.doc, k), labels, min_docs)
+    by_column = [_odds(words.chars[:, j], words.doc, labels, min_docs) for j in range(words.chars.shape[1])]
+    sequences, odds = np.concatenate([h for h, _ in by_column]), np.concatenate([o for _, o in by_column])
+    sequences, at = np.unique(sequences, return_index=True)
+    char_odds = odds[at]
     net = BiGru(vocabulary, sequences, seed)
     net.base_rate = rate_toxic
     # an entry's first coordinate starts as its log odds
@@ -281,8 +287,10 @@ def fit(texts: list[bytes], labels: np.ndarray, steps: int = 240, batch: int = 1
     m = {k: np.zeros_like(w) for k, w in net.p.items()}
     v = {k: np.zeros_like(w) for k, w in net.p.items()}
     positive = labels[windows.doc] == 1
-    x, _, chars = net.inputs(words)
-    best = np.append(np.maximum(x[:-1, 0], net.p["char"][chars, 0].max(1)), -9.0)
+    best = net.p["word"][_entries(vocabulary, words.hash), 0]
+    for j in range(words.chars.shape[1]):
+        best = np.maximum(best, net.p["char"][_entries(sequences, words.chars[:, j]), 0])
+    best = np.append(best, np.float32(-9))
     rank, level = best[windows.at].max(1), 3.0
     step = 0
     for turn in range(rounds):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 #: labelled rows to learn from, at most; and the longest text among them
 SAMPLE_ROWS = 4_000
-SAMPLE_CHARS = 20_000
+SAMPLE_CHARS = 8_000
 
 
 def held_out(doc_id: str | Column) -> Column:

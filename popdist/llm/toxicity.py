@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 
 from popdist.llm.bpe import text_slices
 from popdist.llm.gru import BiGru, fit
-from popdist.llm.labelled import SAMPLE_ROWS, held_out, labelled_sample
+from popdist.llm.labelled import held_out, labelled_sample
 
+#: labelled rows to learn from, at most
+SAMPLE_ROWS = 3_000
 #: documents with at least this score are toxic
 THRESHOLD = 0.3
 
