@@ -89,6 +89,12 @@ def op10_packing(spark: SparkSession, sf_dir: str, path: str | None = None) -> D
     return pack(documents(spark, sf_dir), path or tokenizer_path()).drop("ids")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir).drop("ids")
+
+
 REGISTRY = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_secret_scan": op2_secret_scan,
@@ -100,4 +106,5 @@ REGISTRY = {
     "op8_nearest": op8_nearest,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_packing": op10_packing,
+    "pipeline": pipeline,
 }
