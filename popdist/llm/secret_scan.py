@@ -71,14 +71,14 @@ def high_windows(text: str, window: int, bits: float) -> list[tuple[int, int]]:
     counts: dict[str, int] = {}
     total, spans, most = 0.0, [], (math.log2(window) - bits) * window + 1e-9
     for i, ch in enumerate(text):
-        c = counts.get(ch, 0)
-        total += term[c + 1] - term[c]
-        counts[ch] = c + 1
         if i >= window:
             old = text[i - window]
             c = counts[old]
             total += term[c - 1] - term[c]
             counts[old] = c - 1
+        c = counts.get(ch, 0)
+        total += term[c + 1] - term[c]
+        counts[ch] = c + 1
         if i >= window - 1 and total <= most:
             start = i - window + 1
             if spans and start <= spans[-1][1]:
