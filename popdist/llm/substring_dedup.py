@@ -12,7 +12,7 @@
    contexts) would fill one shard: its windows are grouped by content instead.
 5. Documents collect the intervals of windows found in earlier documents.
 
-Words are compared by 64-bit hashes, segments by 128-bit ones.
+Words are compared by 64-bit hashes; a segment's name has 128 bits.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -92,9 +93,24 @@ def seeds(h: np.ndarray, doc: np.ndarray, window: int, k: int) -> tuple[np.ndarr
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, k, th): k and th name a document, also where ids repeat."""
     text = F.coalesce("text", F.lit(""))
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"),
-                       F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("k"), F.xxhash64(text).alias("th"))
+                       F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("k"), F.hash(text).alias("th"))
+
+
+def _squeezed(docs: DataFrame) -> DataFrame:
+    """(doc_id, k, th, z): the texts compressed before they are shuffled."""
+
+    def run(batches):
+        pack = zstandard.ZstdCompressor(level=3).compress
+        for b in batches:
+            for s, texts in text_slices(b.column("text")):
+                yield pa.RecordBatch.from_pydict(
+                    {c: b.column(c).slice(s.start, len(texts)) for c in ("doc_id", "k", "th")}
+                    | {"z": pa.array([pack(t) for t in texts], pa.binary())})
+
+    return docs.select("doc_id", "k", "th", "text").mapInArrow(run, "doc_id long, k long, th int, z binary")
 
 
 def _rows_of(words: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -104,8 +120,8 @@ def _rows_of(words: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarr
 
 
 def occurrences(docs: DataFrame, window: int, k: int) -> DataFrame:
-    """(k, th, pos, seed, d1, d2) of every seed: ``pos`` its segment's start,
-    d1 and d2 the segment's hash."""
+    """(k, th, pos, size, seed, d) of every seed: ``pos`` its segment's start,
+    ``d`` the segment's hash; seed and d together name a segment."""
 
     def run(batches):
         for b in batches:
@@ -117,35 +133,34 @@ def occurrences(docs: DataFrame, window: int, k: int) -> DataFrame:
                 owner = doc[at]
                 last = np.append(first[1:], len(h))[owner]
                 a, e = np.maximum(first[owner], at - (window - k)), np.minimum(last, at + window)
-                d1, d2 = SpanHash(h).of(a, e)
+                d = SpanHash(h).of(a, e)[1]
                 pick = pa.array(owner + s.start)
                 yield pa.RecordBatch.from_pydict({
                     "k": b.column("k").take(pick), "th": b.column("th").take(pick),
                     "pos": pa.array((a - first[owner]).astype(np.int32)), "seed": pa.array(seed.view(np.int64)),
-                    "d1": pa.array(d1.view(np.int64)), "d2": pa.array(d2.view(np.int64)),
-                    "size": pa.array((e - a).astype(np.int32))})
+                    "d": pa.array(d.view(np.int64)), "size": pa.array((e - a).astype(np.int32))})
 
-    return docs.select("k", "th", "text").mapInArrow(run, "k long, th long, pos int, seed long, d1 long, d2 long, size int")
+    return docs.select("k", "th", "text").mapInArrow(run, "k long, th int, pos int, seed long, d long, size int")
 
 
 def fetch(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The words of one copy of each wanted segment: (seed, d1, d2, least, wide, words)."""
+    """The words of one copy of each wanted segment: (seed, d, least, wide, words)."""
     by_doc = wanted.groupBy("rep.k", "rep.th").agg(F.collect_list(F.struct(
-        F.col("rep.pos").alias("pos"), "size", "seed", "d1", "d2", "least", "wide")).alias("parts"))
-    names = ("seed", "d1", "d2", "least", "wide")
+        F.col("rep.pos").alias("pos"), "size", "seed", "d", "least", "wide")).alias("parts"))  # of one document
+    names = ("seed", "d", "least", "wide")
+    schema = pa.schema([*((n, pa.bool_() if n == "wide" else pa.int64()) for n in names), ("words", pa.binary())])
 
     def run(batches):
         for b in batches:
-            for text, parts in zip(b.column("text").cast(pa.binary()), b.column("parts"), strict=True):
-                h = word_hashes(split_words(text.as_py()))
-                parts = parts.as_py()
-                yield pa.RecordBatch.from_pydict({n: [p[n] for p in parts] for n in names} | {
-                    "words": [h[p["pos"]:p["pos"] + p["size"]].tobytes() for p in parts]},
-                    schema=pa.schema([*((n, pa.bool_() if n == "wide" else pa.int64()) for n in names), ("words", pa.binary())]))
+            for z, parts in zip(b.column("z"), b.column("parts"), strict=True):
+                h = word_hashes(split_words(zstandard.decompress(z.as_py())))
+                parts = parts.values.flatten()
+                pos, size = parts[0].to_pylist(), parts[1].to_pylist()
+                words = [h[p:p + n].tobytes() for p, n in zip(pos, size, strict=True)]
+                yield pa.RecordBatch.from_arrays([*parts[2:], pa.array(words, pa.binary())], schema=schema)
 
-    joined = docs.join(by_doc, ["k", "th"]).select("text", "parts")
-    return joined.mapInArrow(run, "seed long, d1 long, d2 long, least long, wide boolean, words binary") \
-        .dropDuplicates(["seed", "d1", "d2"])
+    joined = _squeezed(docs).drop("doc_id").join(by_doc, ["k", "th"]).select("z", "parts")
+    return joined.mapInArrow(run, "seed long, d long, least long, wide boolean, words binary")
 
 
 def _runs(row: np.ndarray) -> list[dict]:
@@ -155,62 +170,66 @@ def _runs(row: np.ndarray) -> list[dict]:
             for a, b in zip([0, *cut], [*cut, len(row)], strict=True)] if len(row) else []
 
 
+RUNS = "array<struct<a:int,b:int,m:long>>"
+
+
 def search_shards(segments: DataFrame, shards: int, window: int) -> DataFrame:
-    """(seed, d1, d2, runs) by an FM-index per shard."""
+    """(seed, d, least, runs, windows): runs by an FM-index per shard; for wide
+    seeds, whose segments are dealt one by one, the hashes of their windows."""
     from popdist.llm.fmindex import FmIndex
 
     def search(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.drop_duplicates(["seed", "d"]).reset_index(drop=True)
         rows = [np.frombuffer(w, np.uint64) for w in part.words]
-        lengths, words = np.array([len(r) for r in rows]), np.concatenate(rows)
-        index = FmIndex(words, lengths, part.least.to_numpy(), window)
-        least, mask = index.least_owner(words, lengths)
-        return pd.DataFrame({"seed": part.seed, "d1": part.d1, "d2": part.d2,
-                             "runs": [_runs(r[m]) for r, m in zip(least, mask, strict=True)]})
-
-    return segments.withColumn("shard", bucket(shards, "seed")).groupBy("shard").applyInPandas(
-        search, "seed long, d1 long, d2 long, runs array<struct<a:int,b:int,m:long>>")
-
-
-def group_windows(segments: DataFrame, window: int) -> DataFrame:
-    """(seed, d1, d2, runs) for seeds with very many segments."""
-
-    def run(batches):
-        for b in batches:
-            for i in range(len(b)):
-                h = np.frombuffer(b.column("words")[i].as_py(), np.uint64)
-                n = len(h) - window + 1
-                w1, w2 = SpanHash(h).of(np.arange(n), np.arange(n) + window)
-                same = {c: pa.repeat(b.column(c)[i], n) for c in ("seed", "d1", "d2", "least")}
-                yield pa.RecordBatch.from_pydict(same | {
-                    "a": pa.array(np.arange(n, dtype=np.int32)), "w1": pa.array(w1.view(np.int64)), "w2": pa.array(w2.view(np.int64))})
-
-    windows = staged(segments.select("seed", "d1", "d2", "least", "words").mapInArrow(
-        run, "seed long, d1 long, d2 long, least long, a int, w1 long, w2 long"), "substring-windows")
+        out = part[["seed", "d", "least"]].copy()
+        if part.wide.iloc[0]:
+            spans = [SpanHash(h).of(np.arange(len(h) - window + 1), np.arange(window, len(h) + 1)) for h in rows]
+            out["runs"] = None
+            out["windows"] = [[{"w1": x, "w2": y} for x, y in zip(a.view(np.int64).tolist(), b.view(np.int64).tolist(), strict=True)] for a, b in spans]
+        else:
+            lengths, words = np.array([len(r) for r in rows]), np.concatenate(rows)
+            least, mask = FmIndex(words, lengths, part.least.to_numpy(), window).least_owner(words, lengths)
+            out["runs"] = [_runs(r[m]) for r, m in zip(least, mask, strict=True)]
+            out["windows"] = None
+        return out
+
+    shard = F.when(F.col("wide"), shards + bucket(shards, "seed", "d")).otherwise(bucket(shards, "seed"))
+    return segments.withColumn("shard", shard).groupBy("shard").applyInPandas(
+        search, f"seed long, d long, least long, runs {RUNS}, windows array<struct<w1:long,w2:long>>")
+
+
+def group_windows(wide: DataFrame) -> DataFrame:
+    """(seed, d, runs) from the window hashes of ``wide`` segments."""
+    windows = staged(wide.select("seed", "d", "least", F.posexplode("windows").alias("a", "w"))
+                     .select("seed", "d", "least", "a", "w.w1", "w.w2"), "substring-windows")
     least = staged(windows.groupBy("w1", "w2").agg(F.min("least").alias("m")), "substring-window-least")
-    return windows.join(least, ["w1", "w2"]).groupBy("seed", "d1", "d2").agg(
-        F.collect_list(F.struct("a", F.col("a").alias("b"), "m")).alias("runs"))
+    return windows.join(least, ["w1", "w2"]).groupBy("seed", "d").agg(
+        F.collect_list(F.struct("a", F.col("a").alias("b"), "m")).alias("runs"))  # one segment's windows
 
 
 def repeated_intervals(docs: DataFrame, window: int = WINDOW, k: int = SEED_WORDS, wide: int = WIDE) -> DataFrame:
     """(k, th, spans array<struct<a,b>>): word intervals to remove, by document."""
     found = staged(occurrences(docs, window, k), "substring-seeds")
+    shared = staged(found.groupBy("seed").agg(F.min("k").alias("x"), F.max("k").alias("y")).where("x < y").select("seed"), "substring-shared")
+    found = staged(found.join(shared, "seed"), "substring-found")
     segments = staged(
-        found.groupBy("seed", "d1", "d2", "size").agg(
-            F.min("k").alias("least"), F.max("k").alias("most"), F.min(F.struct("k", "th", "pos")).alias("rep")), "substring-segments")
-    shared = staged(
-        segments.groupBy("seed").agg(F.min("least").alias("x"), F.max("most").alias("y"), F.count("*").alias("n"))
-        .where("x < y").select("seed", (F.col("n") > wide).alias("wide")), "substring-shared")
-    wanted = segments.join(shared, "seed")
-    bodies = staged(fetch(docs, wanted), "substring-bodies")
-    n = bodies.where("not wide").count()
-    results = search_shards(bodies.where("not wide"), max(64, -(-n // SHARD_SEGMENTS)), window) \
-        .unionByName(group_windows(bodies.where("wide"), window))
-    hits = found.join(staged(results, "substring-results"), ["seed", "d1", "d2"]).select(
+        found.groupBy("seed", "d", "size").agg(F.min("k").alias("least"), F.min(F.struct("k", "th", "pos")).alias("rep")), "substring-segments")
+    width = staged(segments.groupBy("seed").agg(F.count("*").alias("n")), "substring-width")
+    segments = staged(segments.join(width, "seed"), "substring-wanted")
+    several = segments.where("n > 1").withColumn("wide", F.col("n") > wide)
+    n = several.where("not wide").count()
+    searched = staged(search_shards(fetch(docs, several), max(64, -(-n // SHARD_SEGMENTS)), window), "substring-searched")
+    # a seed with one segment needs no search: all its windows start in that segment's documents
+    alone = segments.where("n = 1").select("seed", "d", F.array(F.struct(
+        F.lit(0).alias("a"), (F.col("size") - window).alias("b"), F.col("least").alias("m"))).alias("runs"))
+    results = alone.unionByName(searched.where("windows is null").select("seed", "d", "runs")) \
+        .unionByName(group_windows(searched.where("windows is not null")))
+    hits = found.join(staged(results, "substring-results"), ["seed", "d"]).select(
         "k", "th", F.transform(
             F.filter("runs", lambda r: r["m"] < F.col("k")),
             lambda r: F.struct((F.col("pos") + r["a"]).alias("a"), (F.col("pos") + r["b"] + window).alias("b"))).alias("s")) \
         .where(F.size("s") > 0)
-    return hits.groupBy("k", "th").agg(F.array_distinct(F.flatten(F.collect_list("s"))).alias("spans"))
+    return hits.groupBy("k", "th").agg(F.flatten(F.collect_list("s")).alias("spans"))  # of one document
 
 
 def dedup_substrings(docs: DataFrame, window: int = WINDOW, k: int = SEED_WORDS, wide: int = WIDE) -> DataFrame:
@@ -227,22 +246,21 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, k: int = SEED_WORDS,
 
     def run(batches):
         for b in batches:
-            for s, texts in text_slices(b.column("text")):
-                n_words, n_removed, kept = [], [], []
-                for text, found in zip(texts, b.column("spans").slice(s.start, len(texts)), strict=True):
-                    words = split_words(text)
-                    n_words.append(len(words))
-                    if found.is_valid:
-                        edge = np.zeros(len(words) + 1, dtype=np.int64)
-                        np.add.at(edge, found.values.field("a").to_numpy(), 1)
-                        np.add.at(edge, found.values.field("b").to_numpy(), -1)
-                        stay = np.cumsum(edge[:-1]) == 0
-                        words = [w for w, x in zip(words, stay.tolist(), strict=True) if x]
-                    n_removed.append(n_words[-1] - len(words))
-                    kept.append(b" ".join(words).decode())
-                yield pa.RecordBatch.from_pydict({
-                    "doc_id": b.column("doc_id").slice(s.start, len(texts)), "n_words": pa.array(n_words, pa.int64()),
-                    "n_removed": pa.array(n_removed, pa.int64()), "kept": pa.array(kept, pa.string())})
-
-    return keyed.join(spans, ["k", "th"], "left").select("doc_id", "text", "spans").mapInArrow(
+            n_words, n_removed, kept = [], [], []
+            for z, found in zip(b.column("z"), b.column("spans"), strict=True):
+                words = split_words(zstandard.decompress(z.as_py()))
+                n_words.append(len(words))
+                if found.is_valid:
+                    edge = np.zeros(len(words) + 1, dtype=np.int64)
+                    np.add.at(edge, found.values.field("a").to_numpy(), 1)
+                    np.add.at(edge, found.values.field("b").to_numpy(), -1)
+                    stay = np.cumsum(edge[:-1]) == 0
+                    words = [w for w, x in zip(words, stay.tolist(), strict=True) if x]
+                n_removed.append(n_words[-1] - len(words))
+                kept.append(b" ".join(words).decode())
+            yield pa.RecordBatch.from_pydict({
+                "doc_id": b.column("doc_id"), "n_words": pa.array(n_words, pa.int64()),
+                "n_removed": pa.array(n_removed, pa.int64()), "kept": pa.array(kept, pa.string())})
+
+    return _squeezed(keyed).join(spans, ["k", "th"], "left").select("doc_id", "z", "spans").mapInArrow(
         run, "doc_id long, n_words long, n_removed long, kept string")
