@@ -15,17 +15,19 @@ component.  A pair is counted only in the first tree where it meets.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from popdist.llm.bpe import text_slices
+from popdist.llm.bpe import slices, text_slices
 from popdist.llm.common import NO_ID, staged
 from popdist.llm.components import components
-from popdist.llm.substring_dedup import SpanHash, split_words, word_hashes
+from popdist.llm.substring_dedup import SpanHash, _squeezed, split_words, word_hashes
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -69,40 +71,55 @@ def shingle_sets(texts: list[bytes], n: int = SHINGLE) -> list[np.ndarray]:
 
 
 def signatures(sets: list[np.ndarray]) -> np.ndarray:
-    """MinHash values [texts, TREES * DEPTH], 32 bits; sets are not empty."""
+    """MinHash values [texts, TREES * DEPTH], the low 16 bits; no set is empty."""
     flat = np.concatenate(sets)
     first = np.cumsum([0, *map(len, sets)])[:-1]
-    out = np.empty((len(sets), len(_A)), np.uint32)
+    out = np.empty((len(sets), len(_A)), np.uint16)
     for i, (a, b) in enumerate(zip(_A, _B, strict=True)):
-        out[:, i] = np.minimum.reduceat((flat * a + b) >> np.uint64(32), first)
+        out[:, i] = np.minimum.reduceat((flat * a + b) >> np.uint64(32), first) & np.uint64(0xFFFF)
     return out
 
 
-def _described(docs: DataFrame, k: int) -> DataFrame:
-    """(doc_id, key, th, set, size, sig, nodes) of every row; the last four are
-    null where there are no shingles.  ``nodes``: a prefix hash for each tree."""
-    import hashlib
+def _described(docs: DataFrame) -> DataFrame:
+    """(doc_id, key, th, set, size, sig) of every row; the last three are null
+    where there are no shingles."""
 
     def run(batches):
         for b in batches:
             for s, texts in text_slices(b.column("text")):
                 sets = shingle_sets(texts)
                 full = [i for i, x in enumerate(sets) if len(x)]
-                out = {c: [None] * len(sets) for c in ("set", "size", "sig", "nodes")}
-                if full:
-                    sig = signatures([sets[i] for i in full])
-                    for j, i in enumerate(full):
-                        out["set"][i] = hashlib.blake2b(sets[i].tobytes(), digest_size=16).digest()
-                        out["size"][i], out["sig"][i] = len(sets[i]), sig[j].tobytes()
-                        out["nodes"][i] = [int.from_bytes(hashlib.blake2b(sig[j, t * DEPTH:t * DEPTH + k].tobytes(), digest_size=8).digest(), "little", signed=True) for t in range(TREES)]
+                name, sig = [None] * len(sets), [None] * len(sets)
+                for i, row in zip(full, signatures([sets[i] for i in full]) if full else (), strict=True):
+                    name[i], sig[i] = hashlib.blake2b(sets[i].tobytes(), digest_size=16).digest(), row.tobytes()
                 n = len(texts)
                 yield pa.RecordBatch.from_pydict(
-                    {c: b.column(c).slice(s.start, n) for c in ("doc_id", "key", "th")} | {
-                        "set": pa.array(out["set"], pa.binary()), "size": pa.array(out["size"], pa.int64()),
-                        "sig": pa.array(out["sig"], pa.binary()), "nodes": pa.array(out["nodes"], pa.list_(pa.int64()))})
+                    {c: b.column(c).slice(s.start, n) for c in ("doc_id", "key", "th")}
+                    | {"set": pa.array(name, pa.binary()), "sig": pa.array(sig, pa.binary())})
 
     return docs.select("doc_id", "key", "th", "text").mapInArrow(
-        run, "doc_id long, key long, th long, set binary, size long, sig binary, nodes array<long>")
+        run, "doc_id long, key long, th int, set binary, sig binary")
+
+
+def _labels(classes: DataFrame, k: int) -> DataFrame:
+    """(cid, tree, node): a class's trie node at depth ``k`` in every tree."""
+
+    def run(batches):
+        for b in batches:
+            sig = _matrix(b.column("sig"))
+            for t in range(TREES):
+                label = sig[:, t * DEPTH:t * DEPTH + k].astype(np.uint64)
+                node = np.zeros(len(sig), np.uint64)
+                for d in range(k):
+                    node = (node ^ (node >> np.uint64(29)) ^ label[:, d]) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(d + 1)
+                yield pa.RecordBatch.from_pydict({
+                    "cid": b.column("cid"), "tree": pa.repeat(pa.scalar(t, pa.int32()), len(sig)), "node": pa.array(node.view(np.int64))})
+
+    return classes.select("cid", "sig").mapInArrow(run, "cid long, tree int, node long")
+
+
+def _matrix(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, TREES * DEPTH)
 
 
 def _grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
@@ -199,8 +216,7 @@ def _roots(n: int, x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def _block_rows(t: pa.Table) -> tuple[np.ndarray, np.ndarray, int, bool]:
-    sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint32).reshape(len(t), -1)
-    return sig, t.column("own").to_numpy(), int(t.column("tree")[0].as_py()), t.column("b1")[0] != t.column("b2")[0]
+    return _matrix(t.column("sig")), t.column("own").to_numpy(), int(t.column("tree")[0].as_py()), t.column("b1")[0] != t.column("b2")[0]
 
 
 def join(docs: DataFrame) -> DataFrame:
@@ -216,23 +232,23 @@ def join(docs: DataFrame) -> DataFrame:
     k = prefix_length()
     text = F.coalesce("text", F.lit(""))
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"),
-                        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("key"), F.xxhash64(text).alias("th"))
-    rows = staged(_described(keyed, k), "jaccard-rows")
+                        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("key"), F.hash(text).alias("th"))
+    rows = staged(_described(keyed), "jaccard-rows")
     classes = staged(
         rows.where("set is not null").groupBy("set").agg(
-            F.min(F.struct("key", "th")).alias("rep"), F.count("*").alias("copies"), F.first("size").alias("size"),
-            F.first("sig").alias("sig"), F.first("nodes").alias("nodes"))
+            F.min(F.struct("key", "th")).alias("rep"), F.count("*").alias("copies"), F.first("sig").alias("sig"))
         .withColumn("cid", F.monotonically_increasing_id()), "jaccard-classes")
 
     # trie nodes with two or more classes; large ones as pairs of blocks
-    labels = classes.select("cid", "sig", F.posexplode("nodes").alias("tree", "node"))
+    labels = staged(_labels(classes, k), "jaccard-labels")
     nodes = staged(labels.groupBy("tree", "node").agg(F.count("*").alias("n")).where("n > 1")
                    .select("tree", "node", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "jaccard-nodes")
-    members = labels.join(nodes, ["tree", "node"]) \
+    members = staged(labels.join(nodes, ["tree", "node"]), "jaccard-members") \
         .withColumn("own", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")) \
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
         .withColumn("b1", F.least("own", "other")).withColumn("b2", F.greatest("own", "other"))
-    in_blocks = members.select(*NODE, "cid", "own", "sig").repartition(*NODE).sortWithinPartitions(*NODE, "cid")
+    in_blocks = members.select(*NODE, "cid", "own").join(classes.select("cid", "sig"), "cid") \
+        .select(*NODE, "cid", "own", "sig").repartition(*NODE).sortWithinPartitions(*NODE, "cid")
 
     def promising(batches):
         for t in _grouped(batches, NODE):
@@ -251,17 +267,22 @@ def join(docs: DataFrame) -> DataFrame:
 
     def shingles(batches):
         for b in batches:
-            for s, texts in text_slices(b.column("text")):
+            texts = [zstandard.decompress(z) for z in b.column("z").to_pylist()]
+            for s in slices(np.array([len(t) for t in texts], dtype=np.int64), 2 << 20):
+                made = shingle_sets(texts[s])
                 yield pa.RecordBatch.from_pydict(
-                    {c: b.column(c).slice(s.start, len(texts)) for c in ("cid", "sig", "copies")}
-                    | {"shingles": pa.array([x.tobytes() for x in shingle_sets(texts)], pa.binary())})
+                    {c: b.column(c).slice(s.start, len(made)) for c in ("cid", "sig", "copies")}
+                    | {"shingles": pa.array([x.tobytes() for x in made], pa.binary())})
 
-    sets = staged(keyed.select("key", "th", "text").join(wanted, ["key", "th"]).select("cid", "sig", "copies", "text")
-                  .mapInArrow(shingles, "cid long, sig binary, copies long, shingles binary").dropDuplicates(["cid"]), "jaccard-sets")
+    squeezed = _squeezed(keyed.withColumnRenamed("key", "k")).select(F.col("k").alias("key"), "th", "z")
+    sets = staged(squeezed.join(wanted, ["key", "th"]).select("cid", "sig", "copies", "z")
+                  .mapInArrow(shingles, "cid long, sig binary, copies long, shingles binary"), "jaccard-sets")
     full = places.join(sets, "cid").repartition(*NODE).sortWithinPartitions(*NODE, "cid")
 
     def verify(batches):
         for t in _grouped(batches, NODE):
+            # repeated rows of a class's first document gave it several times
+            t = t.take(np.unique(t.column("cid").to_numpy(), return_index=True)[1])
             sig, own, tree, paired = _block_rows(t)
             x, y = _candidates(sig, own, tree, k, paired and own.min() != own.max())
             if paired and own.min() == own.max() or not len(x):
