@@ -170,9 +170,10 @@ class LineCrf:
     def fit(cls, lines: Lines, labels: np.ndarray, epochs: int = 30, rate: float = 0.03, decay: float = 1e-3, batch: int = 256, seed: int = 0) -> "LineCrf":
         """Every line of a document is taught the document's label."""
         x = with_neighbours(lines)
-        model = cls(np.zeros((x.shape[1] + 1, 2)), np.zeros((2, 2)), x.mean(0), x.std(0) + 1e-3, float(labels.mean()) if len(labels) else 0.5)
+        flat = cls(np.zeros((x.shape[1] + 1, 2)), np.zeros((2, 2)), np.zeros(x.shape[1]), np.ones(x.shape[1]), 0.5)
         if len(np.unique(labels)) < 2:
-            return model
+            return flat
+        model = cls(flat.weights, flat.trans, x.mean(0), x.std(0) + 1e-3, float(labels.mean()))
         z, y = model._scaled(x), labels[lines.doc].astype(int)
         gold, random = np.eye(2)[y], np.random.default_rng(seed)
         first = np.searchsorted(lines.doc, np.arange(lines.n_docs + 1))

@@ -1,4 +1,3 @@
-import zlib
 from collections import defaultdict
 
 import numpy as np
@@ -8,6 +7,7 @@ from hypothesis import strategies as st
 
 from popdist.llm import bpe
 from popdist.llm.packing import combinations, make_plan, nnls, pack
+from tests_llm_helpers import check_pieces
 
 ALPHABET = ["a", "b", "the", "ing", "'s", "'", "S", "!", "?", " ", "\n", "é", "É", "ß", "1", "22", "İ", "Σ", "中", "́",
             "<|endoftext|>", "<|", " ", "\x00", "\x1c", "e", "한", "😀", "×", "²", "ª", "µ"]
@@ -63,29 +63,6 @@ def test_documents_with_leaves_over_tasks(spark, path, coder, odd_docs, leaf):
     assert {k: sorted(v) for k, v in have.items()} == {k: sorted(v) for k, v in want.items()}
 
 
-def check_pieces(rows, docs, window):
-    by_doc, by_seq = defaultdict(list), defaultdict(list)
-    for r in rows:
-        by_doc[r.doc_id].append(r)
-        by_seq[r.sequence_id].append(r)
-    for i, ids in docs.items():
-        at = 0
-        for r in sorted(by_doc[i], key=lambda r: r.start):
-            piece = np.array(ids[at:at + r.length], "<u4").tobytes()
-            assert (r.start, r.doc_tokens, r.ids_crc32) == (at, len(ids), zlib.crc32(piece))
-            at += r.length
-        assert at == len(ids)
-    padding = 0
-    for seq in by_seq.values():
-        at = 0
-        for r in sorted(seq, key=lambda r: r.offset):
-            assert r.offset == at and r.length > 0
-            at += r.length
-        assert at <= window
-        padding += 0 if at & (at - 1) == 0 else window - at
-    return padding
-
-
 @pytest.mark.parametrize("window", [64, 4096])
 def test_packing(spark, path, coder, window):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
