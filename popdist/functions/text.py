@@ -105,11 +105,11 @@ def json_key_values(c: ColumnOrName, key: str) -> Column:
 
     Values that are objects or arrays are not returned (their contents are
     searched instead, as every key is matched wherever it occurs).  Strings
-    come back without their quotes; numbers, booleans and null as written.
+    come back decoded, a JSON null as null; numbers and booleans as written.
     """
     import re
 
-    pattern = (r'"' + re.escape(key) + r'"\s*:\s*'
+    pattern = (r'(?<!\\)"' + re.escape(key) + r'"\s*:\s*'
                r'("(?:[^"\\]|\\.)*"|-?[0-9][0-9.eE+-]*|true|false|null)')
     found = F.regexp_extract_all(_col(c), F.lit(pattern), 1)
-    return F.transform(found, lambda v: F.regexp_replace(v, r'^"(.*)"$', "$1"))
+    return F.transform(found, lambda v: F.get_json_object(F.concat(F.lit('{"v":'), v, F.lit("}")), "$.v"))

@@ -48,10 +48,18 @@ def lookup_wide(long: DataFrame, demos: list[str], lookup_table: Column | None =
     """Pivot one lookup table: a row per existing demographic group, one
     column per transition (name order), missing cells 0.
 
-    The column list is the table's schema: either given, or left to
-    Spark's pivot, which reads the distinct names of this one table first
-    (a bounded list, capped by ``spark.sql.pivotMaxValues``)."""
+    The column list is the table's schema: either given (names that the table
+    lacks are columns of 0, other names are an error), or left to Spark's
+    pivot, which reads the distinct names of this one table first and fails
+    beyond ``spark.sql.pivotMaxValues``.  Two cells of one group and one name
+    are an error."""
     rows = long if lookup_table is None else long.where(lookup_table)
+    if transitions is not None:
+        other = F.raise_error(F.concat(F.lit("no such transition: "), F.col("transition"))).cast("string")
+        rows = rows.withColumn("transition", F.when(F.col("transition").isin(transitions), F.col("transition")).otherwise(other))
+    rows = rows.groupBy(*demos, "transition").agg(F.count("*").alias("_n"), F.first("probability").alias("probability"))
+    twice = F.raise_error(F.concat(F.lit("two cells for "), F.col("transition"))).cast("double")
+    rows = rows.withColumn("probability", F.when(F.col("_n") == 1, F.col("probability")).otherwise(twice))
     grouped = rows.groupBy(*demos)
     pivoted = grouped.pivot("transition", transitions) if transitions is not None else grouped.pivot("transition")
     wide = pivoted.agg(F.first("probability"))

@@ -66,7 +66,9 @@ def transitions(dist: Distribution, app: AppSettings = AppSettings()) -> DataFra
         transition_name(app.state_prefix, PROD).alias("transition"),
         table_name(F.col("cohort"), F.lit("_"), F.col(ING),
                    F.lit(app.product_distribution_suffix)).alias("lookup_table_name"))
-    both = ing.unionByName(prod).select("cohort", "state", "transition", "lookup_table_name", "_order").distinct()
+    # names that clean to one transition are one transition
+    both = ing.unionByName(prod).groupBy("cohort", "state", "transition", "lookup_table_name").agg(
+        F.min("_order").alias("_order"))
     w = Window.partitionBy("cohort", "state", "lookup_table_name").orderBy("_order", "transition")
     out = both.withColumn("ordinal", F.row_number().over(w))
     return out.select(

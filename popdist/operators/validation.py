@@ -54,12 +54,15 @@ def expected_counts(validation: DataFrame, observed: DataFrame, band: str = "0-5
         .alias("patient_count"))
 
 
-def chi2_survival(stat: Column, dof: Column, places: int = 10) -> Column:
-    """P(X > stat) for X ~ chi-square(dof): 1 - P(dof/2, stat/2), P the
-    regularised lower incomplete gamma function, by its power series
-    sum_n exp(log t_n) with log t_0 = s ln x - x - ln Gamma(s+1) and
-    log t_n = log t_(n-1) + ln x - ln(s+n); the terms are carried as logs so
-    no intermediate value under- or overflows."""
+def chi2_survival(stat: Column, dof: Column) -> Column:
+    """P(X > stat) for X ~ chi-square(dof), by the regularised incomplete gamma
+    function with s = dof/2 and x = stat/2.
+
+    Up to x = s + 1: 1 - the power series sum_n exp(log t_n), log t_0 = s ln x -
+    x - ln Gamma(s+1) and log t_n = log t_(n-1) + ln x - ln(s+n).  Beyond: the
+    continued fraction of the upper tail (modified Lentz), times
+    exp(s ln x - x - ln Gamma(s)), so small values keep their digits.  Both
+    take a number of steps that follows the square root of dof, never stat."""
     x = (stat / 2).cast("double")
     s = (dof / 2).cast("double")
     # ln Gamma(s + 1) for integer or half-integer s
@@ -69,26 +72,41 @@ def chi2_survival(stat: Column, dof: Column, places: int = 10) -> Column:
         F.lit(0.0), lambda acc, j: acc + F.log(s - j))
     ln_gamma = ln_gamma + F.when(s != F.floor(s), F.lit(0.5) * F.log(F.lit(3.141592653589793))).otherwise(F.lit(0.0))
     log_t0 = s * F.log(x) - x - ln_gamma
-    n_terms = F.greatest(F.lit(200), (F.ceil(x * 3) + 100)).cast("long")
+    n_terms = (F.ceil(F.sqrt(s) * 15) + 200).cast("long")
     series = F.aggregate(
         F.sequence(F.lit(1).cast("long"), n_terms),
         F.struct(log_t0.alias("lt"), F.exp(log_t0).alias("acc")),
         lambda a, n: F.struct((a["lt"] + F.log(x) - F.log(s + n)).alias("lt"),
                               (a["acc"] + F.exp(a["lt"] + F.log(x) - F.log(s + n))).alias("acc")),
         lambda a: a["acc"])
-    p = F.when(x <= 0, F.lit(1.0)).otherwise(F.greatest(F.lit(0.0), F.lit(1.0) - series))
-    return F.bround(p, places)
+    first = x + 1 - s
 
+    def lentz(a: Column, i: Column) -> Column:
+        an, b = -i * (i - s), a["b"] + 2
+        d, c = an * a["d"] + b, b + an / a["c"]
+        d = F.when(F.abs(d) < 1e-300, F.lit(1e-300)).otherwise(d)
+        c = F.when(F.abs(c) < 1e-300, F.lit(1e-300)).otherwise(c)
+        return F.struct(b.alias("b"), c.alias("c"), (1 / d).alias("d"), (a["h"] * c / d).alias("h"))
 
-def chi_square(observed: DataFrame, expected: DataFrame, places: int = 10) -> DataFrame:
+    fraction = F.aggregate(
+        F.sequence(F.lit(1).cast("long"), n_terms),
+        F.struct(first.alias("b"), F.lit(1e300).alias("c"), (1 / first).alias("d"), (1 / first).alias("h")),
+        lentz, lambda a: a["h"])
+    upper = F.exp(log_t0 + F.log(s)) * fraction
+    return (F.when(x <= 0, F.lit(1.0)).when(x > s + 1, upper)
+            .otherwise(F.greatest(F.lit(0.0), F.lit(1.0) - series)))
+
+
+def chi_square(observed: DataFrame, expected: DataFrame) -> DataFrame:
     """(cohort, chi2, dof, p_value): test of independence on the table of
-    products present in both populations (observed, expected counts).
+    products (observed, expected counts); a product of one population only
+    counts 0 in the other.
     Rows with both counts 0 are left out (their expected cell is 0); with
     one degree of freedom the continuity correction is applied."""
     exp = expected.groupBy("cohort", "medication_product_name").agg(
         F.sum("patient_count").alias("e_count"))
     obs = observed.select("cohort", "medication_product_name", F.col("patient_count").alias("o_count"))
-    t = obs.join(exp, ["cohort", "medication_product_name"]).withColumn(
+    t = obs.join(exp, ["cohort", "medication_product_name"], "full").na.fill(0, ["o_count", "e_count"]).withColumn(
         "row_total", F.col("o_count") + F.col("e_count")).where(F.col("row_total") > 0)
     sums = t.groupBy("cohort").agg(
         F.sum("o_count").cast("double").alias("c_o"), F.sum("e_count").cast("double").alias("c_e"),
@@ -106,5 +124,4 @@ def chi_square(observed: DataFrame, expected: DataFrame, places: int = 10) -> Da
                                      + cell(F.col("e_count").cast("double"), ee)).alias("term"))
     stat = terms.groupBy("cohort").agg(F.sum("term").alias("chi2"), F.first("k").alias("k"))
     dof = (F.col("k") - 1).cast("long")
-    return stat.select("cohort", F.bround("chi2", places).alias("chi2"), dof.alias("dof"),
-                       chi2_survival(F.col("chi2"), dof, places).alias("p_value"))
+    return stat.select("cohort", "chi2", dof.alias("dof"), chi2_survival(F.col("chi2"), dof).alias("p_value"))

@@ -308,15 +308,20 @@ def lookup_long_sql() -> str:
     return with_(*dist_ctes()) + "SELECT * EXCLUDE (cohort) FROM (" + long_select(["age", "gender", "state"]) + ")"
 
 
-def lookup_wide_sql(table: str, age=True, gender=True, state=True) -> str:
+WIDE_INGREDIENT_NAMES = [*(f"Brand_{i}" for i in range(1, 26)), "Combo_0", "Combo_1", "Combo_2"]
+WIDE_PRODUCT_NAMES = [f"Brand_{i}_{word}_{thing}" for i in range(1, 26) for word in "Blue Cold Hot Large New Old Red Small".split()
+                      for thing in "Anvil Bolt Gear Gizmo Plate Ring Rod Widget".split()]
+
+
+def lookup_wide_sql(table: str, names: list[str], age=True, gender=True, state=True) -> str:
+    """A column for every name; a name that occurs twice in a group would show
+    as a sum."""
     d = demo_cols(age, gender, state)
     cols = ", ".join(d)
-    inner = f"SELECT {cols + ', ' if d else ''}transition, probability FROM long WHERE lookup_table = {q(table)}"
+    cells = ", ".join(f"COALESCE(SUM(CASE WHEN transition = 'Prescribe_{n}' THEN probability END), 0.0) AS Prescribe_{n}" for n in names)
     group = f" GROUP BY {cols}" if d else ""
-    exclude = f" EXCLUDE ({cols})" if d else ""
     return (with_(*dist_ctes(age, gender, state), f"long AS ({long_select(d)})") +
-            f"SELECT {cols + ', ' if d else ''}COALESCE(COLUMNS(*{exclude}), 0.0) FROM "
-            f"(PIVOT ({inner}) ON transition USING first(probability){group})")
+            f"SELECT {cols + ', ' if d else ''}{cells} FROM long WHERE lookup_table = {q(table)}{group}")
 
 
 def multi_cohort_sql(cohorts) -> str:
@@ -506,19 +511,23 @@ def expected_sql() -> str:
 
 def chi_square_sql() -> str:
     return with_(*expected_ctes(), """tab AS (
-  SELECT o.medication_product_name, CAST(o.patient_count AS DOUBLE) AS o_count, e.e_count
-  FROM obs o JOIN (SELECT medication_product_name, SUM(patient_count) AS e_count FROM expct GROUP BY 1) e
-    ON o.medication_product_name = e.medication_product_name
-  WHERE o.patient_count + e.e_count > 0)""", """cells AS (
+  SELECT medication_product_name, SUM(o_count) AS o_count, SUM(e_count) AS e_count FROM (
+    SELECT medication_product_name, CAST(patient_count AS DOUBLE) AS o_count, 0.0 AS e_count FROM obs
+    UNION ALL SELECT medication_product_name, 0.0, patient_count FROM expct)
+  GROUP BY 1 HAVING SUM(o_count) + SUM(e_count) > 0)""", """cells AS (
   SELECT o_count, e_count, (o_count + e_count) * SUM(o_count) OVER () / (SUM(o_count) OVER () + SUM(e_count) OVER ()) AS eo,
     (o_count + e_count) * SUM(e_count) OVER () / (SUM(o_count) OVER () + SUM(e_count) OVER ()) AS ee,
     count(*) OVER () AS k FROM tab)""", """st AS (
   SELECT SUM(pow(CASE WHEN k = 2 THEN greatest(abs(o_count - eo) - 0.5, 0) ELSE abs(o_count - eo) END, 2) / eo
            + pow(CASE WHEN k = 2 THEN greatest(abs(e_count - ee) - 0.5, 0) ELSE abs(e_count - ee) END, 2) / ee) AS chi2,
-    any_value(k) - 1 AS dof FROM cells)""") + """SELECT round_even(chi2, 10) AS chi2, CAST(dof AS BIGINT) AS dof,
-  round_even(CASE WHEN chi2 <= 0 THEN 1.0 ELSE greatest(0.0, 1.0 - (
-    SELECT SUM(exp((dof / 2.0 + n) * ln(chi2 / 2.0) - chi2 / 2.0 - lgamma(dof / 2.0 + n + 1)))
-    FROM range(0, CAST(greatest(200, ceil(chi2 / 2.0 * 3) + 100) AS BIGINT) + 1) r(n))) END, 10) AS p_value
+    any_value(k) - 1 AS dof FROM cells)""") + """SELECT round_even(chi2, 8) AS chi2, CAST(dof AS BIGINT) AS dof,
+  -- finite upper-tail sums: k from 0 for even dof, half-integer steps and erfc for odd dof
+  round_even(CASE WHEN chi2 <= 0 THEN 1.0 ELSE
+    coalesce((SELECT SUM(exp(k * ln(chi2 / 2.0) - chi2 / 2.0 - lgamma(k + 1)))
+              FROM (SELECT j + (dof % 2) / 2.0 AS k FROM range(0, CAST(dof // 2 AS BIGINT)) r(j))), 0.0)
+    + CASE WHEN dof % 2 = 0 OR chi2 > 80 THEN 0.0 ELSE 1.0 -
+        (SELECT SUM(exp((0.5 + n) * ln(chi2 / 2.0) - chi2 / 2.0 - lgamma(n + 1.5))) FROM range(0, 400) r(n)) END
+  END, 10) AS p_value
 FROM st"""
 
 
@@ -529,11 +538,12 @@ def transitions_sql() -> str:
     ing_table = clean("cohort || '_ingredient_distribution'", "lower") + " || '.csv'"
     prod_table = clean("cohort || '_' || medication_ingredient_name || '_product_distribution'", "lower") + " || '.csv'"
     return with_(*dist_ctes(), f"""tr AS (
-  SELECT DISTINCT cohort, {ing_state} AS state, {clean(q(STATE_PREFIX) + " || medication_ingredient_name")} AS transition,
-    {ing_table} AS lookup_table_name, medication_ingredient_name AS o FROM ing
-  UNION
-  SELECT DISTINCT cohort, {clean(q(STATE_PREFIX) + " || medication_ingredient_name")},
-    {clean(q(STATE_PREFIX) + " || medication_product_name")}, {prod_table}, medication_product_name FROM prod)""") + \
+  SELECT cohort, {ing_state} AS state, {clean(q(STATE_PREFIX) + " || medication_ingredient_name")} AS transition,
+    {ing_table} AS lookup_table_name, min(medication_ingredient_name) AS o FROM ing GROUP BY 1, 2, 3, 4
+  UNION ALL
+  SELECT cohort, {clean(q(STATE_PREFIX) + " || medication_ingredient_name")},
+    {clean(q(STATE_PREFIX) + " || medication_product_name")}, {prod_table}, min(medication_product_name)
+  FROM prod GROUP BY 1, 2, 3, 4)""") + \
         """SELECT state, ordinal, transition, CASE WHEN ordinal = 1 THEN '1' ELSE '0' END AS default_probability,
   lookup_table_name
 FROM (SELECT *, row_number() OVER (PARTITION BY cohort, state, lookup_table_name ORDER BY o, transition) AS ordinal

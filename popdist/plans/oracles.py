@@ -23,9 +23,9 @@ ORACLES: dict[str, str] = {
     # lookups
     "lookup_long": o.lookup_long_sql(),
     "lookup_csv_roundtrip": o.lookup_long_sql(),
-    "lookup_wide_ingredient": o.lookup_wide_sql("all_medications_ingredient_distribution.csv"),
-    "lookup_wide_product": o.lookup_wide_sql("all_medications_combo_0_product_distribution.csv"),
-    "lookup_wide_noflags": o.lookup_wide_sql("all_medications_ingredient_distribution.csv",
+    "lookup_wide_ingredient": o.lookup_wide_sql("all_medications_ingredient_distribution.csv", o.WIDE_INGREDIENT_NAMES),
+    "lookup_wide_product": o.lookup_wide_sql("all_medications_combo_0_product_distribution.csv", o.WIDE_PRODUCT_NAMES),
+    "lookup_wide_noflags": o.lookup_wide_sql("all_medications_ingredient_distribution.csv", o.WIDE_INGREDIENT_NAMES,
                                              age=False, gender=False, state=False),
     # concept graph
     "build_crosswalk": o.build_crosswalk_sql(),
@@ -81,9 +81,9 @@ WHERE json_extract(props, '$.k') IS NOT NULL""",
     # sources
     "scan_pipe_delimited": o.with_(o.FX_RXNCONSO) + "SELECT rxcui, sab, tty, str FROM fx_rxnconso",
     "scan_fixed_width": o.with_(o.FX_PRESCRIPTION) + "SELECT DUPERSID, RXNDC, RXQUANTY, RXDAYSUP FROM fx_prescription",
-    # the person layout gives the age two characters: wider values keep their first two
+    # the person layout gives the age two characters: ages are top-coded at 99
     "scan_fixed_width_pruned": o.with_(o.FX_DEMOGRAPHICS) + """SELECT DUPERSID, CAST(PERWTF AS VARCHAR) AS PERWTF,
-  CAST(REGION AS VARCHAR) AS REGION, SEX, left(CAST(AGELAST AS VARCHAR), 2) AS AGELAST FROM fx_demographics""",
+  CAST(REGION AS VARCHAR) AS REGION, SEX, CAST(least(AGELAST, 99) AS VARCHAR) AS AGELAST FROM fx_demographics""",
     "scan_tsv_cp1252": "SELECT * FROM part",
     "incremental_match": o.incremental_sql(),
     "table_row_counts": o.row_counts_sql(),

@@ -111,26 +111,33 @@ def lookup_long(ctx: Context) -> DataFrame:
     return _single(lookup.lookup_long(ctx.distribution()))
 
 
-def _wide(ctx: Context, table: str, **flags) -> DataFrame:
+#: the stand-in vocabulary's names: brands, combinations, and a brand's products
+WIDE_INGREDIENTS = [f"Prescribe_Brand_{i}" for i in range(1, 26)] + [f"Prescribe_Combo_{i}" for i in range(3)]
+WIDE_PRODUCTS = [f"Prescribe_Brand_{i}_{a}_{b}" for i in range(1, 26)
+                 for a in ("Blue", "Cold", "Hot", "Large", "New", "Old", "Red", "Small")
+                 for b in ("Anvil", "Bolt", "Gear", "Gizmo", "Plate", "Ring", "Rod", "Widget")]
+
+
+def _wide(ctx: Context, table: str, names: list[str], **flags) -> DataFrame:
     dist = ctx.distribution(**flags)
     long = lookup.lookup_long(dist)
-    return lookup.lookup_wide(long, dist.demos, F.col("lookup_table") == F.lit(table))
+    return lookup.lookup_wide(long, dist.demos, F.col("lookup_table") == F.lit(table), names)
 
 
 @query
 def lookup_wide_ingredient(ctx: Context) -> DataFrame:
-    return _wide(ctx, "all_medications_ingredient_distribution.csv")
+    return _wide(ctx, "all_medications_ingredient_distribution.csv", WIDE_INGREDIENTS)
 
 
 @query
 def lookup_wide_product(ctx: Context) -> DataFrame:
     """The product table of one ingredient (a wide table per lookup file)."""
-    return _wide(ctx, "all_medications_combo_0_product_distribution.csv")
+    return _wide(ctx, "all_medications_combo_0_product_distribution.csv", WIDE_PRODUCTS)
 
 
 @query
 def lookup_wide_noflags(ctx: Context) -> DataFrame:
-    return _wide(ctx, "all_medications_ingredient_distribution.csv", age=False, gender=False, state=False)
+    return _wide(ctx, "all_medications_ingredient_distribution.csv", WIDE_INGREDIENTS, age=False, gender=False, state=False)
 
 
 @query
@@ -375,7 +382,8 @@ def expected_counts(ctx: Context) -> DataFrame:
 
 @query
 def chi_square(ctx: Context) -> DataFrame:
-    return _single(validation.chi_square(_observed(ctx), _expected(ctx)))
+    told = _single(validation.chi_square(_observed(ctx), _expected(ctx)))
+    return told.withColumn("chi2", F.bround("chi2", 8)).withColumn("p_value", F.bround("p_value", 10))
 
 
 # -- C14 - C16: states and documents -------------------------------------------------------
@@ -437,7 +445,8 @@ def scan_fixed_width_pruned(ctx: Context) -> DataFrame:
     read, year digits stripped from the names."""
     path = scratch_path(ctx.spark, "person-fixed")
     d = ctx.fx.demographics.select(
-        "DUPERSID", F.col("PERWTF").alias("PERWT18F"), F.col("REGION").alias("REGION18"), "SEX", "AGELAST")
+        "DUPERSID", F.col("PERWTF").alias("PERWT18F"), F.col("REGION").alias("REGION18"), "SEX",
+        F.least("AGELAST", F.lit(99)).alias("AGELAST"))  # the layout's two characters: ages are top-coded
     fw.format_fixed_width(d, fw.PERSON_SPECS, 4332).write.mode("overwrite").text(path)
     return fw.read_person_file(ctx.spark, path)
 

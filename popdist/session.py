@@ -45,10 +45,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def apply_defaults(spark: SparkSession) -> None:
     """Set the runtime options above on a session someone else built."""
     for k, v in SESSION_DEFAULTS.items():
-        try:
+        if spark.conf.isModifiable(k):
             spark.conf.set(k, v)
-        except Exception:  # static or locked setting: keep the owner's value
-            pass
 
 
 def checkpoint_dir(spark: SparkSession) -> str:

@@ -35,9 +35,9 @@ def null_tokens(c: Column) -> Column:
 def read_pipe(spark: SparkSession, path: str, names: Sequence[str], keep_last: bool = False) -> DataFrame:
     """Pipe-delimited text without header; every field is text.  Quoting is
     off (a ``"`` is data).  The trailing empty field is dropped unless
-    asked for."""
+    asked for.  A line with too few or too many fields is an error."""
     df = (spark.read.schema(text_schema(names)).option("sep", "|").option("header", False)
-          .option("quote", "\u0000").option("escape", "\u0000").option("mode", "PERMISSIVE")
+          .option("quote", "\u0000").option("escape", "\u0000").option("mode", "FAILFAST").option("columnPruning", False)
           .csv(path))
     df = df.select(*[null_tokens(F.col(n)).alias(n) for n in names])
     return df if keep_last else df.drop(names[-1])
@@ -65,5 +65,9 @@ def write_tsv(df: DataFrame, path: str, encoding: str = "windows-1252") -> None:
 
 
 def read_csv_columns(spark: SparkSession, path: str, schema: T.StructType, columns: Sequence[str]) -> DataFrame:
-    """Comma CSV with a header, an explicit schema, and only some columns."""
-    return spark.read.schema(schema).option("header", True).csv(path).select(*columns)
+    """Comma CSV: some columns, found by their name in the header wherever they
+    stand and however many others there are; types from ``schema``.  A name
+    that the header lacks, a value that does not parse and a line with other
+    than the header's fields are errors."""
+    rows = spark.read.option("header", True).option("mode", "FAILFAST").option("columnPruning", False).csv(path)
+    return rows.select(*[F.col(c).cast(schema[c].dataType).alias(c) for c in columns])

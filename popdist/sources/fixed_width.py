@@ -78,7 +78,8 @@ def read_person_file(spark: SparkSession, path: str) -> DataFrame:
 
 def format_fixed_width(df: DataFrame, specs, width: int | None = None) -> DataFrame:
     """The inverse: one text line per row, each field left-aligned in its
-    span (used to stage survey-shaped files from tables)."""
+    span (used to stage survey-shaped files from tables).  A value wider than
+    its span raises an error."""
     end = width or max(b or a + 1 for _, a, b in specs)
     by_start = sorted(specs, key=lambda s: s[1])
     parts, pos = [], 0
@@ -87,7 +88,9 @@ def format_fixed_width(df: DataFrame, specs, width: int | None = None) -> DataFr
             parts.append(F.lit(" " * (a - pos)))
         span = (b or end) - a
         if name in df.columns:
-            parts.append(F.rpad(F.coalesce(F.col(name).cast("string"), F.lit("")), span, " "))
+            value = F.coalesce(F.col(name).cast("string"), F.lit(""))
+            wide = F.raise_error(F.concat(F.lit(f"{name} is wider than {span}: "), value)).cast("string")
+            parts.append(F.when(F.char_length(value) > span, wide).otherwise(F.rpad(value, span, " ")))
         else:
             parts.append(F.lit(" " * span))
         pos = a + span

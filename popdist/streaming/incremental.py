@@ -22,11 +22,18 @@ ORDER_SCHEMA = T.StructType([
 
 
 def start_order_ingest(spark: SparkSession, source_dir: str, chosen: DataFrame, sink_dir: str,
-                       checkpoint: str, files_per_batch: int = 4, available_now: bool = True):
+                       checkpoint: str, files_per_batch: int | None = None, available_now: bool = True):
     """Start the stream; returns the StreamingQuery.  ``chosen`` is a
-    static DataFrame with (medication_product_name, code)."""
-    orders = (spark.readStream.schema(ORDER_SCHEMA).option("header", True)
-              .option("maxFilesPerTrigger", files_per_batch).csv(source_dir))
+    static DataFrame with (medication_product_name, code).  The columns of
+    ``ORDER_SCHEMA`` are taken by name from the header; all files of the
+    folder must have one header, and a file with another raises an error."""
+    header = spark.read.option("header", True).csv(source_dir).schema
+    reader = (spark.readStream.schema(header).option("header", True).option("enforceSchema", False)
+              .option("mode", "FAILFAST").option("columnPruning", False))
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    orders = reader.csv(source_dir).select(
+        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in ORDER_SCHEMA.fields])
     products = chosen.select("medication_product_name", F.col("code").alias("_product_code"))
     matched = orders.join(products, orders["CODE"] == products["_product_code"]).drop("_product_code")
     writer = (matched.writeStream.format("parquet").outputMode("append")
@@ -36,7 +43,7 @@ def start_order_ingest(spark: SparkSession, source_dir: str, chosen: DataFrame,
 
 
 def run_order_ingest(spark: SparkSession, source_dir: str, chosen: DataFrame, sink_dir: str,
-                     checkpoint: str, files_per_batch: int = 4) -> DataFrame:
+                     checkpoint: str, files_per_batch: int | None = None) -> DataFrame:
     """Process every file present now, then read the sink."""
     q = start_order_ingest(spark, source_dir, chosen, sink_dir, checkpoint, files_per_batch)
     q.awaitTermination()
