@@ -44,8 +44,8 @@ FX_RXNCONSO = """fx_rxnconso AS (
   SELECT 'R' || CAST(r_regionkey AS VARCHAR) AS rxcui, 'RXNORM' AS sab, 'IN' AS tty, r_name AS str FROM region
   UNION ALL SELECT 'N' || CAST(n_nationkey AS VARCHAR), 'RXNORM', 'SCDC', n_name FROM nation
   UNION ALL SELECT 'C' || CAST(c_custkey AS VARCHAR), 'RXNORM', 'SCD', c_name FROM customer
-  UNION ALL SELECT 'O' || CAST(o_orderkey AS VARCHAR), 'RXNORM', 'GPCK', 'Pack ' || CAST(o_orderkey AS VARCHAR) FROM orders WHERE o_orderkey % 10 = 0
-  UNION ALL SELECT 'K' || CAST(o_orderkey AS VARCHAR), 'RXNORM', 'BPCK', 'Brand pack ' || CAST(o_orderkey AS VARCHAR) FROM orders WHERE o_orderkey % 20 = 0
+  UNION ALL SELECT 'O' || CAST(o_orderkey AS VARCHAR), 'RXNORM', 'GPCK', 'Pack ' || CAST(o_orderkey AS VARCHAR) FROM orders
+  UNION ALL SELECT 'K' || CAST(o_orderkey AS VARCHAR), 'RXNORM', 'BPCK', 'Brand pack ' || CAST(o_orderkey AS VARCHAR) FROM orders
   UNION ALL SELECT DISTINCT 'B-' || p_brand, 'RXNORM', 'BN', p_brand FROM part
   UNION ALL SELECT 'P' || CAST(p_partkey AS VARCHAR), 'RXNORM', 'SBD', p_name FROM part
   UNION ALL SELECT DISTINCT 'M-' || c_mktsegment, 'RXNORM', 'MIN', c_mktsegment FROM customer
@@ -55,21 +55,21 @@ FX_RXNCONSO = """fx_rxnconso AS (
 FX_RXNREL = """fx_rxnrel AS (
   SELECT 'N' || CAST(n_nationkey AS VARCHAR) AS rxcui1, 'ingredient_of' AS rela, 'R' || CAST(n_regionkey AS VARCHAR) AS rxcui2 FROM nation
   UNION ALL SELECT 'C' || CAST(c_custkey AS VARCHAR), 'constitutes', 'N' || CAST(c_nationkey AS VARCHAR) FROM customer
-  UNION ALL SELECT 'O' || CAST(o_orderkey AS VARCHAR), 'contained_in', 'C' || CAST(o_custkey AS VARCHAR) FROM orders WHERE o_orderkey % 10 = 0
-  UNION ALL SELECT 'K' || CAST(o_orderkey AS VARCHAR), 'has_tradename', 'O' || CAST(o_orderkey AS VARCHAR) FROM orders WHERE o_orderkey % 20 = 0
+  UNION ALL SELECT 'O' || CAST(o_orderkey AS VARCHAR), 'contained_in', 'C' || CAST(o_custkey AS VARCHAR) FROM orders
+  UNION ALL SELECT 'K' || CAST(o_orderkey AS VARCHAR), 'has_tradename', 'O' || CAST(o_orderkey AS VARCHAR) FROM orders
   UNION ALL SELECT DISTINCT 'B-' || p_brand, 'has_tradename', 'R' || CAST(p_size % 5 AS VARCHAR) FROM part
   UNION ALL SELECT 'P' || CAST(p_partkey AS VARCHAR), 'ingredient_of', 'B-' || p_brand FROM part
   UNION ALL SELECT 'C' || CAST(c_custkey AS VARCHAR), 'ingredients_of', 'M-' || c_mktsegment FROM customer
-  UNION ALL SELECT 'P' || CAST(p_partkey AS VARCHAR), 'has_tradename', 'C' || CAST(p_partkey % 100 AS VARCHAR) FROM part WHERE p_partkey % 3 = 0
-  UNION ALL SELECT 'K' || CAST(o_orderkey AS VARCHAR), 'contained_in', 'P' || CAST(o_orderkey % 150 AS VARCHAR) FROM orders WHERE o_orderkey % 20 = 0
+  UNION ALL SELECT 'P' || CAST(p_partkey AS VARCHAR), 'has_tradename', 'C' || CAST(p_partkey AS VARCHAR) FROM part
+  UNION ALL SELECT 'K' || CAST(o_orderkey AS VARCHAR), 'contained_in', 'P' || CAST(o_custkey AS VARCHAR) FROM orders
   UNION ALL SELECT 'D-' || p_type, 'has_dose_form', 'P' || CAST(p_partkey AS VARCHAR) FROM part
   UNION ALL SELECT 'G' || CAST(p_size % 5 AS VARCHAR), 'isa', 'D-' || p_type FROM part WHERE p_type <> 'PROMO')"""
 
 FX_RXNSAT = """fx_rxnsat AS (
   SELECT 'P' || CAST(p_partkey AS VARCHAR) AS rxcui, 'RXNORM' AS sab, 'NDC' AS atn, '7' || CAST(p_partkey AS VARCHAR) AS atv FROM part
-  UNION ALL SELECT 'C' || CAST(c_custkey AS VARCHAR), 'RXNORM', 'NDC', '8' || CAST(c_custkey AS VARCHAR) FROM customer WHERE c_custkey % 2 = 0
-  UNION ALL SELECT 'O' || CAST(o_orderkey AS VARCHAR), 'RXNORM', 'NDC', '9' || CAST(o_orderkey AS VARCHAR) FROM orders WHERE o_orderkey % 10 = 0
-  UNION ALL SELECT 'K' || CAST(o_orderkey AS VARCHAR), 'RXNORM', CASE WHEN o_orderkey % 40 = 0 THEN 'NDC' ELSE 'OTHER' END, '6' || CAST(o_orderkey AS VARCHAR) FROM orders WHERE o_orderkey % 20 = 0)"""
+  UNION ALL SELECT 'C' || CAST(c_custkey AS VARCHAR), 'RXNORM', 'NDC', '8' || CAST(c_custkey AS VARCHAR) FROM customer
+  UNION ALL SELECT 'O' || CAST(o_orderkey AS VARCHAR), 'RXNORM', 'NDC', '9' || CAST(o_orderkey AS VARCHAR) FROM orders
+  UNION ALL SELECT 'K' || CAST(o_orderkey AS VARCHAR), 'RXNORM', CASE WHEN o_orderkey % 2 = 0 THEN 'NDC' ELSE 'OTHER' END, '6' || CAST(o_orderkey AS VARCHAR) FROM orders)"""
 
 
 def with_(*ctes: str) -> str:
