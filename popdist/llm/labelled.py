@@ -11,10 +11,9 @@ SAMPLE_ROWS = 4_000
 SAMPLE_CHARS = 8_000
 
 
-def held_out(doc_id: str | Column) -> Column:
+def held_out(doc_id: str) -> Column:
     """Rows whose labels are never learnt: crc32(doc_id as text) mod 4 is 2."""
-    return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string")), F.lit(4)) == 2, F.lit(False)) \
-        if isinstance(doc_id, str) else F.coalesce(F.pmod(F.crc32(doc_id.cast("string")), F.lit(4)) == 2, F.lit(False))
+    return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string")), F.lit(4)) == 2, F.lit(False))
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int = SAMPLE_ROWS,

@@ -19,8 +19,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from popdist.llm.common import id_text
-
 SHORTEST = 20
 
 #: fixed values: the base patterns and least lengths, kinds in reporting order

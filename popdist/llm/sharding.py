@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from popdist.llm.common import NO_ID, buckets_for, id_text, running, staged
+from popdist.llm.common import buckets_for, id_text, running, staged
 
 #: group sizes under 2 ** (CLASS_BITS + 1) are classes of their own; larger
 #: ones share a class within 2 ** -CLASS_BITS of their size.  At most about
@@ -76,13 +76,10 @@ def shard_documents(docs: DataFrame, shards: int = 40) -> DataFrame:
             F.crc32("text").alias("text_crc32"),
             F.unhex(F.sha2("text", 256)).alias("grp")),
         "shard-rows")
-    bits = F.greatest(F.lit(0), F.floor(F.log2("bytes")).cast("int") - CLASS_BITS)
+    bits = f"greatest(0, int(floor(log2(bytes))) - {CLASS_BITS})"
     groups = staged(
         rows.groupBy("grp").agg(F.sum("size").alias("bytes"), F.count("*").alias("n"))
-        .withColumn("cls", F.expr("bytes").cast("long"))
-        .withColumn("_bits", bits)
-        .withColumn("cls", F.call_function("shiftleft", F.call_function("shiftright", F.col("bytes"), F.col("_bits")), F.col("_bits")))
-        .drop("_bits"),
+        .withColumn("cls", F.expr(f"shiftleft(shiftright(bytes, {bits}), {bits})")),
         "shard-groups")
     histogram = [tuple(r) for r in groups.groupBy("cls").agg(
         F.count("*"), F.sum("bytes")).collect()]  # bounded by the size classes

@@ -7,7 +7,7 @@ from popdist.llm import jaccard_join as J
 from popdist.llm.components import components
 from popdist.llm.fmindex import FmIndex, WaveletMatrix, suffix_order
 from popdist.llm.substring_dedup import LAST_ID, dedup_substrings, seeds, sliding
-from popdist.llm.vptree import VPTree, distances, nearest
+from popdist.llm.vptree import VPTree, nearest
 
 SMALL = "/root/testdata/sf0.001"
 
