@@ -16,14 +16,17 @@ def rx_quantity_days(prescription: DataFrame, crosswalk: DataFrame) -> DataFrame
     k times).  Grouping is on the raw text of quantity and days, which are
     shown cast to integers -- two rows may therefore look equal.  The days
     filter compares text (``'00' > '0'``).  The product id is the smallest
-    in the group.  ``count`` is combinable, so a hot product is reduced on
-    the map side before the shuffle."""
+    in the group.  Fills are counted per package code before the join, and the
+    crosswalk's rows per (code, name), so neither a hot code nor a package
+    with many rows multiplies fills."""
     rx = prescription.select("RXNDC", "RXQUANTY", "RXDAYSUP").where(text_greater("RXDAYSUP", "0"))
-    cw = crosswalk.select("medication_ndc", "medication_product_rxcui", "medication_product_name")
-    joined = rx.join(cw, rx["RXNDC"] == cw["medication_ndc"])
+    fills = rx.groupBy("RXNDC", "RXQUANTY", "RXDAYSUP").agg(F.count(F.lit(1)).alias("_fills"))
+    cw = crosswalk.groupBy("medication_ndc", "medication_product_name").agg(
+        F.min("medication_product_rxcui").alias("medication_product_rxcui"), F.count(F.lit(1)).alias("_rows"))
+    joined = fills.join(cw, fills["RXNDC"] == cw["medication_ndc"])
     grouped = joined.groupBy("RXQUANTY", "RXDAYSUP", "medication_product_name").agg(
         F.min("medication_product_rxcui").alias("medication_product_rxcui"),
-        F.count(F.lit(1)).alias("COUNT"))
+        F.sum(F.col("_fills") * F.col("_rows")).alias("COUNT"))
     return grouped.select(
         text_to_int_prefix("RXQUANTY").alias("RXQUANTY"),
         text_to_int_prefix("RXDAYSUP").alias("RXDAYSUP"),
