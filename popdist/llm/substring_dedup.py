@@ -30,8 +30,9 @@ from popdist.llm.common import bucket, staged
 
 WINDOW = 50
 SEED_WORDS = 10
-#: different segments of a seed from which its windows are grouped by content
-WIDE = 512
+#: different segments of a seed from which its windows are grouped by content;
+#: bounds the index that one seed can fill
+WIDE = 4_096
 #: segments of a shard's index, about
 SHARD_SEGMENTS = 3_000
 #: stands for a null doc_id: never earlier than another document
@@ -175,7 +176,8 @@ RUNS = "array<struct<a:int,b:int,m:long>>"
 
 def search_shards(segments: DataFrame, shards: int, window: int) -> DataFrame:
     """(seed, d, least, runs, windows): runs by an FM-index per shard; for wide
-    seeds, whose segments are dealt one by one, the hashes of their windows."""
+    seeds, whose segments are dealt one by one, the hashes of their windows
+    (equal windows have equal seeds, so seed and hash together name one)."""
     from popdist.llm.fmindex import FmIndex
 
     def search(part: pd.DataFrame) -> pd.DataFrame:
@@ -183,9 +185,8 @@ def search_shards(segments: DataFrame, shards: int, window: int) -> DataFrame:
         rows = [np.frombuffer(w, np.uint64) for w in part.words]
         out = part[["seed", "d", "least"]].copy()
         if part.wide.iloc[0]:
-            spans = [SpanHash(h).of(np.arange(len(h) - window + 1), np.arange(window, len(h) + 1)) for h in rows]
             out["runs"] = None
-            out["windows"] = [[{"w1": x, "w2": y} for x, y in zip(a.view(np.int64).tolist(), b.view(np.int64).tolist(), strict=True)] for a, b in spans]
+            out["windows"] = [SpanHash(h).of(np.arange(len(h) - window + 1), np.arange(window, len(h) + 1))[0].view(np.int64) for h in rows]
         else:
             lengths, words = np.array([len(r) for r in rows]), np.concatenate(rows)
             least, mask = FmIndex(words, lengths, part.least.to_numpy(), window).least_owner(words, lengths)
@@ -195,15 +196,14 @@ def search_shards(segments: DataFrame, shards: int, window: int) -> DataFrame:
 
     shard = F.when(F.col("wide"), shards + bucket(shards, "seed", "d")).otherwise(bucket(shards, "seed"))
     return segments.withColumn("shard", shard).groupBy("shard").applyInPandas(
-        search, f"seed long, d long, least long, runs {RUNS}, windows array<struct<w1:long,w2:long>>")
+        search, f"seed long, d long, least long, runs {RUNS}, windows array<long>")
 
 
 def group_windows(wide: DataFrame) -> DataFrame:
     """(seed, d, runs) from the window hashes of ``wide`` segments."""
-    windows = staged(wide.select("seed", "d", "least", F.posexplode("windows").alias("a", "w"))
-                     .select("seed", "d", "least", "a", "w.w1", "w.w2"), "substring-windows")
-    least = staged(windows.groupBy("w1", "w2").agg(F.min("least").alias("m")), "substring-window-least")
-    return windows.join(least, ["w1", "w2"]).groupBy("seed", "d").agg(
+    windows = staged(wide.select("seed", "d", "least", F.posexplode("windows").alias("a", "w")), "substring-windows")
+    least = staged(windows.groupBy("seed", "w").agg(F.min("least").alias("m")), "substring-window-least")
+    return windows.join(least, ["seed", "w"]).groupBy("seed", "d").agg(
         F.collect_list(F.struct("a", F.col("a").alias("b"), "m")).alias("runs"))  # one segment's windows
 
 
