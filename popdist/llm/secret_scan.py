@@ -11,14 +11,16 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from popdist.llm.bpe import text_slices
+
 SHORTEST = 20
 
 #: fixed values: the base patterns and least lengths, kinds in reporting order
@@ -149,37 +151,54 @@ def candidates(raw: np.ndarray, bounds: np.ndarray) -> list[tuple[int, int, int]
     return list(zip(text.tolist(), start.tolist(), end.tolist(), strict=True))
 
 
-def scan(docs: DataFrame, classes: Iterable[CharClass] = CLASSES, allow: Iterable[str] = ALLOW,
-         keep: list[str] | None = None) -> DataFrame:
-    """``spans`` array<struct<kind,start,end>> of every row, in whole texts.
+SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
-    Offsets are code points, ends exclusive; sorted by start, then kind.  Null
-    and empty texts have no spans; each repeated row is scanned.  The result
-    has ``keep`` (default doc_id) and spans; the scan is one pass, no shuffle.
-    """
+
+def _each(column: pa.Array, scanner: Scanner) -> Iterator[tuple[str, list[tuple[str, int, int]]]]:
+    """Every text with its spans, in order."""
+    for _, texts in text_slices(column):
+        bounds = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+        raw = b"".join(texts)
+        runs: dict[int, list[tuple[int, str]]] = {}
+        for i, s, e in candidates(np.frombuffer(raw, np.uint8), bounds):
+            at = len(raw[bounds[i]:s].decode())  # code points before the run
+            runs.setdefault(i, []).append((at, raw[s:e].decode()))
+        for i, t in enumerate(texts):
+            text = t.decode()
+            yield text, scanner.scan(text, runs.get(i, []))
+
+
+def spans_of(text: Column, classes: Iterable[CharClass] = CLASSES, allow: Iterable[str] = ALLOW) -> Column:
+    """``spans`` of every whole text; only the text goes to Python."""
     classes, allow = tuple(classes), tuple(allow)
-    keep = ["doc_id"] if keep is None else keep
-    source = docs.select(*keep, F.coalesce(docs["text"], F.lit("")).alias("_t"))
-    out = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in source.schema.fields[:-1])
 
-    def run(batches):
+    def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scanner = Scanner(classes, allow)
-        for b in batches:
-            raw_texts = b.column("_t").cast(pa.binary()).to_pylist()
-            sizes = np.array([len(t) for t in raw_texts], dtype=np.int64)
-            bounds = np.concatenate([[0], np.cumsum(sizes)])
-            raw = b"".join(raw_texts)
-            runs: dict[int, list[tuple[int, str]]] = {}
-            for i, s, e in candidates(np.frombuffer(raw, np.uint8), bounds):
-                at = len(raw[bounds[i]:s].decode())  # code points before the run
-                runs.setdefault(i, []).append((at, raw[s:e].decode()))
-            spans = [[{"kind": k, "start": s, "end": e} for k, s, e in scanner.scan(t.decode(), runs.get(i, []))]
-                     for i, t in enumerate(raw_texts)]
-            kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
-            yield pa.RecordBatch.from_arrays(
-                [*(b.column(i) for i in range(len(keep))), pa.array(spans, kind)], [*keep, "spans"])
-
-    return source.mapInArrow(run, out + "spans array<struct<kind:string,start:bigint,end:bigint>>")
+        for column in columns:
+            yield pa.array([[{"kind": k, "start": s, "end": e} for k, s, e in spans] for _, spans in _each(column, scanner)], SPANS)
+
+    kind = "array<struct<kind:string,start:bigint,end:bigint>>"
+    return F.arrow_udf(run, kind, F.ArrowUDFType.SCALAR_ITER)(F.coalesce(text, F.lit("")))
+
+
+def mask(text: str, spans: list[tuple[str, int, int]], mark: str) -> str:
+    """``text`` with the union of the spans replaced, a ``mark`` for each run."""
+    out, at = [], 0
+    for _, start, end in spans:  # by start
+        if start >= at:
+            out += [text[at:start], mark]
+        at = max(at, end)
+    return "".join([*out, text[at:]])
+
+
+def scan(docs: DataFrame, classes: Iterable[CharClass] = CLASSES, allow: Iterable[str] = ALLOW) -> DataFrame:
+    """(doc_id, spans array<struct<kind,start,end>>) of every row, in whole texts.
+
+    Offsets are code points, ends exclusive; sorted by start, then kind.  Null
+    and empty texts have no spans; each repeated row is scanned.  The scan is
+    one pass, no shuffle.
+    """
+    return docs.select("doc_id", spans_of(docs["text"], classes, allow).alias("spans"))
 
 
 def joined(spans) -> F.Column:
@@ -188,19 +207,21 @@ def joined(spans) -> F.Column:
         ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
-    """``docs`` with every span's text replaced by ``mark``; overlapping spans
-    are replaced once.  Clean rows are unchanged; n_chars follows the text."""
-    scanned = scan(docs.withColumn("_raw", F.col("text")), keep=[*docs.columns])
-    pieces = F.aggregate(
-        "spans", F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at")),
-        lambda a, s: F.when(s["end"] <= a["at"], a).otherwise(F.struct(
-            F.when(s["start"] >= a["at"], F.concat(
-                a["out"], F.substring(F.col("text"), a["at"].cast("int") + 1, (s["start"] - a["at"]).cast("int")), F.lit(mark)))
-            .otherwise(a["out"]).alias("out"), s["end"].alias("at"))),
-        lambda a: F.concat(a["out"], F.substring(F.col("text"), a["at"].cast("int") + 1, F.char_length("text"))))
-    text = F.when(F.size("spans") > 0, pieces).otherwise(F.col("text"))
-    columns = [text.alias("text") if c == "text" else
-               F.when(F.size("spans") > 0, F.char_length(text).cast("long")).otherwise(F.col(c)).alias(c) if c == "n_chars" else F.col(c)
-               for c in docs.columns]
-    return scanned.select(*columns)
+def redact(docs: DataFrame, mark: str = "[SECRET]", classes: Iterable[CharClass] = CLASSES,
+           allow: Iterable[str] = ALLOW) -> DataFrame:
+    """``docs`` with the text of every span replaced by ``mark``; overlapping
+    spans are replaced once.  Clean rows are unchanged; n_chars follows the
+    text.  Null texts stay null."""
+    classes, allow, word = tuple(classes), tuple(allow), mark
+
+    def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        scanner = Scanner(classes, allow)
+        for column in columns:  # null where nothing is found
+            yield pa.array([mask(t, spans, word) if spans else None for t, spans in _each(column, scanner)], pa.string())
+
+    masked = F.arrow_udf(run, "string", F.ArrowUDFType.SCALAR_ITER)(F.coalesce(docs["text"], F.lit("")))
+    changed = {"text": F.coalesce("_masked", "text"),
+               "n_chars": F.when(F.col("_masked").isNotNull(), F.char_length("_masked").cast("long")).otherwise(F.col("n_chars"))
+               if "n_chars" in docs.columns else None}
+    return docs.withColumn("_masked", masked).select(
+        *[changed[c].alias(c) if c in changed else F.col(c) for c in docs.columns])
