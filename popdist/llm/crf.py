@@ -94,6 +94,15 @@ def line_features(texts: list[bytes]) -> Lines:
     return Lines(own, length + 1.0, doc, len(texts))
 
 
+def join_lines(parts: list[Lines]) -> Lines:
+    """The lines of several lists of texts, as of one list."""
+    before = np.cumsum([0, *(p.n_docs for p in parts)])
+    if not parts:
+        return line_features([])
+    return Lines(np.concatenate([p.own for p in parts]), np.concatenate([p.weight for p in parts]),
+                 np.concatenate([p.doc + n for p, n in zip(parts, before, strict=False)]), int(before[-1]))
+
+
 def with_neighbours(lines: Lines) -> np.ndarray:
     """Own features, those of the line before and of the line after (zeros at a
     document's ends)."""

@@ -7,56 +7,55 @@ forward-backward marginals of "good".
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from popdist.llm.bpe import slices
-from popdist.llm.crf import LineCrf, line_features
+from popdist.llm.bpe import slices, text_slices
+from popdist.llm.crf import LineCrf, join_lines, line_features
 from popdist.llm.labelled import SAMPLE_ROWS, held_out, labelled_sample
 
 #: documents with a smaller score are rejected
 THRESHOLD = 0.7
+#: bytes of text whose lines are worked on at once
+SLICE = 512 << 10
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> LineCrf:
     """Fitted on at most ``rows`` labelled documents (see ``labelled_sample``).
     With no labels, or one kind only, every text scores alike."""
     sample = labelled_sample(docs, labels, "quality", rows)
-    return LineCrf.fit(line_features([t.encode() for t in sample.text]), sample.label.to_numpy())
-
-
-def score(docs: DataFrame, model: LineCrf, keep: list[str] | None = None) -> DataFrame:
-    """``keep`` (default doc_id) and ``score`` of every row and whole text.
+    texts = [t.encode() for t in sample.text]
+    sizes = np.array([len(t) for t in texts], dtype=np.int64)
+    return LineCrf.fit(join_lines([line_features(texts[s]) for s in slices(sizes, SLICE)]), sample.label.to_numpy())
 
-    One pass without shuffle.  A null text counts as empty; an empty text has
-    one empty line, and so a score.  Repeated rows are scored each.
-    """
-    keep = ["doc_id"] if keep is None else keep
-    source = docs.select(*keep, F.coalesce(docs["text"], F.lit("")).alias("_t"))
-    out = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in source.schema.fields[:-1])
 
-    def run(batches):
-        import numpy as np
+def scores(text: Column, model: LineCrf) -> Column:
+    """The score of every whole text.  Only the text goes to Python, about
+    ``SLICE`` bytes at a time are worked on; other columns stay in the JVM."""
 
-        for b in batches:
-            texts = b.column("_t").cast(pa.binary()).to_pylist()
-            for s in slices(np.array([len(t) for t in texts], dtype=np.int64), 2 << 20):
-                p = model.score(line_features(texts[s]))
-                n = s.stop - s.start
-                yield pa.RecordBatch.from_arrays([*(b.column(i).slice(s.start, n) for i in range(len(keep))), pa.array(p, pa.float64())], [*keep, "_score"])
+    def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in columns:
+            parts = [model.score(line_features(texts)) for _, texts in text_slices(column, SLICE)]
+            yield pa.array(np.concatenate([np.zeros(0), *parts]), pa.float64())
 
-    return source.mapInArrow(run, out + "_score double")
+    return F.arrow_udf(run, "double", F.ArrowUDFType.SCALAR_ITER)(F.coalesce(text, F.lit("")))
 
 
 def classify(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """doc_id, held_out, score, predicted (1 from ``THRESHOLD`` on)."""
-    return score(docs, train(docs, labels, rows)).select(
-        "doc_id", held_out("doc_id").alias("held_out"), F.col("_score").alias("score"),
-        (F.col("_score") >= THRESHOLD).cast("int").alias("predicted"))
+    """doc_id, held_out, score, predicted (1 from ``THRESHOLD`` on) of every row.
+
+    One pass without shuffle.  A null text counts as empty; an empty text has
+    one empty line, and so a score.  Repeated rows are scored each.
+    """
+    scored = docs.select("doc_id", scores(docs["text"], train(docs, labels, rows)).alias("score"))
+    return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score",
+                         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
     """The rows of ``docs`` that the classifier does not reject, unchanged."""
-    scored = score(docs, train(docs, labels, rows), keep=docs.columns)
-    return scored.where(F.col("_score") >= THRESHOLD).drop("_score")
+    return docs.where(scores(docs["text"], train(docs, labels, rows)) >= THRESHOLD)
