@@ -30,9 +30,10 @@ from popdist.llm.common import bucket, staged
 
 WINDOW = 50
 SEED_WORDS = 10
-#: different segments of a seed from which its windows are grouped by content;
-#: bounds the index that one seed can fill
-WIDE = 4_096
+#: different segments of a seed beyond which its windows are grouped by
+#: content instead; bounds what one seed adds to an index to about 3 million
+#: words, or 300 MB while it is built
+WIDE = 32_768
 #: segments of a shard's index, about
 SHARD_SEGMENTS = 3_000
 #: stands for a null doc_id: never earlier than another document
