@@ -24,6 +24,12 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with a unique long ``_row``, staged, so that every later read
+    sees the same numbers; ids and texts may repeat, ``_row`` never does."""
+    return staged(docs.withColumn("_row", F.monotonically_increasing_id()), name)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from popdist.llm.common import NO_ID, bucket, buckets_for, id_text, staged
+from popdist.llm.common import NO_ID, bucket, buckets_for, id_text, numbered, staged
 
 @dataclass(frozen=True)
 class Snapshot:
@@ -32,28 +32,41 @@ class Snapshot:
     buckets: int
 
 
+def _id_text(docs: DataFrame, row: str | None) -> DataFrame:
+    """(doc_id, text) as ``id_text``, and ``row`` where a column names the rows."""
+    if row is None:
+        return id_text(docs)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+                       F.coalesce("text", F.lit("")).alias("text"), F.col(row).alias("row"))
+
+
 def _normalised(batches: Iterator[pa.RecordBatch], keep_text: bool):
     for b in batches:
         texts = b.column("text").cast(pa.binary()).to_pylist()
         low = [t.lower() for t in texts]  # bytes.lower() changes A-Z only
-        cols = {"doc_id": b.column("doc_id"),
-                "sha": pa.array([hashlib.sha256(t).digest() for t in low], pa.binary())}
+        cols = {c: b.column(c) for c in b.schema.names if c != "text"}
+        cols |= {"sha": pa.array([hashlib.sha256(t).digest() for t in low], pa.binary())}
         if keep_text:
             cols |= {"body": pa.array(low, pa.binary())}
         yield pa.RecordBatch.from_pydict(cols)
 
 
 def _numbered(rows: DataFrame, digest_bytes: int, *more: str) -> DataFrame:
+    row = F.col("row") if "row" in rows.columns else F.monotonically_increasing_id()
     return rows.select(
-        F.monotonically_increasing_id().alias("row"), "doc_id",
+        row.alias("row"), "doc_id",
         F.coalesce("doc_id", F.lit(NO_ID)).alias("k"), "sha",
         F.substring("sha", 1, digest_bytes).alias("digest"), *more)
 
 
-def digests(docs: DataFrame, digest_bytes: int = 32) -> DataFrame:
+def _kinds(row: str | None) -> str:
+    return "doc_id long, sha binary" if row is None else "doc_id long, row long, sha binary"
+
+
+def digests(docs: DataFrame, digest_bytes: int = 32, row: str | None = None) -> DataFrame:
     """(row, doc_id, k, sha, digest) of every row, staged; k is doc_id or
     NO_ID, digest the first ``digest_bytes`` of the text's SHA-256."""
-    rows = id_text(docs).mapInArrow(lambda it: _normalised(it, False), "doc_id long, sha binary")
+    rows = _id_text(docs, row).mapInArrow(lambda it: _normalised(it, False), _kinds(row))
     return staged(_numbered(rows, digest_bytes), "dedup-digests")
 
 
@@ -115,18 +128,20 @@ def merge_batch(snapshot: Snapshot, incoming: DataFrame) -> DataFrame:
     return old.unionByName(new.select(*old.columns))
 
 
-def check_bytes(docs: DataFrame, rows: DataFrame, multi: DataFrame, digest_bytes: int) -> DataFrame:
+def check_bytes(docs: DataFrame, rows: DataFrame, multi: DataFrame, digest_bytes: int, row: str | None = None) -> DataFrame:
     """The rows of digests in ``multi``, as (row, doc_id, k, digest, alt, sha).
 
     ``alt`` is null where the text equals its group's first text byte by byte;
     a colliding text carries itself, so (digest, alt) separates unequal texts.
     """
     members = rows.join(multi.select("digest"), "digest", "left_semi")
-    ids = members.select("k").distinct()
-    texts = id_text(docs).withColumn("k", F.coalesce("doc_id", F.lit(NO_ID))).join(ids, "k", "left_semi")
+    if row is None:
+        ids = members.select("k").distinct()
+        texts = id_text(docs).withColumn("k", F.coalesce("doc_id", F.lit(NO_ID))).join(ids, "k", "left_semi").drop("k")
+    else:
+        texts = _id_text(docs, row).join(members.select("row"), "row", "left_semi").select("doc_id", "text", "row")
     bodies = staged(_numbered(
-        texts.select("doc_id", "text").mapInArrow(
-            lambda it: _normalised(it, True), "doc_id long, sha binary, body binary"),
+        texts.mapInArrow(lambda it: _normalised(it, True), f"{_kinds(row)}, body binary"),
         digest_bytes, "body"), "dedup-bodies")
     first = bodies.join(multi.select("digest", F.col("top.k").alias("k")), ["digest", "k"]) \
         .groupBy("digest").agg(F.min("body").alias("first_body"))
@@ -138,7 +153,7 @@ def check_bytes(docs: DataFrame, rows: DataFrame, multi: DataFrame, digest_bytes
         "dedup-checked")
 
 
-def dedup(docs: DataFrame, in_snapshot=None, digest_bytes: int = 32) -> DataFrame:
+def dedup(docs: DataFrame, in_snapshot=None, digest_bytes: int = 32, row: str | None = None) -> DataFrame:
     """Which rows of ``docs`` stay.
 
     Rows where the column ``in_snapshot`` (default: half of the doc_ids, by
@@ -146,9 +161,11 @@ def dedup(docs: DataFrame, in_snapshot=None, digest_bytes: int = 32) -> DataFram
     does not depend on that split.  Null texts count as empty.  Of equal texts
     the row with the largest doc_id stays; of rows that repeat that doc_id,
     one.  A null doc_id sorts below all others.
-    Columns: doc_id, keep_id, group_size, kept, text_sha256.
+    Columns: doc_id, keep_id, group_size, kept, text_sha256; and ``row``, if
+    ``row`` names a column of ``docs`` with unique, staged numbers.
     """
-    rows = digests(docs, digest_bytes)
+    own = () if row is None else ("row",)
+    rows = digests(docs, digest_bytes, row)
     split = F.pmod(F.xxhash64("k"), F.lit(2)) == 0 if in_snapshot is None else in_snapshot
     buckets = buckets_for(rows.count(), per_bucket=16_384)
     snapshot = build_snapshot(rows.where(split), buckets)
@@ -157,7 +174,7 @@ def dedup(docs: DataFrame, in_snapshot=None, digest_bytes: int = 32) -> DataFram
     multi = groups.where("n > 1")
 
     single = rows.join(multi.select("digest"), "digest", "left_anti")
-    checked = check_bytes(docs, rows, multi, digest_bytes)
+    checked = check_bytes(docs, rows, multi, digest_bytes, row)
     classes = staged(
         checked.groupBy("digest", "alt").agg(
             F.max(F.struct("k", "row")).alias("top"), F.count("*").alias("n")), "dedup-classes")
@@ -166,24 +183,16 @@ def dedup(docs: DataFrame, in_snapshot=None, digest_bytes: int = 32) -> DataFram
         "doc_id", F.when(F.col("top.k") != NO_ID, F.col("top.k")).alias("keep_id"),
         F.col("n").alias("group_size"),
         ((F.col("k") == F.col("top.k")) & (F.col("row") == F.col("top.row"))).alias("kept"),
-        F.lower(F.hex("sha")).alias("text_sha256"))
+        F.lower(F.hex("sha")).alias("text_sha256"), *own)
     return (
         single.select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
-                      F.lit(True).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"))
+                      F.lit(True).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"), *own)
         .unionByName(told(checked.where("alt is null").join(plain, "digest")))
         .unionByName(told(checked.where("alt is not null").join(classes, ["digest", "alt"]))))
 
 
 def keep_first_copies(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows that ``dedup`` drops; all columns kept."""
-    from pyspark.sql import Window
-
-    told = dedup(docs)
-    gone = told.where("not kept and (doc_id is null or keep_id is null or doc_id <> keep_id)") \
-        .select(F.coalesce("doc_id", F.lit(NO_ID)).alias("_k"), F.col("text_sha256").alias("_s"))
-    low = F.translate(F.coalesce("text", F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    left = docs.withColumn("_k", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))) \
-        .join(staged(gone, "dedup-gone"), "_k", "left")
-    once = Window.partitionBy("_k", F.coalesce("text", F.lit(""))).orderBy("_k")
-    kept = left.where(F.col("_s").isNull() | (F.sha2(low, 256) != F.col("_s")))
-    return kept.withColumn("_n", F.row_number().over(once)).where("_n = 1").drop("_k", "_s", "_n")
+    rows = numbered(docs, "dedup-rows")
+    gone = staged(dedup(rows, row="_row").where("not kept").select(F.col("row").alias("_row")), "dedup-gone")
+    return rows.join(gone, "_row", "left_anti").select(*docs.columns)

@@ -66,3 +66,22 @@ def test_stage_keeps_columns_and_one_row_of_each_text(odd_docs):
     assert kept.columns == odd_docs.columns
     texts = [low(r.text) for r in kept.collect()]
     assert sorted(texts) == sorted({low(r.text) for r in odd_docs.collect()})
+
+
+def test_stage_keeps_one_row_of_each_text_without_id(spark):
+    rows = [(None, f"text {i % 4}") for i in range(12)] + [(None, "alone"), (None, "Text 0"), (None, None), (None, "")]
+    rows += [(i, f"both {i % 2}") for i in range(6)] + [(None, "both 0"), (None, "BOTH 1")]
+    kept = keep_first_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(low(r.text) for r in kept) == sorted({low(t) for _, t in rows})
+    assert {(r.doc_id, r.text) for r in kept if r.doc_id is not None} == {(4, "both 0"), (5, "both 1")}
+
+
+def test_stage_with_a_hot_null_id(spark):
+    from pyspark.sql import functions as F
+
+    docs = spark.range(30_000).select(
+        F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"),
+        F.concat(F.lit("t"), (F.col("id") / 6).cast("long").cast("string")).alias("text"))
+    kept = keep_first_copies(docs).collect()
+    assert len(kept) == len({r.text for r in kept}) == 5_000
+    assert all(r.doc_id is not None for r in kept)
