@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from popdist.llm.bpe import slices, text_slices
-from popdist.llm.common import NO_ID, staged
+from popdist.llm.common import NO_ID, numbered, staged
 from popdist.llm.components import components
 from popdist.llm.substring_dedup import SpanHash, _squeezed, split_words, word_hashes
 
@@ -81,8 +81,8 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def _described(docs: DataFrame) -> DataFrame:
-    """(doc_id, key, th, set, size, sig) of every row; the last three are null
-    where there are no shingles."""
+    """(doc_id, row, set, sig, blank) of every row; set and sig are null where
+    there are no shingles, blank (a 128-bit name of the text) elsewhere."""
 
     def run(batches):
         for b in batches:
@@ -94,11 +94,13 @@ def _described(docs: DataFrame) -> DataFrame:
                     name[i], sig[i] = hashlib.blake2b(sets[i].tobytes(), digest_size=16).digest(), row.tobytes()
                 n = len(texts)
                 yield pa.RecordBatch.from_pydict(
-                    {c: b.column(c).slice(s.start, n) for c in ("doc_id", "key", "th")}
-                    | {"set": pa.array(name, pa.binary()), "sig": pa.array(sig, pa.binary())})
+                    {c: b.column(c).slice(s.start, n) for c in ("doc_id", "row")}
+                    | {"set": pa.array(name, pa.binary()), "sig": pa.array(sig, pa.binary()),
+                       "blank": pa.array([None if len(x) else hashlib.blake2b(t, digest_size=16).digest()
+                                          for x, t in zip(sets, texts, strict=True)], pa.binary())})
 
-    return docs.select("doc_id", "key", "th", "text").mapInArrow(
-        run, "doc_id long, key long, th int, set binary, sig binary")
+    return docs.select("doc_id", "row", "text").mapInArrow(
+        run, "doc_id long, row long, set binary, sig binary, blank binary")
 
 
 def _labels(classes: DataFrame, k: int) -> DataFrame:
@@ -219,24 +221,19 @@ def _block_rows(t: pa.Table) -> tuple[np.ndarray, np.ndarray, int, bool]:
     return _matrix(t.column("sig")), t.column("own").to_numpy(), int(t.column("tree")[0].as_py()), t.column("b1")[0] != t.column("b2")[0]
 
 
-def join(docs: DataFrame) -> DataFrame:
-    """(doc_id, class_id, n_links) of every row of ``docs``.
-
-    Two documents are linked when the Jaccard similarity of their sets of
-    5-word shingles is at least 0.8.  ``n_links``: how many other rows the row
-    is linked to, copies included; ``class_id``: the smallest doc_id of all
-    rows that links connect it with.  Null texts count as empty; a text
-    without words has no links and is its own class.  Repeated rows are copies.
-    A null doc_id is smaller than others, and no class_id but of its own class.
-    """
+def _classed(docs: DataFrame) -> DataFrame:
+    """(doc_id, row, top, n_links, blank) of every row of ``docs``, which has a
+    unique staged number ``_row``.  ``top`` (none, doc_id, row) is the row that
+    stands for the row's class: the smallest doc_id's, or where no row has a
+    doc_id (``none``) the smallest row number's."""
     k = prefix_length()
-    text = F.coalesce("text", F.lit(""))
-    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"),
-                        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("key"), F.hash(text).alias("th"))
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"),
+                        F.col("_row").alias("row"))
     rows = staged(_described(keyed), "jaccard-rows")
+    own = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
     classes = staged(
         rows.where("set is not null").groupBy("set").agg(
-            F.min(F.struct("key", "th")).alias("rep"), F.count("*").alias("copies"), F.first("sig").alias("sig"))
+            F.min(own).alias("top"), F.count("*").alias("copies"), F.first("sig").alias("sig"))
         .withColumn("cid", F.monotonically_increasing_id()), "jaccard-classes")
 
     # trie nodes with two or more classes; large ones as pairs of blocks
@@ -263,7 +260,7 @@ def join(docs: DataFrame) -> DataFrame:
 
     # the whole shingle sets of the classes that have a candidate
     wanted = classes.join(places.select("cid").distinct(), "cid").select(
-        "cid", "sig", "copies", F.col("rep.key").alias("key"), F.col("rep.th").alias("th"))
+        "cid", "sig", "copies", F.col("top.row").alias("row"))
 
     def shingles(batches):
         for b in batches:
@@ -274,15 +271,12 @@ def join(docs: DataFrame) -> DataFrame:
                     {c: b.column(c).slice(s.start, len(made)) for c in ("cid", "sig", "copies")}
                     | {"shingles": pa.array([x.tobytes() for x in made], pa.binary())})
 
-    squeezed = _squeezed(keyed.withColumnRenamed("key", "k")).select(F.col("k").alias("key"), "th", "z")
-    sets = staged(squeezed.join(wanted, ["key", "th"]).select("cid", "sig", "copies", "z")
+    sets = staged(_squeezed(keyed, "row long").join(wanted, "row").select("cid", "sig", "copies", "z")
                   .mapInArrow(shingles, "cid long, sig binary, copies long, shingles binary"), "jaccard-sets")
     full = places.join(sets, "cid").repartition(*NODE).sortWithinPartitions(*NODE, "cid")
 
     def verify(batches):
         for t in _grouped(batches, NODE):
-            # repeated rows of a class's first document gave it several times
-            t = t.take(np.unique(t.column("cid").to_numpy(), return_index=True)[1])
             sig, own, tree, paired = _block_rows(t)
             x, y = _candidates(sig, own, tree, k, paired and own.min() != own.max())
             if paired and own.min() == own.max() or not len(x):
@@ -299,25 +293,43 @@ def join(docs: DataFrame) -> DataFrame:
     found = staged(full.mapInArrow(verify, "cid long, links long, root long"), "jaccard-found")
     roots = components(found.select(F.col("cid").alias("u"), F.col("root").alias("v")))
     links = found.groupBy("cid").agg(F.sum("links").alias("links"))
-    labelled = classes.select("cid", "set", "copies", "rep.key") \
+    labelled = classes.select("cid", "set", "copies", "top") \
         .join(links, "cid", "left").join(roots.select(F.col("u").alias("cid"), "root"), "cid", "left") \
         .withColumn("root", F.coalesce("root", "cid"))
     labelled = staged(labelled, "jaccard-labelled")
-    least = labelled.groupBy("root").agg(F.min("key").alias("class_key"))
+    least = labelled.groupBy("root").agg(F.min("top").alias("class_top"))
     of_set = staged(labelled.join(staged(least, "jaccard-least"), "root").select(
-        "set", "class_key", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "jaccard-of-set")
-    told = rows.where("set is not null").join(of_set, "set").select(
-        "doc_id", F.when(F.col("class_key") != NO_ID, F.col("class_key")).alias("class_id"), "n_links")
+        "set", F.col("class_top").alias("top"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "jaccard-of-set")
+    told = rows.where("set is not null").join(of_set, "set").select("doc_id", "row", "top", "n_links", "blank")
     return told.unionByName(rows.where("set is null").select(
-        "doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links")))
+        "doc_id", "row", own.alias("top"), F.lit(0).cast("long").alias("n_links"), "blank"))
+
+
+def join(docs: DataFrame) -> DataFrame:
+    """(doc_id, class_id, n_links) of every row of ``docs``.
+
+    Two documents are linked when the Jaccard similarity of their sets of
+    5-word shingles is at least 0.8.  ``n_links``: how many other rows the row
+    is linked to, copies included; ``class_id``: the smallest doc_id of all
+    rows that links connect it with.  Null texts count as empty; a text
+    without words has no links and is its own class.  Repeated rows are copies.
+    Rows without doc_id belong to their class like others; a class where no
+    row has a doc_id is named by a number of its own, from ``NO_ID`` + 1 on.
+    """
+    return _classed(numbered(docs.select("doc_id", "text"), "jaccard-docs")).select(
+        "doc_id", F.coalesce("top.doc_id", F.col("top.row") + F.lit(NO_ID + 1)).alias("class_id"), "n_links")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each class: the smallest doc_id's, all
-    columns unchanged.  Rows without doc_id stay."""
+    """``docs`` with one row of each class, all columns unchanged: one of the
+    smallest doc_id, or any one where no row has a doc_id.  Of texts without
+    words, only rows that repeat doc_id and text go."""
     from pyspark.sql import Window
 
-    gone = staged(join(docs).where("doc_id <> class_id").select("doc_id").distinct(), "jaccard-gone")
-    left = docs.join(gone, docs["doc_id"] == gone["doc_id"], "left_anti")
-    once = Window.partitionBy("doc_id", "text").orderBy("doc_id")
-    return left.withColumn("_n", F.row_number().over(once)).where("_n = 1 or doc_id is null").drop("_n")
+    rows = numbered(docs, "jaccard-docs")
+    told = staged(_classed(rows).select("doc_id", "row", F.col("top.row").alias("top"), "blank"), "jaccard-told")
+    once = Window.partitionBy("doc_id", "blank").orderBy("row")
+    again = told.where("blank is not null and doc_id is not null") \
+        .withColumn("_n", F.row_number().over(once)).where("_n > 1").select("row")
+    gone = staged(told.where("row <> top").select("row").unionByName(again).withColumnRenamed("row", "_row"), "jaccard-gone")
+    return rows.join(gone, "_row", "left_anti").select(*docs.columns)

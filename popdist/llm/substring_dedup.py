@@ -95,24 +95,28 @@ def seeds(h: np.ndarray, doc: np.ndarray, window: int, k: int) -> tuple[np.ndarr
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, k, th): k and th name a document, also where ids repeat."""
+    """(doc_id, text, k, th): k and th name a document, also where ids repeat
+    or are missing; th is 128 bits of the text, so that different texts of the
+    many rows without doc_id do not meet."""
     text = F.coalesce("text", F.lit(""))
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"),
-                       F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("k"), F.hash(text).alias("th"))
+                       F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("k"),
+                       F.unhex(F.md5(text)).alias("th"))
 
 
-def _squeezed(docs: DataFrame) -> DataFrame:
-    """(doc_id, k, th, z): the texts compressed before they are shuffled."""
+def _squeezed(docs: DataFrame, others: str = "doc_id long, k long, th binary") -> DataFrame:
+    """The columns ``others``, and z: the texts compressed before they are shuffled."""
+    names = [c.split()[0] for c in others.split(", ")]
 
     def run(batches):
         pack = zstandard.ZstdCompressor(level=3).compress
         for b in batches:
             for s, texts in text_slices(b.column("text")):
                 yield pa.RecordBatch.from_pydict(
-                    {c: b.column(c).slice(s.start, len(texts)) for c in ("doc_id", "k", "th")}
+                    {c: b.column(c).slice(s.start, len(texts)) for c in names}
                     | {"z": pa.array([pack(t) for t in texts], pa.binary())})
 
-    return docs.select("doc_id", "k", "th", "text").mapInArrow(run, "doc_id long, k long, th int, z binary")
+    return docs.select(*names, "text").mapInArrow(run, f"{others}, z binary")
 
 
 def _rows_of(words: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -142,7 +146,7 @@ def occurrences(docs: DataFrame, window: int, k: int) -> DataFrame:
                     "pos": pa.array((a - first[owner]).astype(np.int32)), "seed": pa.array(seed.view(np.int64)),
                     "d": pa.array(d.view(np.int64)), "size": pa.array((e - a).astype(np.int32))})
 
-    return docs.select("k", "th", "text").mapInArrow(run, "k long, th int, pos int, seed long, d long, size int")
+    return docs.select("k", "th", "text").mapInArrow(run, "k long, th binary, pos int, seed long, d long, size int")
 
 
 def fetch(docs: DataFrame, wanted: DataFrame) -> DataFrame:

@@ -148,6 +148,32 @@ def test_join_odd_rows(odd_docs, no_docs):
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == [1, 3, 4, 5, 7, 8, 9]
 
 
+def test_rows_without_id_belong_to_their_class(spark):
+    text = [" ".join(f"{g}{i}" for i in range(60)) for g in "abcd"]
+    near = lambda t, i: f"{t} end{i}"
+    rows = [(None, near(text[0], 0)), *((10 + i, near(text[0], i)) for i in range(6)), (None, near(text[0], 9))]
+    rows += [(None, near(t, i % 3)) for t in text[1:3] for i in range(5)]  # two classes without any doc_id
+    rows += [(11, text[3]), (30, near(text[3], 1)), (None, "")]  # a repeated doc_id in another class
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    classes = defaultdict(Counter)
+    for r in J.join(docs).collect():
+        classes[r.class_id][r.doc_id] += 1
+    named = {c: n for c, n in classes.items() if c >= 0}
+    assert named == {10: Counter([None, None, *range(10, 16)]), 11: Counter([11, 30])}
+    assert sorted(n[None] for c, n in classes.items() if c < 0) == [1, 5, 5]
+    kept = J.keep_one(docs).collect()
+    assert sorted(r.text[:2] for r in kept) == ["", "a0", "b0", "c0", "d0"]
+    assert sorted(r.doc_id for r in kept if r.doc_id is not None) == [10, 11]
+
+
+def test_different_texts_without_id_have_different_names(spark):
+    from popdist.llm.substring_dedup import _keyed
+
+    n = 200_000  # 32 bits would meet here
+    docs = spark.range(n).selectExpr("cast(null as long) doc_id", "concat('text ', id) text")
+    assert _keyed(docs).select("k", "th").distinct().count() == n
+
+
 def test_prefix_reaches_the_recall():
     k = J.prefix_length()
     assert 1 - (1 - 0.8 ** k) ** J.TREES >= J.RECALL > 1 - (1 - 0.8 ** (k + 1)) ** J.TREES
