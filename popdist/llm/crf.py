@@ -168,8 +168,12 @@ class LineCrf:
     trans: np.ndarray
     mean: np.ndarray
     scale: np.ndarray
-    #: score of a text of no lines at all
+    #: score of a text of no lines at all, or of every text of a flat model
     prior: float
+    #: learnt from labels of one kind, or from none
+    flat: bool = False
+    #: there were labels
+    known: bool = True
 
     def _scaled(self, x: np.ndarray) -> np.ndarray:
         z = np.clip((x - self.mean) / self.scale, -8, 8)
@@ -177,9 +181,11 @@ class LineCrf:
 
     @classmethod
     def fit(cls, lines: Lines, labels: np.ndarray, epochs: int = 30, rate: float = 0.03, decay: float = 1e-3, batch: int = 256, seed: int = 0) -> "LineCrf":
-        """Every line of a document is taught the document's label."""
+        """Every line of a document is taught the document's label.  With labels
+        of fewer than two kinds the model is flat and scores the labels' mean."""
         x = with_neighbours(lines)
-        flat = cls(np.zeros((x.shape[1] + 1, 2)), np.zeros((2, 2)), np.zeros(x.shape[1]), np.ones(x.shape[1]), 0.5)
+        flat = cls(np.zeros((x.shape[1] + 1, 2)), np.zeros((2, 2)), np.zeros(x.shape[1]), np.ones(x.shape[1]),
+                   float(labels.mean()) if len(labels) else 0.5, flat=True, known=len(labels) > 0)
         if len(np.unique(labels)) < 2:
             return flat
         model = cls(flat.weights, flat.trans, x.mean(0), x.std(0) + 1e-3, float(labels.mean()))
@@ -216,6 +222,8 @@ class LineCrf:
 
     def score(self, lines: Lines) -> np.ndarray:
         """Length-weighted mean of the lines' marginals, by document."""
+        if self.flat:
+            return np.full(lines.n_docs, self.prior)
         p = self.line_marginals(lines)
         total = np.bincount(lines.doc, lines.weight, lines.n_docs)
         part = np.bincount(lines.doc, lines.weight * p, lines.n_docs)

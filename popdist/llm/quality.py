@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from popdist.llm.bpe import slices, text_slices
 from popdist.llm.crf import LineCrf, join_lines, line_features
-from popdist.llm.labelled import SAMPLE_ROWS, held_out, labelled_sample
+from popdist.llm.labelled import SAMPLE_ROWS, held_out, labelled_lines
 
 #: documents with a smaller score are rejected
 THRESHOLD = 0.7
@@ -25,9 +25,10 @@ SLICE = 512 << 10
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> LineCrf:
-    """Fitted on at most ``rows`` labelled documents (see ``labelled_sample``).
-    With no labels, or one kind only, every text scores alike."""
-    sample = labelled_sample(docs, labels, "quality", rows)
+    """Fitted on at most ``rows`` labelled documents (see ``labelled_lines``).
+    With labels of one kind only, every text scores that label; with none, 0.5,
+    and the model is not ``known``."""
+    sample = labelled_lines(docs, labels, "quality", rows)
     texts = [t.encode() for t in sample.text]
     sizes = np.array([len(t) for t in texts], dtype=np.int64)
     return LineCrf.fit(join_lines([line_features(texts[s]) for s in slices(sizes, SLICE)]), sample.label.to_numpy())
@@ -57,5 +58,7 @@ def classify(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Dat
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """The rows of ``docs`` that the classifier does not reject, unchanged."""
-    return docs.where(scores(docs["text"], train(docs, labels, rows)) >= THRESHOLD)
+    """The rows of ``docs`` that the classifier does not reject, unchanged; all
+    of them where there are no labels to learn from."""
+    model = train(docs, labels, rows)
+    return docs.where(scores(docs["text"], model) >= THRESHOLD) if model.known else docs

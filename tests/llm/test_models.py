@@ -109,3 +109,39 @@ def test_quality_of_held_out_documents(spark):
     truth = {r.doc_id: r.quality for r in spark.read.parquet(f"{SMALL}/labels.parquet").collect()}
     told = [(r.predicted, truth[r.doc_id]) for r in op4_quality(spark, SMALL).collect() if r.held_out and r.doc_id in truth]
     assert sum(p == t for p, t in told) >= 0.93 * len(told)
+
+
+def test_long_documents_are_learnt_from_too(spark, labelled_docs, labels):
+    from pyspark.sql import functions as F
+
+    long = labelled_docs.withColumn("text", F.expr("repeat(concat(text, '\n'), 60)"))
+    assert long.where("char_length(text) <= 8000").count() == 0
+    sample = quality.labelled_lines(long, labels, "quality")
+    assert sample.label.nunique() == 2 and sample.text.str.len().between(6_000, 8_000).all()
+    want = {r.doc_id: r.quality for r in labels.collect()}
+    got = quality.classify(long, labels).collect()
+    assert sum(r.predicted == want[r.doc_id] for r in got) > 110
+    good = sum(want[r.doc_id] for r in got)
+    assert abs(quality.keep_good(long, labels).count() - good) < 10
+
+
+def test_labels_of_one_kind_or_none_reject_nothing_by_default(labelled_docs, labels):
+    for some in (labels.where("false"), labels.where("quality = 1")):
+        assert quality.keep_good(labelled_docs, some).count() == labelled_docs.count()
+    assert {r.score for r in quality.classify(labelled_docs, labels.where("quality = 0")).collect()} == {0.0}
+
+
+def test_labels_without_documents_take_no_place(spark, labelled_docs, labels):
+    more = labels.union(spark.range(10 ** 6, 10 ** 6 + 5000).selectExpr("id doc_id", "1 quality", "0 toxic"))
+    assert len(quality.labelled_lines(labelled_docs, more, "quality", 50)) == 50
+
+
+def test_lines_come_from_all_over_a_long_text():
+    from popdist.llm.labelled import some_lines
+
+    lines = [f"line {i} " + "x" * 60 for i in range(5000)]
+    got = some_lines("\n".join(lines)).split("\n")
+    places = [lines.index(x) for x in got]
+    assert places == sorted(places) and len(places) > 90 and places[0] < 500 and places[-1] > 4500
+    one = some_lines("y" * 100_000)
+    assert 6_000 < len(one) <= 8_000 and some_lines("short") == "short"
