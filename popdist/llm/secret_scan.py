@@ -4,13 +4,16 @@ A candidate is a run of at least ``SHORTEST`` token characters.  For each
 character class, a window slides over the candidate's stretches of that class;
 its Shannon entropy follows from counts that change by one character in and
 one out.  Windows at or above the class's threshold are merged into a span,
-unless an allow-list pattern explains the stretch.
+unless an allow-list pattern explains the whole span or the whole run.
+Harmless pieces (fillers, placeholder words) are cut out before, and explain
+nothing but themselves.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -48,14 +51,20 @@ CLASSES = (
     CharClass("entropy_hex", "0123456789abcdefABCDEF", 24, 3.0, r"(?=.*[0-9])(?=.*[a-fA-F])"),
     CharClass("entropy_base64", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-", 20, 3.9,
               r"(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z])"),
+    # of 20 random characters, 0.6 % (base32) and 0.2 % (base36) have less than 3.3 bits
+    CharClass("entropy_upper", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", 20, 3.3, r"(?=.*[0-9])(?=.*[A-Z])"),
+    CharClass("entropy_lower", "abcdefghijklmnopqrstuvwxyz0123456789", 20, 3.3, r"(?=.*[0-9])(?=.*[a-z])"),
 )
-#: stretches that are not secrets although they look random
+#: whole spans or runs that are not secrets although they look random
 ALLOW = (
     r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",  # UUID
     r"[0-9_.=+/-]+",  # numbers, dates
     r"[A-Za-z]+([_/=.-][A-Za-z]+)*[0-9]{0,4}",  # words and paths
-    r".*(?i:example|placeholder|changeme|xxxx).*",
-    r".*(.)\1{7}.*",  # fillers
+)
+#: harmless pieces of a stretch; what is left of it counts
+PIECES = (
+    r"(?i:example|placeholder|changeme|x{4,})",
+    r"(.)\1{7,}",  # fillers
 )
 KINDS = (*BASE_KINDS, *(c.kind for c in CLASSES))
 
@@ -89,9 +98,10 @@ def high_windows(text: str, window: int, bits: float) -> list[tuple[int, int]]:
 
 
 class Scanner:
-    def __init__(self, classes: Iterable[CharClass] = CLASSES, allow: Iterable[str] = ALLOW):
+    def __init__(self, classes: Iterable[CharClass] = CLASSES, allow: Iterable[str] = ALLOW, pieces: Iterable[str] = PIECES):
         self.classes = [(c, re.compile(f"[{re.escape(c.letters)}]{{{c.window},}}"), re.compile(c.needs)) for c in classes]
         self.allow = [re.compile(a) for a in allow]
+        self.pieces = [re.compile(p) for p in pieces]
 
     @staticmethod
     def base(text: str) -> list[tuple[int, str, int]]:
@@ -107,15 +117,35 @@ class Scanner:
     def hexes(run: str, at: int) -> list[tuple[int, str, int]]:
         return [(at + m.start(), "hex", at + m.end()) for m in HEX.finditer(run) if len(m[0]) >= LEAST["hex"]]
 
+    def left(self, stretch: str) -> list[tuple[int, int]]:
+        """[start, end) of what stays of a stretch without its harmless pieces."""
+        out, at = [], 0
+        for a, b in sorted(m.span() for p in self.pieces for m in p.finditer(stretch)):
+            if a > at:
+                out.append((at, a))
+            at = max(at, b)
+        return [*out, (at, len(stretch))] if at < len(stretch) else out
+
     def added(self, run: str, at: int) -> list[tuple[int, str, int]]:
         """Entropy spans of one candidate."""
+        if any(x.fullmatch(run) for x in self.allow):
+            return []
         out = []
         for c, stretch, needs in self.classes:
             for m in stretch.finditer(run):
-                for a, b in high_windows(m[0], c.window, c.bits):
-                    found = m[0][a:b]
-                    if needs.match(found) and not any(x.fullmatch(found) or x.fullmatch(run) for x in self.allow):
-                        out.append((at + m.start() + a, c.kind, at + m.start() + b))
+                parts, first = self.left(m[0]), [0]
+                for a, b in parts:
+                    first.append(first[-1] + b - a)
+                rest = "".join(m[0][a:b] for a, b in parts)
+                for a, b in high_windows(rest, c.window, c.bits):
+                    found = rest[a:b]
+                    if not needs.match(found) or any(x.fullmatch(found) for x in self.allow):
+                        continue
+                    i = bisect_right(first, a) - 1
+                    while i < len(parts) and first[i] < b:  # the span's parts, where they were
+                        s, e = max(a, first[i]), min(b, first[i + 1])
+                        out.append((at + m.start() + parts[i][0] + s - first[i], c.kind, at + m.start() + parts[i][0] + e - first[i]))
+                        i += 1
         return out
 
     def scan(self, text: str, runs: list[tuple[int, str]]) -> list[tuple[str, int, int]]:

@@ -76,3 +76,30 @@ def test_redaction(docs, odd_docs, no_docs):
     changed = [r for r in again.collect() if r.doc_id == 8][0]
     assert changed.n_chars == len(changed.text)
     assert scan(no_docs).count() == 0
+
+
+def added(text):
+    return [(k, text[a:b]) for a, k, b in Scanner().added(text, 0)]
+
+
+def test_a_harmless_piece_hides_only_itself():
+    key = "Zx9Qw3Er7Ty1Ui5Op2As8Df4Gh6"
+    assert any(key in x for _, x in added(f"/docs/example/key-{key}"))
+    blob = "".join("Qw3Er7Ty1Ui5Op2As8Df4Gh6Zx9"[i % 27] for i in range(0, 4000, 5))
+    for piece in ("xxxx", "AAAAAAAA", "XxXx"):
+        found = added(blob[:400] + piece + blob[400:])
+        assert sum(len(x) for k, x in found if k == "entropy_base64") > 700
+    halves = added("Zx9Qw3Er7Ty1Ui5" + "xxxx" + "Op2As8Df4Gh6Kl0")  # each half is shorter than a window
+    assert [x for k, x in halves if k == "entropy_base64"] == ["Zx9Qw3Er7Ty1Ui5", "Op2As8Df4Gh6Kl0"]
+    assert added("example" * 5) == added("x" * 60) == added("EXAMPLEkey9Zx8Qw7Er6Ty5Ui4") == []
+
+
+def test_tokens_of_one_case_and_digits():
+    import random
+
+    r = random.Random(3)
+    for letters, kind in (("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "entropy_upper"), ("abcdefghijklmnopqrstuvwxyz0123456789", "entropy_lower")):
+        found = sum(any(k == kind for k, _ in added("".join(r.choices(letters, k=32)))) for _ in range(500))
+        assert found >= 495
+    for plain in ("internationalization2024", "some-long-name/of-a-page/2024-01-02/section12", "THEQUICKBROWNFOXJUMPS", "1" * 30):
+        assert added(plain) == []
