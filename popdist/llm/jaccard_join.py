@@ -1,13 +1,12 @@
-"""N-gram Jaccard join by a MinHash LSH forest with exact verification.
+"""N-gram Jaccard join by MinHash banding with exact verification.
 
 Documents with equal shingle sets are one class and are expanded never again.
-A class has a MinHash signature; each tree of the forest labels it with a run
-of the signature.  Sorted by label, a tree is a prefix trie: two classes are
-candidates when their labels share a prefix.  The prefix starts at the whole
-label and is shortened until the forest's recall at the threshold reaches the
-target.  Candidates are then verified on their whole shingle sets.
+A class has a MinHash signature; each tree (band) labels it with a run of the
+signature.  Two classes are candidates when their labels share a prefix.  Its
+length is fixed: the longest whose recall at the threshold reaches the target,
+whatever the data.  Candidates are then verified on their whole shingle sets.
 
-No pair is ever a row.  A trie node is a block of classes, a large node is
+No pair is ever a row.  A node (equal prefixes) is a block of classes, a large node is
 split into pairs of blocks; a task counts the links of its block and reports,
 for each class, how many documents it links to and one class of its
 component.  A pair is counted only in the first tree where it meets.
