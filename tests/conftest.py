@@ -4,9 +4,10 @@ import tempfile
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path[:0] = [os.path.dirname(HERE), HERE]
 
-SMALL = "/root/testdata/sf0.001"
+from inputs import SMALL  # noqa: E402
 
 
 @pytest.fixture(scope="session")

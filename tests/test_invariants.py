@@ -4,7 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from conftest import SMALL
+from inputs import SMALL
 from popdist.operators import states
 from popdist.operators.survey import survey_join
 from popdist.plans.context import COHORTS, Context

@@ -3,7 +3,7 @@
 import json
 import tempfile
 
-from conftest import SMALL
+from inputs import SMALL
 from popdist.plans.context import COHORTS, Context
 from popdist.plans.module_build import BuildInputs, build_modules
 from popdist.settings import ModuleSettings

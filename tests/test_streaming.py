@@ -4,7 +4,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from conftest import SMALL
+from inputs import SMALL
 from popdist.plans.context import Context
 from popdist.streaming.incremental import run_order_ingest
 
