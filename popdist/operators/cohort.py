@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import small_table
 from ..settings import INGREDIENT_TTYS, ModuleSettings
 from ..sources.class_members import class_query_table, resolve_class_members
 
@@ -20,7 +21,7 @@ CROSSWALK_KEYS = ("medication_ingredient_rxcui", "medication_product_rxcui")
 
 def id_table(spark: SparkSession, pairs: Sequence[tuple[str, str]], col: str = "rxcui") -> DataFrame:
     """(cohort, id) rows from settings lists."""
-    return spark.createDataFrame(list(pairs), f"cohort string, {col} string")
+    return small_table(spark, list(pairs), f"cohort string, {col} string")
 
 
 def cohort_ingredient_ids(spark: SparkSession, cohorts: Sequence[ModuleSettings],
@@ -96,28 +97,14 @@ def resolve_one_per_ndc(rows: DataFrame, key: Sequence[str] = ("cohort", "medica
     return rows.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
-def _per_cohort(cohorts: Sequence[ModuleSettings], test) -> Column:
-    """A boolean column that applies a per-cohort condition (cohort count is
-    small: it is the number of modules in the job)."""
-    expr = None
-    for m in cohorts:
-        cond = test(m)
-        if cond is None:
-            continue
-        branch = F.col("cohort") == F.lit(m.module_name)
-        expr = (F.when(branch, cond) if expr is None else expr.when(branch, cond))
-    return F.lit(True) if expr is None else expr.otherwise(F.lit(True))
-
-
 def filter_by_ingredient_tty(rows: DataFrame, cohorts: Sequence[ModuleSettings]) -> DataFrame:
     """Keep rows of the chosen ingredient term type; a filter value other
-    than IN / MIN leaves the cohort unfiltered."""
-
-    def test(m: ModuleSettings):
-        v = m.ingredient_tty_filter
-        return (F.col("medication_ingredient_tty") == F.lit(v)) if v in INGREDIENT_TTYS else None
-
-    return rows.where(_per_cohort(cohorts, test))
+    than IN / MIN leaves the cohort unfiltered.  The filters are a keyed table,
+    so the plan is the same for any number of cohorts."""
+    wanted = id_table(rows.sparkSession, [(m.module_name, m.ingredient_tty_filter) for m in cohorts
+                                          if m.ingredient_tty_filter in INGREDIENT_TTYS], "_wanted")
+    kept = rows.join(wanted, "cohort", "left")
+    return kept.where(F.col("_wanted").isNull() | (F.col("medication_ingredient_tty") == F.col("_wanted"))).select(*rows.columns)
 
 
 def filter_by_dose_form(rows: DataFrame, cohorts: Sequence[ModuleSettings], dose_form_map: DataFrame,
@@ -139,13 +126,12 @@ def filter_by_dose_form(rows: DataFrame, cohorts: Sequence[ModuleSettings], dose
     by_form = values.join(dmap, values["value"] == dmap["df"]).select("cohort", "df")
     forms = (by_group.unionByName(by_form).distinct().withColumnRenamed("df", "dose_form_name")
              .withColumn("_listed", F.lit(True)))
-    # One pass: a left join against the distinct (cohort, form) pairs never
-    # duplicates a row; a null form matches nothing, as in a semi/anti join.
-    names = [m.module_name for m in listed]
+    # Left joins against distinct keys never duplicate a row; a null form
+    # matches nothing, as in a semi/anti join.
+    names = small_table(spark, [(m.module_name, True) for m in listed], "cohort string, _filtered boolean")
     hit = F.col("_listed").isNotNull() if method == "include" else F.col("_listed").isNull()
-    return (rows.join(forms, ["cohort", "dose_form_name"], "left")
-            .where(~F.col("cohort").isin(names) | hit)
-            .drop("_listed")
+    return (rows.join(forms, ["cohort", "dose_form_name"], "left").join(names, "cohort", "left")
+            .where(F.col("_filtered").isNull() | hit)
             .select(*rows.columns))
 
 

@@ -10,8 +10,9 @@ from ..fixtures import Fixtures
 from ..operators import cohort as co
 from ..operators.distribution import Distribution
 from ..operators.graph import build_crosswalk, dose_form_groups
+from ..operators.profiles import ProfiledDistribution, profile_table
 from ..operators.survey import survey_reference
-from ..session import apply_defaults
+from ..session import apply_defaults, staged
 from ..settings import ClassQuery, ModuleSettings
 
 # The flagship module: the whole vocabulary as one cohort.
@@ -36,13 +37,19 @@ MIXED = ModuleSettings(
     dose_form_filter=("STANDARD",),
     ingredient_tty_filter="MIN",
 )
-EXCLUDING = ModuleSettings(
-    module_name="excluding_forms",
-    rxclass_include=(ClassQuery("PROMO", "ATC"),),
-    dose_form_filter=("PROMO", "ASIA Product"),
-)
 COHORTS = (BRANDS, ECONOMY, MIXED)
 
+# Modules of other demographic profiles, built together with those above.
+ONLY_AGE = ModuleSettings(
+    module_name="only_age", rxclass_include=(ClassQuery("PROMO", "ATC"),), dose_form_filter=("PROMO", "ASIA Product"),
+    flags={"age": True, "gender": False, "state": False}, age_ranges=("0-17", "18-64", "50-103"))
+NO_GROUPS = ModuleSettings(
+    module_name="no_groups", rxcui_include=("I-Brand#4", "M-2"), flags={"age": False, "gender": False, "state": False})
+BY_STATE = ModuleSettings(
+    module_name="by_state", rxcui_include=("M-0", "I-Brand#6"), ingredient_tty_filter="MIN",
+    flags={"age": False, "gender": True, "state": True})
+PROFILED = (*COHORTS, ONLY_AGE, NO_GROUPS, BY_STATE)
+
 
 class Context:
     """Lazily built inputs over one scale-factor folder."""
@@ -75,6 +82,12 @@ class Context:
     def reference(self) -> DataFrame:
         return survey_reference(self.fx.prescription, self.fx.demographics)
 
+    def profiled(self, modules=PROFILED) -> ProfiledDistribution:
+        """Modules of any demographic profiles in one plan, over staged package rows."""
+        ndc = staged(self.module_ndc_rows(modules), "packages")
+        return ProfiledDistribution(self.fx.prescription, self.fx.demographics, ndc, self.fx.region_states,
+                                    profile_table(self.spark, modules))
+
     # -- distributions -----------------------------------------------------------
     def distribution(self, ndc_rows: DataFrame | None = None, **flags) -> Distribution:
         return Distribution(self.fx.prescription, self.fx.demographics,

@@ -148,7 +148,7 @@ def cohort_chain(cohorts) -> list[str]:
             for cq in getattr(m, f"rxclass_{which}") or ():
                 src = RELATION_SOURCE[cq.relationship]
                 rela = "" if cq.relationship in SINGLE_RELATION_SOURCES else f" AND rela = {q(cq.relationship)}"
-                parts.append(f"SELECT {q(m.module_name)}, rxcui FROM fx_class_members "
+                parts.append(f"SELECT {q(m.module_name)} AS cohort, rxcui FROM fx_class_members "
                              f"WHERE class_id = {q(cq.class_id)} AND rela_source = {q(src)}{rela}")
         if not parts:
             parts.append("SELECT CAST(NULL AS VARCHAR) AS cohort, CAST(NULL AS VARCHAR) AS rxcui WHERE false")

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from ..settings import DEFAULT_AGE_RANGES
 from . import oracle as o
-from .context import CLASS_QUERIES, COHORTS, FORM_FILTER, TTY_FILTER
+from . import oracle_modules as om
+from .context import CLASS_QUERIES, COHORTS, FORM_FILTER, PROFILED, TTY_FILTER
 
 _COHORT_COLS = ("cohort, medication_ingredient_rxcui, medication_ingredient_name, medication_ingredient_tty, "
                 "medication_product_rxcui, medication_product_name, dose_form_name, medication_ndc")
@@ -27,6 +29,9 @@ ORACLES: dict[str, str] = {
     "lookup_wide_product": o.lookup_wide_sql("all_medications_combo_0_product_distribution.csv", o.WIDE_PRODUCT_NAMES),
     "lookup_wide_noflags": o.lookup_wide_sql("all_medications_ingredient_distribution.csv", o.WIDE_INGREDIENT_NAMES,
                                              age=False, gender=False, state=False),
+    "lookup_wide_files": om.wide_files_sql(PROFILED, DEFAULT_AGE_RANGES),
+    "profile_distribution": om.profile_sql(PROFILED, DEFAULT_AGE_RANGES),
+    "module_documents": om.documents_sql(COHORTS),
     # concept graph
     "build_crosswalk": o.build_crosswalk_sql(),
     "typed_path_2hop": o.typed_path_sql("IN", ("ingredient_of", "constitutes"), "SCD"),

@@ -22,6 +22,7 @@ from ..sources import delimited, profile, sinks
 from ..sources import dimensions as dims
 from ..sources import fixed_width as fw
 from ..sources.class_members import class_query_table, resolve_class_members, unmatched_class_queries
+from ..sources.wide_lookup import read_wide, write_wide
 from ..streaming import incremental
 from .context import ALL, CLASS_QUERIES, COHORTS, FORM_FILTER, PEDIATRIC_BANDS, TTY_FILTER, Context
 
@@ -154,6 +155,22 @@ def lookup_csv_roundtrip(ctx: Context) -> DataFrame:
     return _single(sinks.read_csv(ctx.spark, path, schema))
 
 
+@query
+def lookup_wide_files(ctx: Context) -> DataFrame:
+    """The wide CSV file of every lookup table of six modules with four
+    demographic profiles, written in one job and read back line by line."""
+    dist = ctx.profiled()
+    path = scratch_path(ctx.spark, "wide-files")
+    write_wide(lookup.lookup_long(dist), dist.profiles, path)
+    return read_wide(ctx.spark, path).withColumnRenamed("module", "cohort").withColumnRenamed("file", "lookup_table")
+
+
+@query
+def profile_distribution(ctx: Context) -> DataFrame:
+    """Ingredient shares of modules with different flags and bands, in one plan."""
+    return ctx.profiled().ingredient()
+
+
 # -- C1 / C2 / J1: concept graph -------------------------------------------
 
 @query
@@ -400,17 +417,16 @@ def rollup_remarks(ctx: Context) -> DataFrame:
 
 @query
 def order_states(ctx: Context) -> DataFrame:
-    rows = survey.survey_join(ctx.reference, ctx.all_ndc_rows())
-    return _single(states.order_states(rows, [ALL_MODULE]))
+    pairs = states.prescribed_pairs(ctx.all_ndc_rows(), ctx.fx.prescription, ctx.fx.demographics)
+    return _single(states.order_states(pairs, [ALL_MODULE]))
 
 
 @query
 def module_documents(ctx: Context) -> DataFrame:
-    """One JSON document per module, three modules in one job."""
-    ndc = ctx.module_ndc_rows()
-    dist = ctx.distribution(ndc)
-    rows = survey.survey_join(ctx.reference, ndc)
-    return states.module_documents(dist, rows, list(COHORTS))
+    """Every state of the JSON documents of three modules, one row per state."""
+    dist = ctx.profiled(COHORTS)
+    pairs = states.prescribed_pairs(dist.ndc_rows, ctx.fx.prescription, ctx.fx.demographics)
+    return states.module_documents(states.document_pieces(dist, pairs, list(COHORTS)))
 
 
 # -- sources and sinks ------------------------------------------------------------------------

@@ -77,6 +77,28 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet below the checkpoint folder and read back: a
+    cut in the lineage that every executor sees, and a table whose size Spark
+    knows when it plans the joins after it."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def small_table(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
+    """Rows from settings as a local relation: one plan node of known size,
+    however many rows."""
+    import pyarrow as pa
+    from pyspark.sql import types as T
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    schema = to_arrow_schema(T.StructType.fromDDL(ddl))
+    columns = list(zip(*rows)) if rows else [()] * len(schema)
+    arrays = [pa.array(list(c), f.type) for c, f in zip(columns, schema, strict=True)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=schema), ddl)
+
+
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     checkpoint_dir(df.sparkSession)

@@ -57,9 +57,7 @@ class ModuleSettings:
 
     def __post_init__(self):
         if self.rxclass_include is None and self.rxcui_include is None:
-            raise ValueError(
-                "Minimum settings validation error\n"
-                "Must have at least one RxClass include or RXCUI include.")
+            raise ValueError(f"module {self.module_name!r} includes neither a class nor an id")
         if self.ingredient_tty_filter is not None and not isinstance(self.ingredient_tty_filter, str):
             raise ValueError("ingredient_tty_filter must be a string")
 
