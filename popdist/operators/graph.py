@@ -1,7 +1,7 @@
 """Typed walks over the concept graph and the package crosswalk.
 
-Every path has at most four hops, so a walk is a fixed chain of equi-joins
-(no iterative graph engine).  Only the root and final concept types are
+A set of paths is one automaton: its walks are rows with a state, and every hop
+is one equi-join with the edges (no iterative graph engine).  Only the root and final concept types are
 enforced -- the reference joins the intermediate concepts with outer joins
 and then continues from the edge, so those joins only multiply rows that a
 final DISTINCT removes; they are left out here.
@@ -11,9 +11,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import staged
+
 SAB = "RXNORM"
 
 # Fixed values that must equal the reference: the eight ingredient -> product
@@ -71,30 +73,106 @@ def traverse(nodes: DataFrame, edges: DataFrame, root_tty: str, relas: Sequence[
                     f"{final}_rxcui", f"{final}_name", f"{final}_tty").distinct())
 
 
+#: edges of one type from one node that one task joins; more are dealt by salt
+HUB = 50_000
+
+
+class PathTrie:
+    """Typed paths as one automaton: paths that begin alike share states.
+
+    ``starts`` root type -> state, ``moves`` state -> (edge type, next state),
+    ``ends`` state -> final types accepted there."""
+
+    def __init__(self, paths):
+        self.starts: dict[str, int] = {}
+        self.moves: list[dict[str, int]] = []
+        self.ends: list[list[str]] = []
+        for root_tty, relas, final_tty in paths:
+            state = self.starts.get(root_tty)
+            if state is None:
+                state = self.starts[root_tty] = self._new()
+            for rela in relas:
+                if rela not in self.moves[state]:
+                    self.moves[state][rela] = self._new()
+                state = self.moves[state][rela]
+            if final_tty not in self.ends[state]:
+                self.ends[state].append(final_tty)
+        self.depth = max((len(relas) for _, relas, _ in paths), default=0)
+
+    def _new(self) -> int:
+        self.moves.append({})
+        self.ends.append([])
+        return len(self.moves) - 1
+
+    def edge_types(self) -> list[str]:
+        return sorted({rela for moves in self.moves for rela in moves})
+
+    def choices(self, state: str = "state", final: str = "final") -> Column:
+        """What a walk can do in its state: follow an edge type, or end.  A walk
+        that has ended stays as it is, under an edge type that no edge has."""
+        kind = "array<struct<rela:string, state:int, final:string>>"
+        per_state = [F.array(*[F.struct(F.lit(r), F.lit(n), F.lit(None).cast("string")) for r, n in moves.items()],
+                             *[F.struct(F.lit(""), F.lit(i), F.lit(t)) for t in ends]).cast(kind)
+                     for i, (moves, ends) in enumerate(zip(self.moves, self.ends))]
+        ended = F.array(F.struct(F.lit(""), F.col(state), F.col(final))).cast(kind)
+        return F.when(F.col(final).isNotNull(), ended).otherwise(F.element_at(F.array(*per_state), F.col(state) + 1))
+
+
+def walk_edges(edges: DataFrame, relas: Sequence[str], hub: int = HUB) -> tuple[DataFrame, DataFrame | None]:
+    """The edges of the given types, distinct and staged once for every hop, as
+    (_at, rela, _salt, _next); and (_at, rela, _salts) of the hubs, the nodes
+    with more than ``hub`` edges of one type, None where there is none."""
+    typed = edges.where(F.col("rela").isin(list(relas))).select(
+        F.col("rxcui2").alias("_at"), "rela", F.col("rxcui1").alias("_next"))
+    once = staged(typed.distinct(), "walk-edges")
+    hubs = staged(once.groupBy("_at", "rela").agg(F.count("*").alias("_n")).where(F.col("_n") > hub).select(
+        "_at", "rela", F.ceil(F.col("_n") / hub).cast("int").alias("_salts")), "walk-hubs")
+    if hubs.isEmpty():
+        return once.withColumn("_salt", F.lit(0)), None
+    salted = once.join(hubs, ["_at", "rela"], "left").withColumn(
+        "_salt", F.pmod(F.xxhash64("_next"), F.coalesce("_salts", F.lit(1))).cast("int")).drop("_salts")
+    return staged(salted, "walk-salted"), hubs
+
+
+def walk(nodes: DataFrame, edges: DataFrame, paths, root: str = "medication_ingredient",
+         final: str = "medication_product", hub: int = HUB) -> DataFrame:
+    """(root concept, final concept) pairs of any of the typed ``paths``.
+
+    All paths are walked at once: a row is (root, state, node), each hop is one
+    join with the edges, and walks that have reached an accepting state are
+    carried along.  The final concepts' names are joined once, at the end.  A
+    hub's edges are spread over salts, and the few walks at a hub are copied to
+    each of them, so no task joins a whole hub."""
+    trie = PathTrie(paths)
+    out_edges, hubs = walk_edges(edges, trie.edge_types(), hub)
+    start = F.create_map(*[F.lit(x) for pair in trie.starts.items() for x in pair])
+    at = nodes.where((F.col("sab") == SAB) & F.col("tty").isin(list(trie.starts))).select(
+        F.col("rxcui").alias(f"{root}_rxcui"), F.col("str").alias(f"{root}_name"), F.col("tty").alias(f"{root}_tty"),
+        start[F.col("tty")].alias("state"), F.lit(None).cast("string").alias("final"), F.col("rxcui").alias("_at"))
+    held = [f"{root}_rxcui", f"{root}_name", f"{root}_tty"]
+
+    def chosen(rows: DataFrame) -> DataFrame:
+        return rows.select(*held, "_at", F.explode(trie.choices()).alias("c")).select(*held, "_at", "c.*")
+
+    for _ in range(trie.depth):
+        rows = chosen(at)
+        if hubs is None:
+            rows = rows.withColumn("_salt", F.lit(0))
+        else:
+            rows = rows.join(hubs, ["_at", "rela"], "left").withColumn(
+                "_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))).drop("_salts")
+        joined = rows.join(out_edges, ["_at", "rela", "_salt"], "left")
+        at = joined.where(F.col("final").isNotNull() | F.col("_next").isNotNull()).select(
+            *held, "state", "final", F.coalesce("_next", "_at").alias("_at"))
+    ends = nodes.where(F.col("sab") == SAB).select(
+        F.col("rxcui").alias("_at"), F.col("tty").alias("final"), F.col("str").alias(f"{final}_name"))
+    return chosen(at).where("final is not null").drop("rela", "state").distinct().join(ends, ["_at", "final"]).select(
+        *held, F.col("_at").alias(f"{final}_rxcui"), f"{final}_name", F.col("final").alias(f"{final}_tty"))
+
+
 def ingredient_products(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """Union of the eight paths.  Paths sharing a prefix reuse one frontier
-    DataFrame, so Spark plans the shared joins once (exchange reuse)."""
-    prefixes: dict[tuple[str, tuple[str, ...]], DataFrame] = {}
-
-    def frontier(root_tty: str, relas: tuple[str, ...]) -> DataFrame:
-        key = (root_tty, relas)
-        if key not in prefixes:
-            if not relas:
-                prefixes[key] = concepts(nodes, root_tty, "medication_ingredient").withColumn(
-                    "_at", F.col("medication_ingredient_rxcui"))
-            else:
-                prefixes[key] = extend(frontier(root_tty, relas[:-1]), edges, relas[-1:])
-        return prefixes[key]
-
-    out = None
-    for root_tty, relas, final_tty in CROSSWALK_PATHS:
-        ends = concepts(nodes, final_tty, "medication_product").withColumnRenamed(
-            "medication_product_rxcui", "_at")
-        branch = frontier(root_tty, relas).join(ends, "_at").withColumnRenamed(
-            "_at", "medication_product_rxcui")
-        branch = branch.select(*CROSSWALK_COLUMNS[:6])
-        out = branch if out is None else out.unionByName(branch)
-    return out
+    """Ingredient -> product pairs of the eight paths."""
+    return walk(nodes, edges, CROSSWALK_PATHS)
 
 
 def build_crosswalk(nodes: DataFrame, edges: DataFrame, attributes: DataFrame) -> DataFrame:
