@@ -221,13 +221,15 @@ class Fixtures:
     # -- second population (validation) -------------------------------------
     @cached_property
     def medications(self) -> DataFrame:
-        """Medication orders of a second population: START, PATIENT, CODE."""
+        """Medication orders of a second population: START, PATIENT, CODE (the
+        ordered product's id, as text)."""
         li = self.t.lineitem
         o = self.t.orders
-        return li.join(o, li.l_orderkey == o.o_orderkey).select(
+        p = self.t.part
+        return li.join(o, li.l_orderkey == o.o_orderkey).join(p, li.l_partkey == p.p_partkey).select(
             F.to_date("l_shipdate").alias("START"),
             _s("o_custkey").alias("PATIENT"),
-            F.col("l_partkey").cast("bigint").alias("CODE"))
+            F.concat(F.lit("P-"), "p_brand", F.lit("-"), "p_name").alias("CODE"))
 
     @cached_property
     def patients(self) -> DataFrame:
@@ -252,3 +254,40 @@ class Fixtures:
                        F.lit("DailyMed").alias("rela_source"), F.lit("has_EPC").alias("rela"),
                        ing.alias("rxcui"))
         return atc.unionByName(epc)
+
+    @cached_property
+    def class_responses(self) -> DataFrame:
+        """Pages of class member answers as nested JSON documents (class_id,
+        rela_source, rela, page, response).  Every part is listed in one class,
+        under one of the 24 relationships, with four members: its brand as
+        ingredient, a combination, its product and a brand name; attributes hold
+        text with quotes, numbers, truth values, nulls and lists."""
+        from .sources.class_members import RELATION_SOURCE, SINGLE_RELATION_SOURCES
+
+        p = self.t.part
+        names = F.array(*[F.lit(r) for r in RELATION_SOURCE])
+        sources = F.array(*[F.lit(s) for s in RELATION_SOURCE.values()])
+        which = (F.col("p_partkey") % len(RELATION_SOURCE) + 1).cast("int")
+        relation = F.element_at(names, which)
+
+        def member(rxcui, name, tty, value):
+            concept = F.struct(rxcui.alias("rxcui"), name.alias("name"), F.lit(tty).alias("tty"))
+            return F.concat(F.lit('{"minConcept":'), F.to_json(concept), F.lit(',"nodeAttr":[{"attrName":"Note","attrValue":'), value,
+                            F.lit("}]}"))
+
+        quoted = F.to_json(F.struct(F.concat(F.col("p_name"), F.lit(' "'), F.col("p_type"), F.lit('\\"')).alias("v")))
+        members = F.concat_ws(
+            ",",
+            member(F.concat(F.lit("I-"), "p_brand"), F.col("p_brand"), "IN", F.concat(F.lit("["), quoted, F.lit(',{"attrValue":null}]'))),
+            member(F.concat(F.lit("M-"), _s(F.col("p_size") % 3)), F.concat(F.lit("Combo/"), _s(F.col("p_size") % 3)), "MIN",
+                   F.when(F.col("p_size") % 2 == 0, F.lit("true")).otherwise(F.lit("false"))),
+            member(F.concat(F.lit("P-"), "p_brand", F.lit("-"), "p_name"), F.col("p_name"), "SCD", _s("p_size")),
+            member(F.concat(F.lit("B-"), "p_brand"), F.col("p_brand"), "BN", F.to_json(F.struct(F.col("p_type").alias("attrValue")))))
+        one = p.select(
+            F.col("p_type").alias("class_id"), F.element_at(sources, which).alias("rela_source"),
+            F.when(~relation.isin(*SINGLE_RELATION_SOURCES), relation).alias("rela"),
+            F.expr("p_partkey div 100").alias("page"), "p_partkey", members.alias("members"))
+        pages = one.groupBy("class_id", "rela_source", "rela", "page").agg(  # at most 100 parts of a page
+            F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("p_partkey", "members"))), lambda m: m["members"]), ",").alias("m"))
+        return pages.select("class_id", "rela_source", "rela", "page", F.concat(
+            F.lit('{"drugMemberGroup":{"drugMember":['), "m", F.lit("]}}")).alias("response"))

@@ -2,12 +2,11 @@
 
 from .numeric import dosage_frequency, dosage_period, share
 from .text import (
+    code_key,
     decode_gender,
     json_key_values,
-    lookup_table_name,
     none_text,
     normalize_name,
-    prefixed_name,
     remark_line,
     text_greater,
     text_to_int_prefix,
@@ -15,7 +14,6 @@ from .text import (
 )
 
 __all__ = [
-    "decode_gender", "dosage_frequency", "dosage_period", "json_key_values",
-    "lookup_table_name", "none_text", "normalize_name", "prefixed_name",
-    "remark_line", "share", "text_greater", "text_to_int_prefix", "title_case",
+    "code_key", "decode_gender", "dosage_frequency", "dosage_period", "json_key_values",
+    "none_text", "normalize_name", "remark_line", "share", "text_greater", "text_to_int_prefix", "title_case",
 ]

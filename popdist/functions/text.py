@@ -54,18 +54,12 @@ def normalize_name(c: ColumnOrName, case: str = "camel", spaces: bool = False) -
     return out
 
 
-def prefixed_name(prefix: str, c: ColumnOrName, case: str = "camel") -> Column:
-    """``normalize_name(prefix + c)`` -- state and transition names."""
-    return normalize_name(F.concat(F.lit(prefix), _col(c)), case)
-
-
-def lookup_table_name(module_name: str, suffix: str, ingredient: ColumnOrName | None = None) -> Column:
-    """``lower(normalize(module [+ '_' + ingredient] + suffix)) + '.csv'``."""
-    if ingredient is None:
-        base = F.lit(module_name + suffix)
-    else:
-        base = F.concat(F.lit(module_name + "_"), _col(ingredient), F.lit(suffix))
-    return F.concat(normalize_name(base, "lower"), F.lit(".csv"))
+def code_key(c: ColumnOrName) -> Column:
+    """A product code as join key: text without surrounding spaces, and a code of
+    digits only without leading zeros, so that '007' and 7 are one code and a
+    code with letters is a code like any other."""
+    text = F.trim(_col(c).cast("string"))
+    return F.when(text.rlike(r"^\d+$"), F.regexp_replace(text, r"^0+(?=\d)", "")).otherwise(text)
 
 
 def text_to_int_prefix(c: ColumnOrName) -> Column:
@@ -105,7 +99,8 @@ def json_key_values(c: ColumnOrName, key: str) -> Column:
 
     Values that are objects or arrays are not returned (their contents are
     searched instead, as every key is matched wherever it occurs).  Strings
-    come back decoded, a JSON null as null; numbers and booleans as written.
+    come back decoded, a JSON null as null, numbers in Java's notation of their
+    value.  ``operators.json_search`` parses the document and keeps all digits.
     """
     import re
 

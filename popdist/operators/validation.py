@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .distribution import with_group_total
+from ..functions.text import code_key
+from ..session import staged
 
 PEDIATRIC_AGE_DAYS = 2191  # under six years, in days
 
@@ -21,19 +22,20 @@ def observed_distribution(medications: DataFrame, patients: DataFrame, chosen: D
                           max_age_days: int = PEDIATRIC_AGE_DAYS) -> DataFrame:
     """(cohort, medication_product_name, patient_count, percent).
 
-    ``chosen`` has (cohort, medication_product_name, code).  Orders are
-    joined to chosen products on the code and to patients on the patient
-    id; the age at the order start must be below ``max_age_days``.  The
-    count is of orders (named patient_count, as in the reference)."""
-    chosen = chosen.select("cohort", "medication_product_name", F.col("code").alias("_code")).distinct()
-    meds = medications.join(chosen, medications["CODE"] == chosen["_code"])
+    ``chosen`` has (cohort, medication_product_name, code), the code a product
+    id.  Orders are joined to chosen products on the code and to patients on
+    the patient id; the age at the order start must be below ``max_age_days``.
+    The count is of orders (named patient_count, as in the reference).  The
+    counts, one row per product, are staged; the totals are an aggregate of them."""
+    chosen = chosen.select("cohort", "medication_product_name", code_key("code").alias("_code")).distinct()
+    meds = medications.withColumn("_code", code_key("CODE")).join(chosen, "_code")
     pats = patients.select(F.col("Id").alias("PATIENT"), "BIRTHDATE")
     young = meds.join(pats, "PATIENT").where(
         F.datediff(F.col("START"), F.col("BIRTHDATE")) < F.lit(max_age_days))
-    counts = young.groupBy("cohort", "medication_product_name").agg(
-        F.count(F.lit(1)).alias("patient_count"))
-    counts = with_group_total(counts, ["cohort"], "patient_count", "total_patients")
-    return counts.select(
+    counts = staged(young.groupBy("cohort", "medication_product_name").agg(
+        F.count(F.lit(1)).alias("patient_count")), "observed-counts")
+    totals = counts.groupBy("cohort").agg(F.sum("patient_count").alias("total_patients"))
+    return counts.join(totals, "cohort").select(
         "cohort", "medication_product_name", "patient_count",
         (F.col("patient_count").cast("double") / F.col("total_patients").cast("double")).alias("percent"))
 
@@ -97,31 +99,37 @@ def chi2_survival(stat: Column, dof: Column) -> Column:
             .otherwise(F.greatest(F.lit(0.0), F.lit(1.0) - series)))
 
 
-def chi_square(observed: DataFrame, expected: DataFrame) -> DataFrame:
-    """(cohort, chi2, dof, p_value): test of independence on the table of
-    products (observed, expected counts); a product of one population only
-    counts 0 in the other.
-    Rows with both counts 0 are left out (their expected cell is 0); with
-    one degree of freedom the continuity correction is applied."""
-    exp = expected.groupBy("cohort", "medication_product_name").agg(
-        F.sum("patient_count").alias("e_count"))
-    obs = observed.select("cohort", "medication_product_name", F.col("patient_count").alias("o_count"))
-    t = obs.join(exp, ["cohort", "medication_product_name"], "full").na.fill(0, ["o_count", "e_count"]).withColumn(
-        "row_total", F.col("o_count") + F.col("e_count")).where(F.col("row_total") > 0)
+def contingency(observed: DataFrame, expected: DataFrame) -> DataFrame:
+    """The k x 2 table of the test, staged, with the counts that independence
+    predicts: (cohort, medication_product_name, o_count, e_count, o_expected,
+    e_expected, k).
+
+    A product of one population only counts 0 in the other; products whose
+    counts are both 0 are left out (their expected cell is 0)."""
+    exp = expected.select("cohort", "medication_product_name", F.lit(0).cast("long").alias("o_count"),
+                          F.col("patient_count").cast("double").alias("e_count"))
+    obs = observed.select("cohort", "medication_product_name", F.col("patient_count").alias("o_count"),
+                          F.lit(0.0).alias("e_count"))
+    t = staged(obs.unionByName(exp).groupBy("cohort", "medication_product_name").agg(
+        F.sum("o_count").alias("o_count"), F.sum("e_count").alias("e_count")
+    ).where("o_count + e_count > 0"), "contingency")
     sums = t.groupBy("cohort").agg(
-        F.sum("o_count").cast("double").alias("c_o"), F.sum("e_count").cast("double").alias("c_e"),
-        F.count(F.lit(1)).alias("k"))
-    t = t.join(sums, "cohort").withColumn("n", F.col("c_o") + F.col("c_e"))
-    eo = F.col("row_total") * F.col("c_o") / F.col("n")
-    ee = F.col("row_total") * F.col("c_e") / F.col("n")
-
-    def cell(o: Column, e: Column) -> Column:
-        diff = F.abs(o - e)
-        corrected = F.when(F.col("k") - 1 == 1, F.greatest(diff - 0.5, F.lit(0.0))).otherwise(diff)
-        return corrected * corrected / e
-
-    terms = t.select("cohort", "k", (cell(F.col("o_count").cast("double"), eo)
-                                     + cell(F.col("e_count").cast("double"), ee)).alias("term"))
-    stat = terms.groupBy("cohort").agg(F.sum("term").alias("chi2"), F.first("k").alias("k"))
+        F.sum("o_count").cast("double").alias("c_o"), F.sum("e_count").alias("c_e"), F.count("*").alias("k"))
+    row, n = F.col("o_count") + F.col("e_count"), F.col("c_o") + F.col("c_e")
+    return t.join(sums, "cohort").select(
+        "cohort", "medication_product_name", "o_count", "e_count",
+        (row * F.col("c_o") / n).alias("o_expected"), (row * F.col("c_e") / n).alias("e_expected"), "k")
+
+
+def chi_square(observed: DataFrame, expected: DataFrame) -> DataFrame:
+    """(cohort, chi2, dof, p_value): test of independence on the ``contingency``
+    table; with one degree of freedom the continuity correction is applied."""
+    def cell(count: str, predicted: str) -> Column:
+        diff = F.abs(F.col(count).cast("double") - F.col(predicted))
+        corrected = F.when(F.col("k") == 2, F.greatest(diff - 0.5, F.lit(0.0))).otherwise(diff)
+        return corrected * corrected / F.col(predicted)
+
+    stat = contingency(observed, expected).groupBy("cohort").agg(
+        F.sum(cell("o_count", "o_expected") + cell("e_count", "e_expected")).alias("chi2"), F.first("k").alias("k"))
     dof = (F.col("k") - 1).cast("long")
     return stat.select("cohort", "chi2", dof.alias("dof"), chi2_survival(F.col("chi2"), dof).alias("p_value"))

@@ -12,7 +12,7 @@ from ..operators.distribution import Distribution
 from ..operators.graph import build_crosswalk, dose_form_groups
 from ..operators.profiles import ProfiledDistribution, profile_table
 from ..operators.survey import survey_reference
-from ..session import apply_defaults, staged
+from ..session import staged
 from ..settings import ClassQuery, ModuleSettings
 
 # The flagship module: the whole vocabulary as one cohort.
@@ -55,7 +55,6 @@ class Context:
     """Lazily built inputs over one scale-factor folder."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        apply_defaults(spark)
         self.spark = spark
         self.sf_dir = sf_dir
         self.fx = Fixtures(spark, sf_dir)
@@ -96,7 +95,8 @@ class Context:
 
 
 # The module of the population comparison: age bands only, one band.
-PEDIATRIC_BANDS = ("0-5",)
+PEDIATRIC = ModuleSettings(module_name=ALL, rxcui_include=("*",), age_ranges=("0-5",),
+                           flags={"age": True, "gender": False, "state": False})
 # Dose-form filters applied to the built crosswalk.
 FORM_FILTER = ModuleSettings(module_name="forms", rxcui_include=("any",),
                              dose_form_filter=("SMALL", "ASIA Product"))

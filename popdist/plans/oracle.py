@@ -479,9 +479,9 @@ WHERE RXQUANTY <> 0 AND RXDAYSUP <> 0"""
 # -- second population -----------------------------------------------------------------
 
 OBSERVED = f"""chosen AS (SELECT DISTINCT {clean('medication_product_name')} AS medication_product_name,
-    CAST(medication_ndc AS BIGINT) AS code FROM ndc),
-meds AS (SELECT CAST(l_shipdate AS DATE) AS START, CAST(o_custkey AS VARCHAR) AS PATIENT, l_partkey AS CODE
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+    medication_product_rxcui AS code FROM ndc),
+meds AS (SELECT CAST(l_shipdate AS DATE) AS START, CAST(o_custkey AS VARCHAR) AS PATIENT, 'P-' || p_brand || '-' || p_name AS CODE
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey),
 pats AS (SELECT CAST(c_custkey AS VARCHAR) AS Id, DATE '1990-01-01' + CAST(c_custkey % 4000 AS INTEGER) AS BIRTHDATE
   FROM customer),
 obs AS (SELECT medication_product_name, count(*) AS patient_count,
@@ -509,15 +509,24 @@ def expected_sql() -> str:
     return with_(*expected_ctes()) + "SELECT * FROM expct"
 
 
-def chi_square_sql() -> str:
-    return with_(*expected_ctes(), """tab AS (
+TABLE = """tab AS (
   SELECT medication_product_name, SUM(o_count) AS o_count, SUM(e_count) AS e_count FROM (
     SELECT medication_product_name, CAST(patient_count AS DOUBLE) AS o_count, 0.0 AS e_count FROM obs
     UNION ALL SELECT medication_product_name, 0.0, patient_count FROM expct)
-  GROUP BY 1 HAVING SUM(o_count) + SUM(e_count) > 0)""", """cells AS (
-  SELECT o_count, e_count, (o_count + e_count) * SUM(o_count) OVER () / (SUM(o_count) OVER () + SUM(e_count) OVER ()) AS eo,
+  GROUP BY 1 HAVING SUM(o_count) + SUM(e_count) > 0),
+cells AS (
+  SELECT medication_product_name, o_count, e_count, (o_count + e_count) * SUM(o_count) OVER () / (SUM(o_count) OVER () + SUM(e_count) OVER ()) AS eo,
     (o_count + e_count) * SUM(e_count) OVER () / (SUM(o_count) OVER () + SUM(e_count) OVER ()) AS ee,
-    count(*) OVER () AS k FROM tab)""", """st AS (
+    count(*) OVER () AS k FROM tab)"""
+
+
+def chi_square_table_sql() -> str:
+    return with_(*expected_ctes(), TABLE) + """SELECT medication_product_name, CAST(o_count AS BIGINT) AS o_count, e_count,
+  round_even(eo, 8) AS o_expected, round_even(ee, 8) AS e_expected FROM cells"""
+
+
+def chi_square_sql() -> str:
+    return with_(*expected_ctes(), TABLE, """st AS (
   SELECT SUM(pow(CASE WHEN k = 2 THEN greatest(abs(o_count - eo) - 0.5, 0) ELSE abs(o_count - eo) END, 2) / eo
            + pow(CASE WHEN k = 2 THEN greatest(abs(e_count - ee) - 0.5, 0) ELSE abs(e_count - ee) END, 2) / ee) AS chi2,
     any_value(k) - 1 AS dof FROM cells)""") + """SELECT round_even(chi2, 8) AS chi2, CAST(dof AS BIGINT) AS dof,

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from ..settings import DEFAULT_AGE_RANGES
 from . import oracle as o
+from . import oracle_classes as oc
 from . import oracle_modules as om
+from . import oracle_sources as os_
 from .context import CLASS_QUERIES, COHORTS, FORM_FILTER, PROFILED, TTY_FILTER
 
 _COHORT_COLS = ("cohort, medication_ingredient_rxcui, medication_ingredient_name, medication_ingredient_tty, "
@@ -50,6 +52,8 @@ ORACLES: dict[str, str] = {
     "filter_term_type": o.term_type_sql(TTY_FILTER.ingredient_tty_filter),
     "class_members": o.class_members_sql(CLASS_QUERIES),
     "class_queries_unmatched": o.unmatched_classes_sql(CLASS_QUERIES),
+    "class_members_by_type": oc.by_type_sql(),
+    "json_key_search": oc.key_search_sql(),
     "match_counts": o.match_counts_sql(COHORTS),
     "product_pairs": o.product_pairs_sql(),
     # survey
@@ -78,6 +82,7 @@ WHERE json_extract(props, '$.k') IS NOT NULL""",
     # second population
     "observed_distribution": o.observed_sql(),
     "expected_counts": o.expected_sql(),
+    "chi_square_table": o.chi_square_table_sql(),
     "chi_square": o.chi_square_sql(),
     # states
     "transitions": o.transitions_sql(),
@@ -90,6 +95,11 @@ WHERE json_extract(props, '$.k') IS NOT NULL""",
     "scan_fixed_width_pruned": o.with_(o.FX_DEMOGRAPHICS) + """SELECT DUPERSID, CAST(PERWTF AS VARCHAR) AS PERWTF,
   CAST(REGION AS VARCHAR) AS REGION, SEX, CAST(least(AGELAST, 99) AS VARCHAR) AS AGELAST FROM fx_demographics""",
     "scan_tsv_cp1252": "SELECT * FROM part",
+    "scan_pipe_quarantined": os_.quarantined_sql(),
+    "quarantine_counts": os_.quarantine_counts_sql(),
+    "scan_tsv_marks": os_.MARKS,
+    "stored_row_counts": os_.stored_counts_sql(),
+    "survey_by_state": os_.by_state_sql(),
     "incremental_match": o.incremental_sql(),
     "table_row_counts": o.row_counts_sql(),
     "scan_csv_columns": """SELECT CAST(l_shipdate AS DATE) AS START, CAST(o_custkey AS VARCHAR) AS PATIENT,

@@ -16,15 +16,25 @@ from pyspark.sql import types as T
 from .. import functions as fn
 from ..operators import cohort as co
 from ..operators import dosage, graph, lookup, states, survey, validation
-from ..session import scratch_path
+from ..session import scratch_path, small_table
 from ..settings import DEFAULT_AGE_RANGES, ModuleSettings
 from ..sources import delimited, profile, sinks
 from ..sources import dimensions as dims
 from ..sources import fixed_width as fw
-from ..sources.class_members import class_query_table, resolve_class_members, unmatched_class_queries
+from ..operators.json_search import key_values
+from ..fixtures import TABLES
+from ..operators.profiles import ProfiledDistribution, profile_table
+from ..sources.class_members import (
+    RELATION_SOURCE,
+    SINGLE_RELATION_SOURCES,
+    class_query_table,
+    members_of_responses,
+    resolve_class_members,
+    unmatched_class_queries,
+)
 from ..sources.wide_lookup import read_wide, write_wide
 from ..streaming import incremental
-from .context import ALL, CLASS_QUERIES, COHORTS, FORM_FILTER, PEDIATRIC_BANDS, TTY_FILTER, Context
+from .context import ALL, CLASS_QUERIES, COHORTS, FORM_FILTER, PEDIATRIC, TTY_FILTER, Context
 
 ALL_MODULE = ModuleSettings(module_name=ALL, rxcui_include=("*",))
 
@@ -256,14 +266,27 @@ def class_members(ctx: Context) -> DataFrame:
     return _single(resolve_class_members(queries, ctx.fx.class_members))
 
 
+@query
+def class_members_by_type(ctx: Context) -> DataFrame:
+    """Members of every class under all 24 relationships, from the nested
+    answers, of the term types that the relationship asks for."""
+    answers = ctx.fx.class_responses
+    asked = F.array(*[F.struct(F.lit(r).alias("relationship"), F.lit(s).alias("rela_source"),
+                               F.lit(None if r in SINGLE_RELATION_SOURCES else r).alias("rela")) for r, s in RELATION_SOURCE.items()])
+    queries = answers.select(F.lit("classes").alias("cohort"), "class_id").distinct().select(
+        "cohort", "class_id", F.explode(asked).alias("q")).select("cohort", "class_id", "q.*")
+    return _single(resolve_class_members(queries, members_of_responses(answers)))
+
+
 @query
 def match_counts(ctx: Context) -> DataFrame:
     """Package codes left after each step of the cohort chain, per module."""
-    matched = co.match_either_key(ctx.fx.crosswalk, _ids(ctx))
-    expanded = co.expand_by_product(ctx.fx.crosswalk, matched)
-    resolved = co.resolve_one_per_ndc(expanded)
-    return profile.match_counts({"matched": matched, "expanded": expanded, "resolved": resolved,
-                                 "filtered": ctx.module_ndc_rows()})
+    steps = {"matched": lambda _: co.match_either_key(ctx.fx.crosswalk, _ids(ctx)),
+             "expanded": lambda rows: co.expand_by_product(ctx.fx.crosswalk, rows),
+             "resolved": co.resolve_one_per_ndc,
+             "filtered": lambda rows: co.filter_by_ingredient_tty(
+                 co.filter_by_dose_form(rows, COHORTS, ctx.dose_form_map), COHORTS)}
+    return profile.match_counts(steps)
 
 
 @query
@@ -358,6 +381,13 @@ def json_key_values(ctx: Context) -> DataFrame:
     return e.select("event_id", F.explode(fn.json_key_values("props", "k")).alias("value"))
 
 
+@query
+def json_key_search(ctx: Context) -> DataFrame:
+    """Member ids and attribute values in nested answers, at any depth."""
+    found = key_values(ctx.fx.class_responses, ["class_id", "rela_source", "rela", "page"], "response", ["rxcui", "attrValue"])
+    return found.groupBy("class_id", "rela_source", "rela", "page", "key", "value").agg(F.count("*").alias("n"))
+
+
 # -- C4 / C17: dosage ----------------------------------------------------------------------
 
 @query
@@ -373,18 +403,20 @@ def dosage_instructions(ctx: Context) -> DataFrame:
 # -- C18 - C20: second population ---------------------------------------------------------
 
 def _chosen(ctx: Context) -> DataFrame:
-    rows = ctx.all_ndc_rows()
-    return rows.select("cohort", fn.normalize_name("medication_product_name").alias("medication_product_name"),
-                       F.col("medication_ndc").cast("bigint").alias("code"))
+    """The module's products: cleaned names and product ids."""
+    return ctx.all_ndc_rows().select(
+        "cohort", fn.normalize_name("medication_product_name").alias("medication_product_name"),
+        F.col("medication_product_rxcui").alias("code")).distinct()
 
 
 def _observed(ctx: Context) -> DataFrame:
     return validation.observed_distribution(ctx.fx.medications, ctx.fx.patients, _chosen(ctx))
 
 
-def _expected(ctx: Context) -> DataFrame:
-    dist = ctx.distribution(gender=False, state=False, bands=PEDIATRIC_BANDS)
-    return validation.expected_counts(dist.validation(), _observed(ctx), PEDIATRIC_BANDS[0])
+def _expected(ctx: Context, observed: DataFrame) -> DataFrame:
+    dist = ProfiledDistribution(ctx.fx.prescription, ctx.fx.demographics, ctx.all_ndc_rows(), ctx.fx.region_states,
+                                profile_table(ctx.spark, [PEDIATRIC]))
+    return validation.expected_counts(dist.validation(), observed, PEDIATRIC.age_ranges[0])
 
 
 @query
@@ -394,12 +426,22 @@ def observed_distribution(ctx: Context) -> DataFrame:
 
 @query
 def expected_counts(ctx: Context) -> DataFrame:
-    return _single(_expected(ctx))
+    return _single(_expected(ctx, _observed(ctx)))
+
+
+@query
+def chi_square_table(ctx: Context) -> DataFrame:
+    """Observed and expected orders of every product, and the counts that
+    independence of the two populations predicts."""
+    observed = _observed(ctx)
+    table = _single(validation.contingency(observed, _expected(ctx, observed))).drop("k")
+    return table.withColumns({c: F.bround(c, 8) for c in ("o_expected", "e_expected")})
 
 
 @query
 def chi_square(ctx: Context) -> DataFrame:
-    told = _single(validation.chi_square(_observed(ctx), _expected(ctx)))
+    observed = _observed(ctx)
+    told = _single(validation.chi_square(observed, _expected(ctx, observed)))
     return told.withColumn("chi2", F.bround("chi2", 8)).withColumn("p_value", F.bround("p_value", 10))
 
 
@@ -431,19 +473,58 @@ def module_documents(ctx: Context) -> DataFrame:
 
 # -- sources and sinks ------------------------------------------------------------------------
 
+def _write_layout(df: DataFrame, columns, path: str) -> None:
+    """Rows in a full vocabulary layout; fields that ``df`` lacks are empty."""
+    delimited.write_pipe(df.select(*[(F.col(c) if c in df.columns else F.lit("")).alias(c) for c in columns[:-1]]), path)
+
+
+def _layouts(ctx: Context) -> dict[str, tuple[DataFrame, tuple[str, ...], list[str]]]:
+    """The three vocabulary files: rows, layout, wanted fields."""
+    up = lambda df: df.withColumnsRenamed({c: c.upper() for c in df.columns})
+    return {"nodes": (up(ctx.fx.rxnconso), delimited.RXNCONSO_COLUMNS, ["RXCUI", "SAB", "TTY", "STR"]),
+            "edges": (up(ctx.fx.rxnrel), delimited.RXNREL_COLUMNS, ["RXCUI1", "RELA", "RXCUI2"]),
+            "attributes": (up(ctx.fx.rxnsat), delimited.RXNSAT_COLUMNS, ["RXCUI", "SAB", "ATN", "ATV"])}
+
+
+def _checked(ctx: Context, layout: str) -> tuple[DataFrame, dict[str, int]]:
+    """One vocabulary file with broken lines among the good ones (every nation
+    adds a cut line, every region a line with a field too many), read back."""
+    rows, columns, wanted = _layouts(ctx)[layout]
+    path, away = scratch_path(ctx.spark, layout), scratch_path(ctx.spark, f"{layout}-quarantine")
+    _write_layout(rows, columns, path)
+    t = ctx.fx.t
+    t.nation.select("n_name").unionByName(t.region.select(F.concat("r_name", F.lit("|" * len(columns))).alias("n_name"))).select(
+        "n_name").write.mode("append").text(path)
+    return delimited.read_pipe_checked(ctx.spark, path, columns, away, most_bad=0.2, columns=wanted)
+
+
 @query
 def scan_pipe_delimited(ctx: Context) -> DataFrame:
     """Vocabulary nodes staged as a pipe file in the full layout, read back."""
+    rows, columns, wanted = _layouts(ctx)["nodes"]
     path = scratch_path(ctx.spark, "rxnconso")
-    n = ctx.fx.rxnconso
-    full = n.select(*[
-        (F.col({"RXCUI": "rxcui", "SAB": "sab", "TTY": "tty", "STR": "str"}[c])
-         if c in ("RXCUI", "SAB", "TTY", "STR") else F.lit("")).alias(c)
-        for c in delimited.RXNCONSO_COLUMNS[:-1]])
-    delimited.write_pipe(full, path)
-    back = delimited.read_pipe(ctx.spark, path, delimited.RXNCONSO_COLUMNS)
-    return back.select(F.col("RXCUI").alias("rxcui"), F.col("SAB").alias("sab"),
-                       F.col("TTY").alias("tty"), F.col("STR").alias("str"))
+    _write_layout(rows, columns, path)
+    back = delimited.read_pipe(ctx.spark, path, columns, columns=wanted)
+    return back.withColumnsRenamed({c: c.lower() for c in back.columns})
+
+
+@query
+def scan_pipe_quarantined(ctx: Context) -> DataFrame:
+    """The good rows of all three vocabulary layouts, broken lines set aside."""
+    out = None
+    for layout in ("nodes", "edges", "attributes"):
+        rows, _ = _checked(ctx, layout)
+        fields = [F.col(c) for c in rows.columns] + [F.lit(None).cast("string")] * (4 - len(rows.columns))
+        one = rows.select(F.lit(layout).alias("layout"), *[f.alias(f"f{i}") for i, f in enumerate(fields, 1)])
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query
+def quarantine_counts(ctx: Context) -> DataFrame:
+    """Whole and broken lines of each vocabulary layout."""
+    rows = [(layout, *_checked(ctx, layout)[1].values()) for layout in ("nodes", "edges", "attributes")]
+    return small_table(ctx.spark, rows, "layout string, whole long, broken long")
 
 
 @query
@@ -488,6 +569,31 @@ def incremental_match(ctx: Context) -> DataFrame:
     return out.select("START", "PATIENT", "CODE", "medication_product_name")
 
 
+@query
+def scan_tsv_marks(ctx: Context) -> DataFrame:
+    """Text with characters that only Windows-1252 has, through a TSV file."""
+    path = scratch_path(ctx.spark, "marks-tsv")
+    marks = "\u20ac \u017e \u2122 \u2013 \u0152 \u00e9 \u00fc"
+    t = ctx.fx.t.part
+    delimited.write_tsv(t.select("p_partkey", F.concat("p_name", F.lit(f" {marks}")).alias("label \u20ac")), path)
+    back = delimited.read_tsv(ctx.spark, path)
+    return back.select(F.col("p_partkey").cast("bigint").alias("p_partkey"), F.col("label \u20ac").alias("label"))
+
+
+@query
+def stored_row_counts(ctx: Context) -> DataFrame:
+    """Row counts of the driver's tables, from the Parquet footers."""
+    return profile.stored_row_counts(ctx.spark, {t: f"{ctx.fx.t.sf_dir}/{t}.parquet" for t in TABLES})
+
+
+@query
+def survey_by_state(ctx: Context) -> DataFrame:
+    """Persons and weights of each of the 51 states of the survey's regions."""
+    per_region = ctx.fx.demographics.groupBy(F.col("REGION").alias("region_value")).agg(
+        F.count("*").alias("persons"), F.sum("PERWTF").alias("weight"))
+    return dims.region_states(ctx.spark).join(per_region, "region_value").select("region_value", "state", "persons", "weight")
+
+
 @query
 def table_row_counts(ctx: Context) -> DataFrame:
     fx = ctx.fx

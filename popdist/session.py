@@ -17,9 +17,6 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    # the directory files are Windows-1252; Spark 4 only accepts that charset
-    # name with this flag
-    "spark.sql.legacy.javaCharsets": "true",
 }
 
 
@@ -38,17 +35,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    apply_defaults(spark)
     return spark
 
 
-def apply_defaults(spark: SparkSession) -> None:
-    """Set the runtime options above on a session someone else built."""
-    for k, v in SESSION_DEFAULTS.items():
-        if spark.conf.isModifiable(k):
-            spark.conf.set(k, v)
-
-
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

@@ -8,8 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from ..session import small_table
 from ..settings import parse_band
 
 # Fixed values that must equal the reference: survey region code -> states.
@@ -25,17 +25,13 @@ REGION_STATES = {
                  "Nevada", "New Mexico", "Oregon", "Utah", "Washington", "Wyoming"]),
 }
 
-REGION_LIST_SCHEMA = T.StructType([
-    T.StructField("region_value", T.IntegerType(), False),
-    T.StructField("region_label", T.StringType(), True),
-    T.StructField("states", T.ArrayType(T.StringType(), False), False),
-])
+REGION_LIST_SCHEMA = "region_value int, region_label string, states array<string>"
 
 
 def region_state_lists(spark: SparkSession) -> DataFrame:
     """(region_value, region_label, states array) -- the nested form."""
     rows = [(k, label, states) for k, (label, states) in REGION_STATES.items()]
-    return spark.createDataFrame(rows, REGION_LIST_SCHEMA)
+    return small_table(spark, rows, REGION_LIST_SCHEMA)
 
 
 def explode_states(region_lists: DataFrame) -> DataFrame:
@@ -54,14 +50,6 @@ def band_bounds(bands) -> list[tuple[str, int, int]]:
     return [(b, *parse_band(b)) for b in bands]
 
 
-def band_array(bands) -> Column:
-    """A literal array<struct<age, lo, hi>> of the configured bands."""
-    return F.array(*[
-        F.struct(F.lit(name).alias("age"), F.lit(lo).alias("lo"), F.lit(hi).alias("hi"))
-        for name, lo, hi in band_bounds(bands)
-    ])
-
-
 def with_age_bands(df: DataFrame, age_col: str, bands, out: str = "age") -> DataFrame:
     """Band (range) join by expansion: one row per band containing the age.
 

@@ -6,16 +6,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-LOOKUP_SCHEMA_FIELDS = ("cohort", "lookup_table", "age", "gender", "state", "transition", "probability")
-
-
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV with a header row, no index column."""
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).option("header", True).csv(path)
+    """Files of ``write_csv``; names and fields are checked against ``schema``,
+    except for partition folders, whose values end the rows."""
+    return (spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").option("enforceSchema", False)
+            .option("columnPruning", False).csv(path))
 
 
 def write_lookup_long(long: DataFrame, path: str) -> None:
@@ -26,21 +26,6 @@ def write_lookup_long(long: DataFrame, path: str) -> None:
      .partitionBy("cohort", "lookup_table").option("header", True).csv(path))
 
 
-def write_documents(docs: DataFrame, path: str) -> None:
-    """One JSON document per line (UTF-8, non-ASCII kept as is)."""
-    docs.select("document").write.mode("overwrite").text(path)
-
-
-def write_lines(lines: DataFrame, column: str, path: str) -> None:
-    """Text lines (remarks log)."""
-    lines.select(column).write.mode("overwrite").text(path)
-
-
-def write_table(df: DataFrame, path: str) -> None:
-    """Materialise an intermediate result as Parquet (replace)."""
-    df.write.mode("overwrite").parquet(path)
-
-
 def table_once(spark: SparkSession, name: str, build) -> DataFrame:
     """Load-if-absent: build and save the table only when the catalog does
     not have it yet, then read it (the existence check guards each load)."""

@@ -14,10 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.text import code_key
+
 ORDER_SCHEMA = T.StructType([
     T.StructField("START", T.DateType(), True),
     T.StructField("PATIENT", T.StringType(), True),
-    T.StructField("CODE", T.LongType(), True),
+    T.StructField("CODE", T.StringType(), True),
 ])
 
 
@@ -34,8 +36,8 @@ def start_order_ingest(spark: SparkSession, source_dir: str, chosen: DataFrame,
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     orders = reader.csv(source_dir).select(
         *[F.col(f.name).cast(f.dataType).alias(f.name) for f in ORDER_SCHEMA.fields])
-    products = chosen.select("medication_product_name", F.col("code").alias("_product_code"))
-    matched = orders.join(products, orders["CODE"] == products["_product_code"]).drop("_product_code")
+    products = chosen.select("medication_product_name", code_key("code").alias("_product_code"))
+    matched = orders.withColumn("_product_code", code_key("CODE")).join(products, "_product_code").drop("_product_code")
     writer = (matched.writeStream.format("parquet").outputMode("append")
               .option("checkpointLocation", checkpoint).option("path", sink_dir))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")

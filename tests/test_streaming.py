@@ -13,7 +13,7 @@ def test_restart_reads_only_new_files(spark):
     c = Context(spark, SMALL)
     meds = c.fx.medications
     chosen = c.all_ndc_rows().select("medication_product_name",
-                                     F.col("medication_ndc").cast("bigint").alias("code")).distinct()
+                                     F.col("medication_product_rxcui").alias("code")).distinct()
     src, sink, ckpt = (tempfile.mkdtemp(prefix=p) for p in ("in-", "out-", "ckpt-"))
     first = meds.where(F.col("START") < "1997-01-01")
     second = meds.where(F.col("START") >= "1997-01-01")

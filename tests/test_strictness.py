@@ -45,11 +45,11 @@ def test_order_columns_are_found_by_name(spark):
     from popdist.streaming.incremental import ORDER_SCHEMA
 
     rows = delimited.read_csv_columns(spark, folder, ORDER_SCHEMA, ["CODE", "PATIENT", "START"]).collect()
-    assert [(r.CODE, r.PATIENT, str(r.START)) for r in rows] == [(77, "p1", "2020-01-02"), (78, "p2", "2021-01-02")]
+    assert [(r.CODE, r.PATIENT, str(r.START)) for r in rows] == [("77", "p1", "2020-01-02"), ("78", "p2", "2021-01-02")]
     chosen = spark.createDataFrame([("A", 77)], "medication_product_name string, code long")
     out, mark = tempfile.mkdtemp(prefix="out-"), tempfile.mkdtemp(prefix="mark-")
     got = run_order_ingest(spark, folder, chosen, out, mark).collect()
-    assert [(r.PATIENT, r.CODE, str(r.START), r.medication_product_name) for r in got] == [("p1", 77, "2020-01-02", "A")]
+    assert [(r.PATIENT, r.CODE, str(r.START), r.medication_product_name) for r in got] == [("p1", "77", "2020-01-02", "A")]
 
 
 def test_json_strings_are_decoded(spark):
