@@ -12,10 +12,10 @@ encodings.  Two agreeing tokens are asked for on each side, so that the word
 split, too, is in step.
 
 ASCII white space always splits words, so a text's ids are the ids of its
-white-space-separated chunks in a row; chunks are looked up in a bounded
-cache.  Chunks of common Latin letters that are not cached go through a
-byte-pair merger for many words at once; any other chunk, and every chunk that
-may hold a special token, goes to the tokenizers library itself.
+white-space-separated chunks in a row.  The different chunks of many texts are
+encoded once: those of common Latin letters through a byte-pair merger, all at
+once; any other chunk, and every chunk that may hold a special token, by the
+tokenizers library itself.
 """
 
 from __future__ import annotations
@@ -28,6 +28,7 @@ from functools import cached_property
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,15 +36,16 @@ from popdist.llm.common import id_text
 
 #: code points of a leaf; longer texts are cut
 LEAF = 32_768
-#: chunks of one generation of a Python worker's cache, at about 200 bytes
-#: each; there are two generations
-CACHE = 200_000
+#: bytes of texts that are encoded together; their different chunks are encoded once
+TOGETHER = 8 << 20
+#: chunks of other letters whose ids a Python worker remembers, at about 300 bytes each
+ODD_CHUNKS = 50_000
 #: code points on either side of a join in the first window
 WINDOW = 32
 
 END = "</w>"
 #: characters whose lower-casing and normal form no neighbour changes
-_PLAIN = re.compile("[ !-~À-ÖØ-öø-įĲ-ňŊ-ž]*")
+_PLAIN_CHUNK = "[!-~À-ÖØ-öø-įĲ-ňŊ-ž]"
 #: those of them that are letters after lower-casing; fixed value: the
 #: tokenizer's word split, for these characters
 _LETTERS = "a-zß-öø-ž"
@@ -76,7 +78,7 @@ def decode(tokens: list[str], ids: np.ndarray) -> str:
 class WordBpe:
     """Encoder and decoder over a tokenizers file with word-end tokens."""
 
-    def __init__(self, path: str, cache: int = CACHE):
+    def __init__(self, path: str):
         import tiktoken
 
         with open(path, encoding="utf-8") as f:
@@ -97,7 +99,7 @@ class WordBpe:
             self.surface[t["id"]] = len(t["content"].encode())
         self.merger = tiktoken.Encoding("words", pat_str="[^\\x00]+\\x00", mergeable_ranks=ranks, special_tokens={})
         self.gap = vocab["Ġ" + END]  # a word of one space: none comes from a text
-        self.limit, self.cache, self.older = cache, {}, {}
+        self.odd: dict[str, np.ndarray] = {}
 
     @cached_property
     def exact(self):
@@ -109,41 +111,53 @@ class WordBpe:
         tokenizer.no_padding()
         return tokenizer
 
-    def _learn(self, chunks: list[bytes]) -> None:
-        texts = b" ".join(chunks).decode()
-        if "<|" in texts or not _PLAIN.fullmatch(texts):
-            plain = []
-            for c in chunks:
-                text = c.decode()
-                if "<|" not in text and _PLAIN.fullmatch(text):
-                    plain.append(c)
-                else:
-                    self.cache[c] = np.array(self.exact.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
-            chunks, texts = plain, b" ".join(plain).decode()
-        if chunks:
-            ids = np.array(self.merger.encode_ordinary("\0".join(_WORDS.findall(texts.lower())) + "\0"), np.uint32)
-            ends = 4 * np.append(np.flatnonzero(ids == self.gap), len(ids))
-            raw, start = ids.tobytes(), 0
-            for c, end in zip(chunks, ends.tolist(), strict=True):
-                self.cache[c] = raw[start:end]
-                start = end + 4
+    def _merge(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Sizes and ids, in a row, of chunks of common Latin letters."""
+        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(chunks)], pa.int32()), chunks), " ")[0].as_py()
+        words = _WORDS.findall(joined.lower())
+        ids = np.array(self.merger.encode_ordinary("\0".join(words) + "\0") if words else [], np.uint32)
+        gaps = ids == self.gap  # one between two chunks
+        ends = np.append(np.flatnonzero(gaps), len(ids))
+        return np.diff(ends, prepend=-1) - 1, ids[~gaps]
+
+    def _exact_ids(self, chunk: str) -> np.ndarray:
+        """Ids of any chunk, by the library; a bounded number is remembered."""
+        if (known := self.odd.get(chunk)) is None:
+            if len(self.odd) >= ODD_CHUNKS:
+                self.odd.clear()
+            known = self.odd[chunk] = np.array(self.exact.encode(chunk, add_special_tokens=False).ids, np.uint32)
+        return known
+
+    def _chunk_ids(self, chunks: pa.Array) -> pa.ListArray:
+        """The ids of every chunk."""
+        plain = pc.and_not(pc.match_substring_regex(chunks, f"^{_PLAIN_CHUNK}*$"), pc.match_substring(chunks, "<|"))
+        if not len(chunks) or pc.all(plain).as_py():
+            sizes, flat = self._merge(chunks) if len(chunks) else (np.zeros(0, np.int64), np.zeros(0, np.uint32))
+        else:
+            is_plain = plain.to_numpy(zero_copy_only=False)
+            others = list(map(self._exact_ids, chunks.filter(pc.invert(plain)).to_pylist()))
+            some, ids = self._merge(chunks.filter(plain)) if is_plain.any() else (np.zeros(0, np.int64), np.zeros(0, np.uint32))
+            sizes = np.zeros(len(chunks), np.int64)
+            sizes[is_plain], sizes[~is_plain] = some, [len(i) for i in others]
+            of_plain = np.repeat(is_plain, sizes)
+            flat = np.empty(len(of_plain), np.uint32)
+            flat[of_plain], flat[~of_plain] = ids, np.concatenate(others)
+        return pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32), flat)
 
     def encode_many(self, texts: list[bytes]) -> list[np.ndarray]:
-        """The ids of each text (UTF-8)."""
-        split = [t.split() for t in texts]  # ASCII white space only
-        wanted = set().union(*split)
-        if len(self.cache) > self.limit:
-            self.older, self.cache = self.cache, {}
-        missing = []
-        for c in wanted - self.cache.keys():
-            if (known := self.older.get(c)) is None:
-                missing.append(c)
-            else:
-                self.cache[c] = known
-        if missing:
-            self._learn(missing)
-        get = self.cache.__getitem__
-        return [np.frombuffer(b"".join(map(get, s)), np.uint32) for s in split]
+        """The ids of each text (UTF-8).
+
+        The chunks of all texts are numbered at once, every different chunk is
+        encoded once, and the ids are gathered by number."""
+        if not texts:
+            return []
+        split = pc.ascii_split_whitespace(pa.array(texts, pa.binary()).cast(pa.string(), safe=False))
+        coded = split.values.dictionary_encode()
+        of_chunk, places = self._chunk_ids(coded.dictionary), coded.indices
+        flat = of_chunk.take(places).flatten().to_numpy()
+        sizes = np.diff(of_chunk.offsets.to_numpy())[places.to_numpy()]
+        ends = np.concatenate([[0], np.cumsum(sizes)])[split.offsets.to_numpy()]
+        return [flat[a:b] for a, b in zip(ends.tolist(), ends[1:].tolist())]
 
     def encode(self, text: str) -> np.ndarray:
         return self.encode_many([text.encode()])[0]
@@ -273,7 +287,7 @@ def encode_documents(docs: DataFrame, path: str, leaf: int = LEAF, finish: Finis
     def whole(batches):
         bpe = load(path)
         for b in batches:
-            for s, texts in text_slices(b.column("text")):
+            for s, texts in text_slices(b.column("text"), TOGETHER):
                 yield pa.RecordBatch.from_pydict(
                     {c: b.column(c).slice(s.start, len(texts)) for c in ("row", "doc_id")} | finish(bpe.encode_many(texts)))
 
@@ -289,7 +303,7 @@ def encode_documents(docs: DataFrame, path: str, leaf: int = LEAF, finish: Finis
     def encode_parts(batches):
         bpe = load(path)
         for b in batches:
-            for s, texts in text_slices(b.column("text")):
+            for s, texts in text_slices(b.column("text"), TOGETHER):
                 yield pa.RecordBatch.from_pydict(
                     {c: b.column(c).slice(s.start, len(texts)) for c in ("row", "doc_id", "part", "text")} | raw_ids(bpe.encode_many(texts)))
 
