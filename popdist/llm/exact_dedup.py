@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from popdist.llm.common import NO_ID, bucket, buckets_for, id_text, numbered, staged
+from popdist.llm.common import NO_ID, bucket, buckets_for, by_rows, freed, id_text, numbered, staged, unused
 
 @dataclass(frozen=True)
 class Snapshot:
@@ -139,7 +139,8 @@ def check_bytes(docs: DataFrame, rows: DataFrame, multi: DataFrame, digest_bytes
         ids = members.select("k").distinct()
         texts = id_text(docs).withColumn("k", F.coalesce("doc_id", F.lit(NO_ID))).join(ids, "k", "left_semi").drop("k")
     else:
-        texts = _id_text(docs, row).join(members.select("row"), "row", "left_semi").select("doc_id", "text", "row")
+        texts = by_rows(_id_text(docs, row), staged(members.select("row"), "dedup-members"), "row", "left_semi").select(
+            "doc_id", "text", "row")
     bodies = staged(_numbered(
         texts.mapInArrow(lambda it: _normalised(it, True), f"{_kinds(row)}, body binary"),
         digest_bytes, "body"), "dedup-bodies")
@@ -193,6 +194,8 @@ def dedup(docs: DataFrame, in_snapshot=None, digest_bytes: int = 32, row: str |
 
 def keep_first_copies(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows that ``dedup`` drops; all columns kept."""
-    rows = numbered(docs, "dedup-rows")
-    gone = staged(dedup(rows, row="_row").where("not kept").select(F.col("row").alias("_row")), "dedup-gone")
-    return rows.join(gone, "_row", "left_anti").select(*docs.columns)
+    row = unused(docs.columns, "_row")
+    rows = numbered(docs, "dedup-rows", row)
+    with freed(docs.sparkSession) as keep:
+        gone = keep(staged(dedup(rows, row=row).where("not kept").select(F.col("row").alias(row)), "dedup-gone"))
+    return by_rows(rows, gone, row, "left_anti").select(*docs.columns)

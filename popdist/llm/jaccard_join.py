@@ -1,15 +1,23 @@
-"""N-gram Jaccard join by MinHash banding with exact verification.
+"""N-gram Jaccard join by a MinHash LSH forest with exact verification.
 
 Documents with equal shingle sets are one class and are expanded never again.
-A class has a MinHash signature; each tree (band) labels it with a run of the
-signature.  Two classes are candidates when their labels share a prefix.  Its
-length is fixed: the longest whose recall at the threshold reaches the target,
-whatever the data.  Candidates are then verified on their whole shingle sets.
-
-No pair is ever a row.  A node (equal prefixes) is a block of classes, a large node is
+A class has a MinHash signature; each tree of the forest labels it with a run
+of the signature.  The labels of a tree, sorted, are its prefix trie: classes
+that share a prefix stand side by side.
+
+The forest is searched from the longest prefix to shorter ones.  A level
+compares the classes of every node whose children differ, so a pair meets at
+the longest prefix that it shares in any tree and is verified then, once, on
+whole shingle sets.  After each level the similarities of the links found tell
+how many were missed: a link of similarity s is found at prefix length k with
+probability 1 - (1 - s^k)^trees.  Prefixes are shortened until the measured
+recall reaches the target, at most to the length at which even links at the
+threshold reach it.
+
+No pair is ever a row.  A node's classes are a block, a large node is
 split into pairs of blocks; a task counts the links of its block and reports,
 for each class, how many documents it links to and one class of its
-component.  A pair is counted only in the first tree where it meets.
+component.
 """
 
 from __future__ import annotations
@@ -24,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from popdist.llm.bpe import slices, text_slices
-from popdist.llm.common import NO_ID, numbered, staged
+from popdist.llm.common import NO_ID, by_rows, freed, numbered, staged, unused
 from popdist.llm.components import components
 from popdist.llm.substring_dedup import SpanHash, _squeezed, split_words, word_hashes
 
@@ -33,8 +41,10 @@ THRESHOLD = 0.8
 TREES = 20
 #: hashes of a whole label
 DEPTH = 5
-#: of pairs exactly at the threshold; nearer pairs are found more surely
+#: share of all links to be found
 RECALL = 0.999999
+#: steps of similarity, from the threshold to 1, in which links are counted
+BINS = 40
 #: classes of a block
 BLOCK = 1024
 #: standard deviations of a signature's estimate below the threshold at which
@@ -45,12 +55,23 @@ _A = _SEEDS.integers(1, 2 ** 63, TREES * DEPTH, dtype=np.uint64) | np.uint64(1)
 _B = _SEEDS.integers(0, 2 ** 63, TREES * DEPTH, dtype=np.uint64)
 
 
-def prefix_length(threshold: float = THRESHOLD, recall: float = RECALL, trees: int = TREES, depth: int = DEPTH) -> int:
-    """The longest prefix whose matches reach ``recall`` at ``threshold``."""
-    k = depth
-    while k > 1 and 1 - (1 - threshold ** k) ** trees < recall:
-        k -= 1
-    return k
+def chance(similarity: float, k: int, trees: int = TREES) -> float:
+    """Probability that a pair shares a prefix of ``k`` values in some tree."""
+    return 1 - (1 - similarity ** k) ** trees
+
+
+def shortest_prefix(threshold: float = THRESHOLD, recall: float = RECALL, trees: int = TREES, depth: int = DEPTH) -> int:
+    """The longest prefix whose matches reach ``recall`` even at ``threshold``."""
+    return next((k for k in range(depth, 1, -1) if chance(threshold, k, trees) >= recall), 1)
+
+
+def measured_recall(links: dict[int, int], k: int) -> float:
+    """Share of all links that prefixes of ``k`` values find, estimated from the
+    found links of each bin: a link stands for 1 / chance links.  0 without any."""
+    if not links:
+        return 0.0
+    width = (1 - THRESHOLD) / BINS
+    return sum(links.values()) / sum(n / chance(THRESHOLD + i * width, k) for i, n in links.items())
 
 
 def shingle_sets(texts: list[bytes], n: int = SHINGLE) -> list[np.ndarray]:
@@ -102,21 +123,35 @@ def _described(docs: DataFrame) -> DataFrame:
         run, "doc_id long, row long, set binary, sig binary, blank binary")
 
 
-def _labels(classes: DataFrame, k: int) -> DataFrame:
-    """(cid, tree, node): a class's trie node at depth ``k`` in every tree."""
+def _labels(classes: DataFrame) -> DataFrame:
+    """(cid, tree, label), sorted by tree and label: the forest's tries.  A
+    label is the big-endian bytes of its values, so prefixes are substrings."""
 
     def run(batches):
         for b in batches:
-            sig = _matrix(b.column("sig"))
+            sig = _matrix(b.column("sig")).astype(">u2")
             for t in range(TREES):
-                label = sig[:, t * DEPTH:t * DEPTH + k].astype(np.uint64)
-                node = np.zeros(len(sig), np.uint64)
-                for d in range(k):
-                    node = (node ^ (node >> np.uint64(29)) ^ label[:, d]) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(d + 1)
+                label = np.ascontiguousarray(sig[:, t * DEPTH:(t + 1) * DEPTH])
                 yield pa.RecordBatch.from_pydict({
-                    "cid": b.column("cid"), "tree": pa.repeat(pa.scalar(t, pa.int32()), len(sig)), "node": pa.array(node.view(np.int64))})
-
-    return classes.select("cid", "sig").mapInArrow(run, "cid long, tree int, node long")
+                    "cid": b.column("cid"), "tree": pa.repeat(pa.scalar(t, pa.int32()), len(sig)),
+                    "label": pa.array([row.tobytes() for row in label], pa.binary())})
+
+    rows = classes.select("cid", "sig").mapInArrow(run, "cid long, tree int, label binary")
+    return staged(rows.repartitionByRange("tree", "label").sortWithinPartitions("tree", "label"), "jaccard-labels")
+
+
+def _members(labels: DataFrame, k: int) -> DataFrame:
+    """(NODE, cid, own) of the trie nodes at depth ``k`` that have classes of two
+    children, or at full depth two classes; large nodes as pairs of blocks."""
+    prefix = lambda n: F.substring("label", 1, 2 * n)
+    at = labels.select("cid", "tree", F.xxhash64(prefix(k)).alias("node"), prefix(min(k + 1, DEPTH)).alias("child"))
+    many = F.col("n") > 1 if k == DEPTH else F.col("first") != F.col("last")
+    nodes = staged(at.groupBy("tree", "node").agg(F.count("*").alias("n"), F.min("child").alias("first"), F.max("child").alias("last"))
+                   .where(many).select("tree", "node", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "jaccard-nodes")
+    return staged(at.drop("child").join(nodes, ["tree", "node"]), "jaccard-members") \
+        .withColumn("own", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")) \
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
+        .withColumn("b1", F.least("own", "other")).withColumn("b2", F.greatest("own", "other")).select(*NODE, "cid", "own")
 
 
 def _matrix(column) -> np.ndarray:
@@ -147,9 +182,9 @@ NODE = ["tree", "node", "b1", "b2"]
 
 
 def _candidates(sig: np.ndarray, own: np.ndarray, tree: int, k: int, paired: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Row pairs of a block that first meet in this tree and whose signatures
-    do not rule out a link.  ``own``: the block of each row; with ``paired``
-    the two rows of a pair come from different blocks."""
+    """Row pairs of a block that first meet in this tree at depth ``k`` and whose
+    signatures do not rule out a link.  ``own``: the block of each row; with
+    ``paired`` the two rows of a pair come from different blocks."""
     m = len(sig)
     least = THRESHOLD - SIGMAS * np.sqrt(THRESHOLD * (1 - THRESHOLD) / sig.shape[1])
     left = np.flatnonzero(own == own.min()) if paired else np.arange(m)
@@ -165,10 +200,11 @@ def _candidates(sig: np.ndarray, own: np.ndarray, tree: int, k: int, paired: boo
             for d in range(DEPTH):
                 same = a[:, None, t * DEPTH + d] == b[None, :, t * DEPTH + d]
                 equal += same
-                if d < k:
+                if d <= k:
                     prefix &= same
-            if t < tree:
-                met |= prefix
+                    # met on a longer prefix, or on this one in an earlier tree
+                    if d == k or d == k - 1 and t < tree:
+                        met |= prefix
         ok = ~met & (equal >= least * sig.shape[1])
         if not paired:
             ok &= right[None, :] > rows[:, None]
@@ -177,8 +213,9 @@ def _candidates(sig: np.ndarray, own: np.ndarray, tree: int, k: int, paired: boo
     return (np.concatenate([x for x, _ in found]), np.concatenate([y for _, y in found])) if found else (np.zeros(0, int),) * 2
 
 
-def _linked(sets: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Which pairs (x, y) have a Jaccard similarity of at least 0.8, exactly."""
+def _linked(sets: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which pairs (x, y) have a Jaccard similarity of at least 0.8, exactly,
+    and the bins of their similarities."""
     size = np.array([len(s) for s in sets], dtype=np.int64)
     if len(x) <= 64:
         shared = np.array([len(np.intersect1d(sets[i], sets[j], assume_unique=True)) for i, j in zip(x, y, strict=True)], dtype=np.int64)
@@ -199,7 +236,11 @@ def _linked(sets: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
                 m[rows[a:e], place] = 1
                 both += m @ m.T
         shared = both[x, y].astype(np.int64)
-    return 9 * shared >= 4 * (size[x] + size[y])  # shared / (a + b - shared) >= 4 / 5
+    both = size[x] + size[y]
+    linked = 9 * shared >= 4 * both  # shared / (both - shared) >= 4 / 5
+    similarity = shared[linked] / (both - shared)[linked]
+    bins = ((similarity - THRESHOLD) * BINS / (1 - THRESHOLD)).astype(np.int64)
+    return linked, np.clip(bins, 0, BINS - 1)
 
 
 def _roots(n: int, x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -220,31 +261,8 @@ def _block_rows(t: pa.Table) -> tuple[np.ndarray, np.ndarray, int, bool]:
     return _matrix(t.column("sig")), t.column("own").to_numpy(), int(t.column("tree")[0].as_py()), t.column("b1")[0] != t.column("b2")[0]
 
 
-def _classed(docs: DataFrame) -> DataFrame:
-    """(doc_id, row, top, n_links, blank) of every row of ``docs``, which has a
-    unique staged number ``_row``.  ``top`` (none, doc_id, row) is the row that
-    stands for the row's class: the smallest doc_id's, or where no row has a
-    doc_id (``none``) the smallest row number's."""
-    k = prefix_length()
-    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"),
-                        F.col("_row").alias("row"))
-    rows = staged(_described(keyed), "jaccard-rows")
-    own = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
-    classes = staged(
-        rows.where("set is not null").groupBy("set").agg(
-            F.min(own).alias("top"), F.count("*").alias("copies"), F.first("sig").alias("sig"))
-        .withColumn("cid", F.monotonically_increasing_id()), "jaccard-classes")
-
-    # trie nodes with two or more classes; large ones as pairs of blocks
-    labels = staged(_labels(classes, k), "jaccard-labels")
-    nodes = staged(labels.groupBy("tree", "node").agg(F.count("*").alias("n")).where("n > 1")
-                   .select("tree", "node", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "jaccard-nodes")
-    members = staged(labels.join(nodes, ["tree", "node"]), "jaccard-members") \
-        .withColumn("own", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")) \
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
-        .withColumn("b1", F.least("own", "other")).withColumn("b2", F.greatest("own", "other"))
-    in_blocks = members.select(*NODE, "cid", "own").join(classes.select("cid", "sig"), "cid") \
-        .select(*NODE, "cid", "own", "sig").repartition(*NODE).sortWithinPartitions(*NODE, "cid")
+def _places(in_blocks: DataFrame, k: int) -> DataFrame:
+    """(NODE, cid, own) of the classes that have a candidate in their block."""
 
     def promising(batches):
         for t in _grouped(batches, NODE):
@@ -254,46 +272,89 @@ def _classed(docs: DataFrame) -> DataFrame:
                 if len(x):
                     yield from t.take(np.unique(np.concatenate([x, y]))).drop_columns(["sig"]).to_batches()
 
-    kind = "tree int, node long, b1 int, b2 int, cid long"
-    places = staged(in_blocks.mapInArrow(promising, f"{kind}, own int"), "jaccard-places")
+    return staged(in_blocks.mapInArrow(promising, "tree int, node long, b1 int, b2 int, cid long, own int"), "jaccard-places")
 
-    # the whole shingle sets of the classes that have a candidate
-    wanted = classes.join(places.select("cid").distinct(), "cid").select(
-        "cid", "sig", "copies", F.col("top.row").alias("row"))
 
-    def shingles(batches):
-        for b in batches:
-            texts = [zstandard.decompress(z) for z in b.column("z").to_pylist()]
-            for s in slices(np.array([len(t) for t in texts], dtype=np.int64), 2 << 20):
-                made = shingle_sets(texts[s])
-                yield pa.RecordBatch.from_pydict(
-                    {c: b.column(c).slice(s.start, len(made)) for c in ("cid", "sig", "copies")}
-                    | {"shingles": pa.array([x.tobytes() for x in made], pa.binary())})
-
-    sets = staged(_squeezed(keyed, "row long").join(wanted, "row").select("cid", "sig", "copies", "z")
-                  .mapInArrow(shingles, "cid long, sig binary, copies long, shingles binary"), "jaccard-sets")
-    full = places.join(sets, "cid").repartition(*NODE).sortWithinPartitions(*NODE, "cid")
+def _verified(full: DataFrame, k: int) -> DataFrame:
+    """(cid, links, root, bins) of each block's linked classes, by whole shingle
+    sets; ``bins`` of one row of a block counts its links by similarity."""
 
     def verify(batches):
         for t in _grouped(batches, NODE):
             sig, own, tree, paired = _block_rows(t)
-            x, y = _candidates(sig, own, tree, k, paired and own.min() != own.max())
-            if paired and own.min() == own.max() or not len(x):
+            if paired and own.min() == own.max():
                 continue
-            linked = _linked([np.frombuffer(s, np.uint64) for s in t.column("shingles").to_pylist()], x, y)
+            x, y = _candidates(sig, own, tree, k, paired)
+            if not len(x):
+                continue
+            linked, bins = _linked([np.frombuffer(s, np.uint64) for s in t.column("shingles").to_pylist()], x, y)
             x, y = x[linked], y[linked]
             if len(x):
                 cid, copies = t.column("cid").to_numpy(), t.column("copies").to_numpy()
                 degree = np.bincount(x, copies[y], len(t)) + np.bincount(y, copies[x], len(t))
                 at = np.flatnonzero(degree)
+                counts = [np.bincount(bins, minlength=BINS).tolist(), *[None] * (len(at) - 1)]
                 yield pa.RecordBatch.from_pydict({
-                    "cid": pa.array(cid[at]), "links": pa.array(degree[at].astype(np.int64)), "root": pa.array(cid[_roots(len(t), x, y)][at])})
+                    "cid": pa.array(cid[at]), "links": pa.array(degree[at].astype(np.int64)), "root": pa.array(cid[_roots(len(t), x, y)][at]),
+                    "bins": pa.array(counts, pa.list_(pa.int64()))})
+
+    return staged(full.mapInArrow(verify, "cid long, links long, root long, bins array<long>"), "jaccard-found")
+
+
+def _classed(docs: DataFrame, row: str, levels: list[tuple[int, float]] | None = None) -> DataFrame:
+    """(doc_id, row, top, n_links, blank) of every row of ``docs``, whose column
+    ``row`` has unique staged numbers.  ``top`` (none, doc_id, row) is the row that
+    stands for the row's class: the smallest doc_id's, or where no row has a
+    doc_id (``none``) the smallest row number's.  ``levels`` is told the prefix
+    lengths searched and the recall measured after each."""
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"),
+                        F.col(row).alias("row"))
+    rows = staged(_described(keyed), "jaccard-rows")
+    own = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
+    classes = staged(
+        rows.where("set is not null").groupBy("set").agg(
+            F.min(own).alias("top"), F.count("*").alias("copies"), F.first("sig").alias("sig"))
+        .withColumn("cid", F.monotonically_increasing_id()), "jaccard-classes")
+    labels = _labels(classes)
+
+    def shingles(batches):
+        for b in batches:
+            texts = [zstandard.decompress(z) for z in b.column("z").to_pylist()]
+            for s in slices(np.array([len(t) for t in texts], dtype=np.int64), 2 << 20):
+                made = shingle_sets(texts[s])
+                yield pa.RecordBatch.from_pydict(
+                    {c: b.column(c).slice(s.start, len(made)) for c in ("cid", "sig", "copies")}
+                    | {"shingles": pa.array([x.tobytes() for x in made], pa.binary())})
 
-    found = staged(full.mapInArrow(verify, "cid long, links long, root long"), "jaccard-found")
+    found, links, done = None, {}, None
+    for k in range(DEPTH, shortest_prefix() - 1, -1):
+        in_blocks = _members(labels, k).join(classes.select("cid", "sig"), "cid") \
+            .select(*NODE, "cid", "own", "sig").repartition(*NODE).sortWithinPartitions(*NODE, "cid")
+        places = _places(in_blocks, k)
+        # the whole shingle sets of the classes that have a candidate, those of earlier levels made already
+        new = places.select("cid").distinct()
+        if done is not None:
+            new = new.join(done.select("cid"), "cid", "left_anti")
+        wanted = classes.join(new, "cid").select("cid", "sig", "copies", F.col("top.row").alias("row"))
+        sets = staged(_squeezed(by_rows(keyed, staged(wanted.select("row"), "jaccard-wanted"), "row", "left_semi"), "row long")
+                      .join(wanted, "row").select("cid", "sig", "copies", "z")
+                      .mapInArrow(shingles, "cid long, sig binary, copies long, shingles binary"), "jaccard-sets")
+        done = sets if done is None else done.unionByName(sets)
+        full = places.join(done, "cid").repartition(*NODE).sortWithinPartitions(*NODE, "cid")
+        level = _verified(full, k)
+        for r in level.where("bins is not null").select(F.posexplode("bins").alias("i", "n")).groupBy("i").agg(F.sum("n").alias("n")).collect():
+            if r.n:
+                links[r.i] = links.get(r.i, 0) + r.n
+        found = level if found is None else found.unionByName(level)
+        recall = measured_recall(links, k)
+        if levels is not None:
+            levels.append((k, recall))
+        if recall >= RECALL:
+            break
     roots = components(found.select(F.col("cid").alias("u"), F.col("root").alias("v")))
-    links = found.groupBy("cid").agg(F.sum("links").alias("links"))
+    degrees = found.groupBy("cid").agg(F.sum("links").alias("links"))
     labelled = classes.select("cid", "set", "copies", "top") \
-        .join(links, "cid", "left").join(roots.select(F.col("u").alias("cid"), "root"), "cid", "left") \
+        .join(degrees, "cid", "left").join(roots.select(F.col("u").alias("cid"), "root"), "cid", "left") \
         .withColumn("root", F.coalesce("root", "cid"))
     labelled = staged(labelled, "jaccard-labelled")
     least = labelled.groupBy("root").agg(F.min("top").alias("class_top"))
@@ -315,7 +376,7 @@ def join(docs: DataFrame) -> DataFrame:
     Rows without doc_id belong to their class like others; a class where no
     row has a doc_id is named by a number of its own, from ``NO_ID`` + 1 on.
     """
-    return _classed(numbered(docs.select("doc_id", "text"), "jaccard-docs")).select(
+    return _classed(numbered(docs.select("doc_id", "text"), "jaccard-docs"), "_row").select(
         "doc_id", F.coalesce("top.doc_id", F.col("top.row") + F.lit(NO_ID + 1)).alias("class_id"), "n_links")
 
 
@@ -325,10 +386,12 @@ def keep_one(docs: DataFrame) -> DataFrame:
     words, only rows that repeat doc_id and text go."""
     from pyspark.sql import Window
 
-    rows = numbered(docs, "jaccard-docs")
-    told = staged(_classed(rows).select("doc_id", "row", F.col("top.row").alias("top"), "blank"), "jaccard-told")
+    number = unused(docs.columns, "_row")
+    rows = numbered(docs, "jaccard-docs", number)
     once = Window.partitionBy("doc_id", "blank").orderBy("row")
-    again = told.where("blank is not null and doc_id is not null") \
-        .withColumn("_n", F.row_number().over(once)).where("_n > 1").select("row")
-    gone = staged(told.where("row <> top").select("row").unionByName(again).withColumnRenamed("row", "_row"), "jaccard-gone")
-    return rows.join(gone, "_row", "left_anti").select(*docs.columns)
+    with freed(docs.sparkSession) as keep:
+        told = staged(_classed(rows, number).select("doc_id", "row", F.col("top.row").alias("top"), "blank"), "jaccard-told")
+        again = told.where("blank is not null and doc_id is not null") \
+            .withColumn("_n", F.row_number().over(once)).where("_n > 1").select("row")
+        gone = keep(staged(told.where("row <> top").select("row").unionByName(again).withColumnRenamed("row", number), "jaccard-gone"))
+    return by_rows(rows, gone, number, "left_anti").select(*docs.columns)

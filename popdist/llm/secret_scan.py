@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from popdist.llm.bpe import text_slices
+from popdist.llm.common import unused
 
 SHORTEST = 20
 
@@ -250,8 +251,9 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", classes: Iterable[CharClass]
             yield pa.array([mask(t, spans, word) if spans else None for t, spans in _each(column, scanner)], pa.string())
 
     masked = F.arrow_udf(run, "string", F.ArrowUDFType.SCALAR_ITER)(F.coalesce(docs["text"], F.lit("")))
-    changed = {"text": F.coalesce("_masked", "text"),
-               "n_chars": F.when(F.col("_masked").isNotNull(), F.char_length("_masked").cast("long")).otherwise(F.col("n_chars"))
+    new = unused(docs.columns, "_masked")
+    changed = {"text": F.coalesce(new, "text"),
+               "n_chars": F.when(F.col(new).isNotNull(), F.char_length(new).cast("long")).otherwise(F.col("n_chars"))
                if "n_chars" in docs.columns else None}
-    return docs.withColumn("_masked", masked).select(
+    return docs.withColumn(new, masked).select(
         *[changed[c].alias(c) if c in changed else F.col(c) for c in docs.columns])

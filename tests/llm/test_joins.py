@@ -174,11 +174,55 @@ def test_different_texts_without_id_have_different_names(spark):
     assert _keyed(docs).select("k", "th").distinct().count() == n
 
 
-def test_prefix_reaches_the_recall():
-    k = J.prefix_length()
+def test_shortest_prefix_reaches_the_recall_at_the_threshold():
+    k = J.shortest_prefix()
     assert 1 - (1 - 0.8 ** k) ** J.TREES >= J.RECALL > 1 - (1 - 0.8 ** (k + 1)) ** J.TREES
 
 
+def test_recall_is_measured_from_the_links():
+    assert J.measured_recall({}, 3) == 0
+    assert abs(J.measured_recall({0: 10}, 5) - J.chance(0.8, 5)) < 1e-12
+    assert J.measured_recall({J.BINS - 1: 10}, 5) > 1 - 1e-12
+    assert J.measured_recall({0: 1, J.BINS - 1: 10 ** 6}, 5) > J.RECALL > J.measured_recall({0: 10_000, J.BINS - 1: 10 ** 6}, 5)
+
+
+def test_prefixes_shorten_only_as_far_as_the_links_ask_for(spark):
+    from pyspark.sql import functions as F
+
+    text = lambda g: [f"{g}w{i}" for i in range(200)]
+    near = [(g * 10 + i, " ".join([*text(g), f"end{i}"])) for g in range(40) for i in range(3)]  # all at 0.99
+    far = [(10_000 + i, " ".join([*text("f")[:180 + i], *(f"x{i}{j}" for j in range(20 - i))])) for i in range(4)]  # near 0.8
+    for rows, last in ((near, J.DEPTH), (near + far, J.shortest_prefix()), (near[::3], J.shortest_prefix())):
+        levels = []
+        docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("_row", F.monotonically_increasing_id())
+        got = J._classed(J.staged(docs, "forest-docs"), "_row", levels).collect()
+        assert [k for k, _ in levels] == list(range(J.DEPTH, last - 1, -1))
+        classes = linked_classes(rows)
+        assert {r.doc_id: r.top.doc_id for r in got} == classes
+
+
+@pytest.mark.parametrize("sf", ["0.001", "0.01"])
+def test_links_of_whole_tables(spark, sf):
+    """All links of the documents by brute force over shared shingles."""
+    docs = spark.read.parquet(f"/root/testdata/sf{sf}/documents.parquet")
+    sets, holders = {}, defaultdict(list)
+    for r in docs.select("doc_id", "text").collect():
+        w = low(r.text).split()
+        n = min(5, len(w))
+        sets[r.doc_id] = {tuple(w[i:i + n]) for i in range(len(w) - n + 1)} if w else set()
+        for s in sets[r.doc_id]:
+            holders[s].append(r.doc_id)
+    shared = Counter()
+    for ids in holders.values():
+        shared.update((a, b) for i, a in enumerate(ids) for b in ids[:i])
+    links = Counter()
+    for (a, b), n in shared.items():
+        if 9 * n >= 4 * (len(sets[a]) + len(sets[b])):
+            links.update((a, b))
+    got = {r.doc_id: r.n_links for r in J.join(docs).collect()}
+    assert got == {i: links[i] for i in sets} and sum(links.values()) > 0
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 200), (200, 150), (7, 7), (300, 300)] + [(500, i) for i in range(600, 640)]
     got = {r.u: r.root for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}

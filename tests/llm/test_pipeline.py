@@ -3,7 +3,8 @@
 from collections import Counter
 
 import corpus_pipeline
-from popdist.llm import quality
+import pytest
+from popdist.llm import common, quality
 from popdist.llm.crf import line_features
 from popdist.llm.secret_scan import scan
 from tests_llm_helpers import check_pieces, linked_classes, low
@@ -54,3 +55,39 @@ def test_odd_rows(spark, odd_docs):
             if name != "packing":
                 assert now.columns == docs.columns
         assert (now.count() > 0) == (some is docs)
+
+
+@pytest.mark.parametrize("broadcast", [10, 0])
+def test_columns_of_any_name_keep_their_values(spark, monkeypatch, broadcast):
+    """Columns that are called like the operators' own, with rows dropped by a
+    broadcast and by a shuffle."""
+    monkeypatch.setattr(common, "BROADCAST_ROWS", broadcast)
+    rows = [(i, text, "en", "s", 5, 77 + i, f"m{i}", f"x{i}") for i, text in enumerate(
+        ["one text here", "ONE text here", None, "", 'token = "9f8e7d6c5b4a39281706f5e4d3c2b1a0"', "é 中文 text", "another text"])]
+    names = "doc_id long, text string, lang string, source string, n_chars long, _row long, _masked string, _row1 string"
+    docs = spark.createDataFrame(rows, names)
+    for stage in (corpus_pipeline.exact_dedup, corpus_pipeline.near_dedup, corpus_pipeline.secrets, corpus_pipeline.quality):
+        got = stage(spark, docs, SMALL)
+        assert got.columns == docs.columns
+        kept = {r.doc_id: r for r in got.collect()}
+        assert all((r._row, r._masked, r._row1) == rows[i][5:] for i, r in kept.items())
+        if stage in (corpus_pipeline.exact_dedup, corpus_pipeline.near_dedup):
+            assert {i: r.text for i, r in kept.items()} == {
+                r[0]: r[1] for r in rows if r[0] != (0 if stage is corpus_pipeline.exact_dedup else 1)
+                and not (r[0] == 2 and stage is corpus_pipeline.exact_dedup)}
+
+
+def test_staged_tables_are_freed(spark, tmp_path):
+    with common.freed(spark) as keep:
+        a = common.staged(spark.range(5), "freed-a")
+        b = keep(common.staged(a.where("id > 2"), "freed-b"))
+    assert sorted(r.id for r in b.collect()) == [3, 4]
+    with pytest.raises(Exception):
+        spark.read.parquet(a.staged_path).count()
+    with common.freed(spark) as keep:
+        with common.freed(spark) as inner:
+            c = inner(common.staged(spark.range(3), "freed-c"))
+        assert c.count() == 3
+    with pytest.raises(Exception):
+        spark.read.parquet(c.staged_path).count()
+    assert common.unused(["_ROW", "_row1"], "_row") == "_row2"
