@@ -1,8 +1,10 @@
 """Bidirectional gated recurrent network with attention pooling, in numpy.
 
 Input of a word: the embedding of its vocabulary entry (entry 0: any other
-word) and the mean embedding of its known character sequences (beginnings of
-several lengths, and its end).  A window of words gives one score; a
+word) and the embeddings of its known character sequences, those of 4 and of 6
+bytes at every place of the word, its borders included.  A run of letters longer
+than a word ever is (scripts without spaces) is cut into overlapping pieces, so
+every sequence lies whole in one of them.  A window of words gives one score; a
 document's score is that of its worst window.
 """
 
@@ -18,9 +20,15 @@ STRIDE = 16
 WORD_DIM = 12
 CHAR_DIM = 8
 HIDDEN = 8
-#: bytes of the beginnings and of the end that are read as character sequences
-BEGINNINGS = (4, 5, 6, 7)
-END = 3
+#: bytes of the character sequences
+SIZES = (4, 6)
+#: a longer run of letters is cut into pieces that begin so many bytes apart
+PIECE = 32
+#: a word or a sequence is known from so many documents of the sample on, if of
+#: all of them no more than CHANCE would be as toxic by chance
+MIN_DOCS = 3
+CHANCE = 5.0
+PRIOR = 4.0
 _K = np.uint64(0x9E3779B97F4A7C15)
 _PLACE = np.random.default_rng(21).integers(1, 2 ** 63, 64, dtype=np.uint64) | np.uint64(1)
 _BYTE = np.random.default_rng(22).integers(1, 2 ** 63, 256, dtype=np.uint64) | np.uint64(1)
@@ -33,35 +41,67 @@ _SOLID[0x80:] = True
 
 @dataclass
 class Words:
-    """The words of many texts in a row: 64-bit ``hash``, ``doc``, and the
-    hashes of the character sequences [words, len(BEGINNINGS) + 1] (0: none)."""
+    """The words of many texts: the 64-bit ``hash`` of every different word,
+    its character sequences ``grams[bounds[i]:bounds[i + 1]]``; and of the words
+    in a row the number ``of`` the different word and the ``doc``."""
 
     hash: np.ndarray
+    grams: np.ndarray
+    bounds: np.ndarray
+    of: np.ndarray
     doc: np.ndarray
-    chars: np.ndarray
     n_docs: int
 
+    def owners(self) -> np.ndarray:
+        """The different word that each character sequence belongs to."""
+        return np.repeat(np.arange(len(self.hash)), np.diff(self.bounds))
+
+    def only(self, used: np.ndarray) -> "Words":
+        """The different words numbered ``used`` alone, without the texts."""
+        size = np.diff(self.bounds)[used]
+        at = _ranges(self.bounds[used], size)
+        none = np.zeros(0, np.int64)
+        return Words(self.hash[used], self.grams[at], np.concatenate([[0], np.cumsum(size)]), none, none, self.n_docs)
+
+
+def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """start[0], start[0] + 1, ... (size[0] numbers), then the next."""
+    total = np.cumsum(size)
+    return np.arange(int(total[-1]) if len(total) else 0) + np.repeat(start - (total - size), size)
+
 
 def read_words(texts: list[bytes]) -> Words:
     """Lower-cased (A-Z) words of every text; vectorised over all bytes."""
-    raw = np.frombuffer(b"\n".join(t.lower() for t in texts) + b"\n", np.uint8) if texts else np.zeros(0, np.uint8)
+    raw = np.frombuffer(b"\n" + b"\n".join(t.lower() for t in texts) + b"\n", np.uint8)
     solid = _SOLID[raw]
-    change = np.diff(np.concatenate([[False], solid, [False]]).astype(np.int8))
+    change = np.diff(solid.astype(np.int8), prepend=0)
     start, end = np.flatnonzero(change == 1), np.flatnonzero(change == -1)
-    length = end - start
+    pieces = np.maximum(1, -(-(end - start - max(SIZES)) // PIECE))
+    nth = _ranges(np.zeros(len(start), np.int64), pieces)
+    begin, run_end = np.repeat(start, pieces) + nth * PIECE, np.repeat(end, pieces)
+    last = nth == np.repeat(pieces, pieces) - 1
+    finish = np.where(last, run_end, np.minimum(begin + PIECE + max(SIZES), run_end))
+    length = finish - begin
     first = np.cumsum(length) - length
-    place = np.arange(int(length.sum())) - np.repeat(first, length)
-    total = np.concatenate([[np.uint64(0)], np.cumsum(_BYTE[raw[solid]] * _PLACE[place % 64])])  # modulo 2 ** 64
-    mixed = lambda n: _mix(total[first + n] - total[first])
-    chars = np.zeros((len(start), len(BEGINNINGS) + 1), np.uint64)
-    for i, n in enumerate(BEGINNINGS):
-        chars[:, i] = np.where(length >= n, mixed(np.minimum(length, n)) + np.uint64(n), 0)
-    tail = np.zeros(len(start), np.uint64)
-    for j in range(1, END + 1):  # letters counted from the word's end
-        tail += _BYTE[raw[end - np.minimum(j, length)]] * _PLACE[60 - j]
-    chars[:, -1] = np.where(length >= END, _mix(tail), 0)
+    at = _ranges(begin, length)
+    total = np.concatenate([[np.uint64(0)], np.cumsum(_BYTE[raw[at]] * _PLACE[(at - np.repeat(begin, length)) % 64])])  # modulo 2 ** 64
+    hashes, where, of = np.unique(_mix(total[first + length] - total[first]), return_index=True, return_inverse=True)
+    # sequences of the different words; a zero byte stands for a border
+    plain = np.where(solid, raw, 0).astype(np.uint64)
+    open_, close = begin[where] - 1, finish[where] + 1
+    counts = [np.maximum(0, close - open_ - n + 1) for n in SIZES]
+    bounds = np.concatenate([[0], np.cumsum(sum(counts))])
+    grams = np.empty(int(bounds[-1]), np.uint64)
+    filled = bounds[:-1].copy()
+    for n, count in zip(SIZES, counts, strict=True):
+        place = _ranges(open_, count)
+        key = np.full(len(place), n, np.uint64) << np.uint64(56)
+        for j in range(n):
+            key |= plain[place + j] << np.uint64(8 * j)
+        grams[_ranges(filled, count)] = key
+        filled += count
     doc_end = np.cumsum([len(x) + 1 for x in texts])
-    return Words(mixed(length), np.searchsorted(doc_end, start, side="right"), chars, len(texts))
+    return Words(hashes, grams, bounds, of, np.searchsorted(doc_end, begin - 1, side="right"), len(texts))
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -70,7 +110,7 @@ def _mix(h: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Windows:
-    """``at`` [windows, WINDOW]: word numbers, -1 beyond the end; ``doc``."""
+    """``at`` [windows, WINDOW]: places in a row of words, -1 beyond the end; ``doc``."""
 
     at: np.ndarray
     doc: np.ndarray
@@ -95,6 +135,12 @@ def _entries(known: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return np.where(known[i] == hashes, i + 1, 0)
 
 
+def word_windows(words: Words) -> Windows:
+    """All overlapping windows, of numbers of different words."""
+    windows = windows_of(words.doc, words.n_docs)
+    return Windows(np.where(windows.at >= 0, words.of[windows.at] if len(words.of) else -1, -1), windows.doc)
+
+
 def _add_rows(n: int, rows: np.ndarray, values: np.ndarray) -> np.ndarray:
     """[n, columns]: the sums of ``values`` by row number."""
     return np.stack([np.bincount(rows, values[:, j], n) for j in range(values.shape[1])], axis=1).astype(np.float32)
@@ -112,25 +158,36 @@ class BiGru:
         r = np.random.default_rng(seed)
         d, h = WORD_DIM + CHAR_DIM, HIDDEN
         self.vocabulary, self.sequences = vocabulary, sequences
+        self.slots = np.zeros(1 << 20, dtype=bool)  # most sequences are unknown: told by one look
+        self.slots[(_mix(sequences) >> np.uint64(44)).astype(np.int64)] = True
         self.base_rate = 0.5
         draw = lambda *s, scale: r.normal(0, scale, s).astype(np.float32)
-        self.p = {"word": draw(len(vocabulary) + 1, WORD_DIM, scale=0.3), "char": draw(len(sequences) + 1, CHAR_DIM, scale=0.3),
+        self.p = {"word": draw(len(vocabulary) + 1, WORD_DIM, scale=0.05), "char": draw(len(sequences) + 1, CHAR_DIM, scale=0.05),
                   "att": draw(2 * h, scale=0.3), "out": draw(2 * h, scale=0.3), "bias": np.full(1, -1.0, np.float32)}
         for way in "fb":
             self.p |= {f"w{way}": draw(d, 3 * h, scale=d ** -0.5), f"u{way}": draw(h, 3 * h, scale=h ** -0.5),
                        f"c{way}": np.zeros(3 * h, np.float32)}
 
-    def inputs(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """[words + 1, WORD_DIM + CHAR_DIM], the last row for padding; and the
-        entries of the words and of their character sequences."""
+    def known_grams(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Entries and owners of the known character sequences, and the weight
+        of each owner's: 1 / square root of their number."""
+        slot = (_mix(words.grams) >> np.uint64(44)).astype(np.int64)
+        some = np.flatnonzero(self.slots[slot])
+        entry = _entries(self.sequences, words.grams[some])
+        some, entry = some[entry > 0], entry[entry > 0]
+        owner = np.searchsorted(words.bounds, some, side="right") - 1
+        count = np.bincount(owner, minlength=len(words.hash))
+        return entry, owner, 1 / np.sqrt(np.maximum(count, 1)).astype(np.float32)
+
+    def inputs(self, words: Words) -> tuple[np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """[different words + 1, WORD_DIM + CHAR_DIM], the last row for padding;
+        the words' entries, and ``known_grams``."""
         n = len(words.hash)
-        entry, chars = _entries(self.vocabulary, words.hash), _entries(self.sequences, words.chars)
+        entry, grams = _entries(self.vocabulary, words.hash), self.known_grams(words)
         out = np.zeros((n + 1, WORD_DIM + CHAR_DIM), np.float32)
         out[:n, :WORD_DIM] = self.p["word"][entry]
-        for k in range(chars.shape[1]):
-            out[:n, WORD_DIM:] += self.p["char"][chars[:, k]]
-        out[:, WORD_DIM:] /= chars.shape[1]
-        return out, entry, chars
+        out[:n, WORD_DIM:] = _add_rows(n, grams[1], self.p["char"][grams[0]]) * grams[2][:, None]
+        return out, entry, grams
 
     def _run(self, projected: np.ndarray, mask: np.ndarray, way: str, keep: list | None) -> np.ndarray:
         """Hidden states [windows, time, HIDDEN] of one direction."""
@@ -169,7 +226,7 @@ class BiGru:
 
     def gradients(self, words: Words, windows: np.ndarray, target: np.ndarray, weight: np.ndarray) -> tuple[float, dict]:
         """Weighted cross entropy and its gradients, by hand."""
-        x, entry, chars = self.inputs(words)
+        x, entry, (known, owner, scale) = self.inputs(words)
         keep: dict = {}
         logit = self.forward(x, windows, keep)
         prob = _sigmoid(logit)
@@ -207,8 +264,8 @@ class BiGru:
             g[f"w{way}"] = x.T @ by_word
             dx += by_word @ self.p[f"w{way}"].T
         g["word"] = _add_rows(len(self.p["word"]), entry, dx[:-1, :WORD_DIM])
-        share = dx[:-1, WORD_DIM:] / chars.shape[1]
-        g["char"] = _add_rows(len(self.p["char"]), chars.ravel(), np.repeat(share, chars.shape[1], axis=0))
+        share = dx[:-1, WORD_DIM:] * scale[:, None]
+        g["char"] = _add_rows(len(self.p["char"]), known, share[owner])
         return loss, g
 
     # -- documents --------------------------------------------------------------
@@ -224,47 +281,78 @@ class BiGru:
     def score(self, texts: list[bytes]) -> np.ndarray:
         """P(toxic) of each text: its worst window's; without words, the base rate."""
         words = read_words(texts)
-        windows = windows_of(words.doc, words.n_docs)
+        windows = word_windows(words)
         logit = np.full(words.n_docs, -np.inf)
         np.maximum.at(logit, windows.doc, self.window_logits(words, windows))
         return np.where(np.isneginf(logit), self.base_rate, _sigmoid(logit)).clip(0, 1)
 
 
 def _part(words: Words, rows: np.ndarray) -> tuple[Words, np.ndarray]:
-    """The words numbered in ``rows`` (windows, -1 allowed) as Words of their
-    own, and ``rows`` in that numbering."""
+    """The different words numbered in ``rows`` (windows, -1 allowed) alone, and
+    ``rows`` in that numbering."""
     inside = np.zeros(len(words.hash) + 1, dtype=bool)
     inside[rows] = True  # -1 marks the last place
-    used = np.flatnonzero(inside[:-1])
     place = np.cumsum(inside) - 1
-    new = np.where(rows >= 0, place[rows], -1)
-    return Words(words.hash[used], words.doc[used], words.chars[used], words.n_docs), new
-
-
-def _odds(hashes: np.ndarray, doc: np.ndarray, labels: np.ndarray, min_docs: int) -> tuple[np.ndarray, np.ndarray]:
-    """The hashes found in at least ``min_docs`` documents, sorted, and their
-    log odds of toxic documents."""
-    order = np.lexsort((doc, hashes))
-    h, d = hashes[order], doc[order]
-    new = np.ones(len(h), dtype=bool)
-    new[1:] = (h[1:] != h[:-1]) | (d[1:] != d[:-1])
-    h, d = h[new], d[new]
-    known, inverse = np.unique(h, return_inverse=True)
-    n_all, n_toxic = np.bincount(inverse), np.bincount(inverse, labels[d])
-    odds = np.log((n_toxic + 1) / (labels.sum() + 2)) - np.log((n_all - n_toxic + 1) / (len(labels) - labels.sum() + 2))
-    often = (n_all >= min_docs) & (known != 0)
-    return known[often], odds[often]
+    return words.only(np.flatnonzero(inside[:-1])), np.where(rows >= 0, place[rows], -1)
+
+
+def _odds(number: np.ndarray, n: int, doc: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Documents, their toxic share by chance, and log odds of toxic ones, of
+    things 0 to n - 1 that are found in documents (each pair once)."""
+    n_all = np.bincount(number, minlength=n)
+    n_toxic = np.bincount(number, labels[doc], n)
+    share = float(labels.mean())  # what PRIOR documents that nobody has seen count as
+    odds = np.log((n_toxic + PRIOR * share) / (n_all - n_toxic + PRIOR * (1 - share))) - np.log(share / (1 - share))
+    return n_all, _tail(n_toxic, n_all, share), odds
+
+
+def _telling(words: Words, labels: np.ndarray, min_docs: int, parts: int = 16) -> tuple[tuple, tuple]:
+    """(hashes, log odds), sorted, of the words and of the character sequences in
+    at least ``min_docs`` documents, and in toxic ones more than chance explains.
+    Sequences are counted in ``parts``, to bound the memory."""
+    pairs = np.unique(words.of.astype(np.int64) * words.n_docs + words.doc)
+    word, doc = pairs // words.n_docs, pairs % words.n_docs
+    found = [(words.hash, *_odds(word, len(words.hash), doc, labels))]
+    part = (_mix(words.grams) >> np.uint64(58)).astype(np.int64) % parts
+    owners = words.owners()
+    for i in range(parts):
+        mine = np.flatnonzero(part == i)
+        known, number = np.unique(words.grams[mine], return_inverse=True)
+        size = np.bincount(owners[mine], minlength=len(words.hash))
+        first = np.cumsum(size) - size
+        many = size[word]
+        met = np.unique(number[_ranges(first[word], many)] * words.n_docs + np.repeat(doc, many))
+        found.append((known, *_odds(met // words.n_docs, len(known), met % words.n_docs, labels)))
+
+    def chosen(rows):
+        hashes, n_all, chance, odds = map(np.concatenate, zip(*rows))
+        often = n_all >= min_docs
+        keep = often & (chance * often.sum() <= CHANCE)
+        order = np.argsort(hashes[keep])
+        return hashes[keep][order], odds[keep][order]
+
+    return chosen(found[:1]), chosen(found[1:])
+
+
+def _tail(hits: np.ndarray, tries: np.ndarray, share: float) -> np.ndarray:
+    """An upper bound of the probability of at least ``hits`` of ``tries`` by
+    chance (Chernoff); 1 where hits are no more than the share's."""
+    rate = hits / np.maximum(tries, 1)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        gain = np.where(hits > 0, rate * np.log(rate / share), 0) + np.where(
+            hits < tries, (1 - rate) * np.log((1 - rate) / (1 - share)), 0)
+    return np.where(rate > share, np.exp(-tries * gain), 1.0)
 
 
 def fit(texts: list[bytes], labels: np.ndarray, steps: int = 240, batch: int = 128, rate: float = 0.01,
-        min_share: float = 0.004, drawn: int = 1, sure: float = 1.0, seed: int = 0) -> BiGru:
+        min_docs: int = MIN_DOCS, drawn: int = 1, sure: float = 1.0, seed: int = 0) -> BiGru:
     """Multiple-instance training.  In each round a toxic document teaches its
     currently worst window (and others that look as bad) as toxic; a clean one
     teaches its worst and ``drawn`` random windows as clean; rounds go on for at
-    least ``steps`` batches.  Words and character sequences in less than
-    ``min_share`` of the documents (or in under five) are unknown."""
+    least ``steps`` batches.  Words and character sequences in fewer than
+    ``min_docs`` documents are unknown."""
     words = read_words(texts)
-    windows = windows_of(words.doc, words.n_docs)
+    windows = word_windows(words)
     rate_toxic = float(labels.mean()) if len(labels) else 0.5
     if len(np.unique(labels)) < 2 or not len(words.hash):
         net = BiGru(np.zeros(0, np.uint64), np.zeros(0, np.uint64), seed)
@@ -272,13 +360,8 @@ def fit(texts: list[bytes], labels: np.ndarray, steps: int = 240, batch: int = 1
         net.p["out"][:] = 0
         net.p["bias"][:] = np.log(max(rate_toxic, 1e-3) / max(1 - rate_toxic, 1e-3))
         return net
-    min_docs = max(5, round(min_share * len(texts)))
     rounds = max(5, -(-steps * batch // max(1, (1 + drawn) * len(texts))))
-    vocabulary, word_odds = _odds(words.hash, words.doc, labels, min_docs)
-    by_column = [_odds(words.chars[:, j], words.doc, labels, min_docs) for j in range(words.chars.shape[1])]
-    sequences, odds = np.concatenate([h for h, _ in by_column]), np.concatenate([o for _, o in by_column])
-    sequences, at = np.unique(sequences, return_index=True)
-    char_odds = odds[at]
+    (vocabulary, word_odds), (sequences, char_odds) = _telling(words, labels, min_docs)
     net = BiGru(vocabulary, sequences, seed)
     net.base_rate = rate_toxic
     # an entry's first coordinate starts as its log odds
@@ -288,8 +371,8 @@ def fit(texts: list[bytes], labels: np.ndarray, steps: int = 240, batch: int = 1
     v = {k: np.zeros_like(w) for k, w in net.p.items()}
     positive = labels[windows.doc] == 1
     best = net.p["word"][_entries(vocabulary, words.hash), 0]
-    for j in range(words.chars.shape[1]):
-        best = np.maximum(best, net.p["char"][_entries(sequences, words.chars[:, j]), 0])
+    entry, owner, _ = net.known_grams(words)
+    np.maximum.at(best, owner, net.p["char"][entry, 0])
     best = np.append(best, np.float32(-9))
     rank, level = best[windows.at].max(1), 3.0
     step = 0

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: labelled rows to learn from, at most; and the longest text among them
+#: labelled rows to learn from, at most; and the code points learnt of one text
 SAMPLE_ROWS = 4_000
 SAMPLE_CHARS = 8_000
 #: code points of a piece of a line of a longer text
@@ -22,21 +22,6 @@ def held_out(doc_id: str) -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string")), F.lit(4)) == 2, F.lit(False))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int = SAMPLE_ROWS,
-                    chars: int = SAMPLE_CHARS) -> pd.DataFrame:
-    """(text, label) of at most ``rows`` rows that are not held out, chosen by
-    a hash of doc_id among those with texts of at most ``chars`` code points.
-    A document with several labels has their largest."""
-    known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id")) \
-        .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(label).cast("int").alias("label"))
-    # twice as many labels as rows wanted leave room for texts that are too long
-    some = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * rows)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")) \
-        .where(F.char_length("text") <= chars)
-    return texts.join(F.broadcast(some), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "text") \
-        .limit(rows).select("text", "label").toPandas()
-
-
 def some_lines(text: str, chars: int = SAMPLE_CHARS) -> str:
     """``text``, or of a longer one lines from all over it, chosen by a hash of
     place and content, in order, together at most ``chars`` code points; lines

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from popdist.llm.bpe import text_slices
 from popdist.llm.gru import BiGru, fit
-from popdist.llm.labelled import held_out, labelled_sample
+from popdist.llm.labelled import held_out, labelled_lines
 
 #: labelled rows to learn from, at most
 SAMPLE_ROWS = 3_000
@@ -22,9 +22,9 @@ THRESHOLD = 0.3
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> BiGru:
-    """Fitted on at most ``rows`` labelled documents.  With no labels, or one
-    kind only, every text scores alike."""
-    sample = labelled_sample(docs, labels, "toxic", rows)
+    """Fitted on at most ``rows`` labelled documents, of long ones on lines from
+    all over them.  With no labels, or one kind only, every text scores alike."""
+    sample = labelled_lines(docs, labels, "toxic", rows)
     return fit([t.encode() for t in sample.text], sample.label.to_numpy())
 
 

@@ -45,10 +45,10 @@ def test_line_features():
 
 def test_gradients_equal_differences():
     known = gru.read_words([b"a bb ccc ddddeee"])
-    net = gru.BiGru(np.unique(known.hash), np.unique(known.chars)[1:])
+    net = gru.BiGru(known.hash, np.unique(known.grams))
     net.p = {k: v.astype(float) for k, v in net.p.items()}
     words = gru.read_words([b"a bb ccc zz a bb ddddeee", b"ccc q ddddee"])
-    at, target = gru.windows_of(words.doc, 2).at, np.array([1.0, 0.0])
+    at, target = gru.word_windows(words).at, np.array([1.0, 0.0])
 
     def loss():
         p = gru._sigmoid(net.forward(net.inputs(words)[0].astype(float), at))
@@ -68,7 +68,82 @@ def test_all_windows_of_long_texts_are_read():
     windows = gru.windows_of(np.repeat([0, 2], [5, 100]), 3)
     assert windows.doc.tolist()[0] == 0 and set(windows.at[windows.doc == 2].ravel().tolist()) - {-1} == set(range(5, 105))
     same = gru.read_words([b"One TWO", b"two one"])
-    assert same.hash[0] == same.hash[3] and same.hash[1] == same.hash[2] and (same.chars[0] == same.chars[3]).all()
+    assert len(same.hash) == 2 and same.of[0] == same.of[3] != same.of[1] == same.of[2] and same.doc.tolist() == [0, 0, 1, 1]
+
+
+def packed(text, n):
+    return (n << 56) | sum(b << 8 * i for i, b in enumerate(text))
+
+
+@pytest.mark.parametrize("text", [b"moron", b"a", b"abc", "日本語".encode(), b"xxxxxxxmoronxyz", b"q" * 33 + b"moron" + b"z" * 90,
+                                  "たいへん長い文".encode() * 9])
+def test_every_place_of_a_word_is_read(text):
+    words = gru.read_words([b"", b" " + text + b".", b""])
+    assert set(words.doc.tolist()) == {1}
+    inside = {packed(text[i:i + n], n) for n in gru.SIZES for i in range(len(text) - n + 1)}
+    assert inside <= set(words.grams.tolist())
+    if len(text) <= gru.PIECE:
+        whole = b"\0" + text + b"\0"
+        assert set(words.grams.tolist()) == {packed(whole[i:i + n], n) for n in gru.SIZES for i in range(len(whole) - n + 1)}
+
+
+def test_a_toxic_part_of_a_compound_is_found(labelled_docs, labels):
+    net = toxicity.train(labelled_docs, labels)
+    clean = [r.text for r in labelled_docs.collect() if "moron" not in r.text and "MORON" not in r.text][:20]
+    for word in ("moron", "supermoronlike", "xxxxxxxmoronxyz", "qqqqqqqqqqqqqqqqqqqqqqqqqqqqqqqmoronqqqqqqqqqqqqqqqqqqqqq"):
+        scores = net.score([f"{t[:40]} {word} {t[40:]}".encode() for t in clean])
+        assert (scores >= toxicity.THRESHOLD).mean() >= 0.9, word
+    assert (net.score([t.encode() for t in clean]) < toxicity.THRESHOLD).mean() >= 0.9
+
+
+def plain_score(net, text):
+    """The network written step by step, for one text."""
+    sig = lambda x: 1 / (1 + np.exp(-x))
+    import re
+
+    words = re.findall(rb"[0-9a-z\x80-\xff]+", text.lower())
+    vectors = []
+    for w in words:
+        one = gru.read_words([w])
+        entry = {h: i + 1 for i, h in enumerate(net.vocabulary.tolist())}.get(int(one.hash[0]), 0)
+        known = {h: i + 1 for i, h in enumerate(net.sequences.tolist())}
+        found = [known[g] for g in one.grams.tolist() if g in known]
+        chars = net.p["char"][found].sum(0) / np.sqrt(max(1, len(found))) if found else np.zeros(gru.CHAR_DIM)
+        vectors.append(np.concatenate([net.p["word"][entry], chars]))
+    best = -np.inf
+    for a in range(0, max(1, len(words) - gru.WINDOW + gru.STRIDE), gru.STRIDE):
+        part, both = vectors[a:a + gru.WINDOW], []
+        for way in "fb":
+            h, states = np.zeros(gru.HIDDEN), []
+            for x in (part if way == "f" else part[::-1]):
+                p, u, n = x @ net.p[f"w{way}"] + net.p[f"c{way}"], net.p[f"u{way}"], gru.HIDDEN
+                gates = sig(p[:2 * n] + h @ u[:, :2 * n])
+                c = np.tanh(p[2 * n:] + (gates[n:] * h) @ u[:, 2 * n:])
+                h = h + gates[:n] * (c - h)
+                states.append(h)
+            both.append(states if way == "f" else states[::-1])
+        states = np.concatenate(both, axis=1)
+        e = np.exp(states @ net.p["att"] - (states @ net.p["att"]).max())
+        best = max(best, (e / e.sum()) @ states @ net.p["out"] + net.p["bias"][0])
+    return sig(best)
+
+
+def test_scores_equal_a_plain_forward_pass(labelled_docs, labels):
+    net = toxicity.train(labelled_docs, labels)
+    texts = [r.text.encode() for r in labelled_docs.limit(6).collect()] + [b"one", b"moron " * 40, "é 中文 abc".encode()]
+    assert np.allclose(net.score(texts), [plain_score(net, t) for t in texts], atol=1e-4)
+
+
+@pytest.mark.parametrize("sf,least", [("0.01", 0.6), ("0.1", 0.9)])  # 37 and 329 toxic documents to learn from
+def test_held_out_toxic_documents_are_found(spark, sf, least):
+    folder = f"/root/testdata/sf{sf}"
+    labels = spark.read.parquet(f"{folder}/labels.parquet").where("toxic is not null")
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    net = toxicity.train(docs, labels)
+    rows = docs.join(labels, "doc_id").where(toxicity.held_out("doc_id")).select("text", "toxic").collect()
+    said = net.score([(r.text or "").encode() for r in rows]) >= toxicity.THRESHOLD
+    toxic = np.array([r.toxic for r in rows]) == 1
+    assert said[toxic].mean() >= least and said[~toxic].mean() <= 0.05, (said[toxic].mean(), said[~toxic].mean())
 
 
 @pytest.mark.parametrize("module,label", [(quality, "quality"), (toxicity, "toxic")])
