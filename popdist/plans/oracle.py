@@ -8,7 +8,19 @@ half-even rounding.  Only the driver tables are visible to these queries.
 
 from __future__ import annotations
 
-from ..settings import DEFAULT_AGE_RANGES, STATE_PREFIX, parse_band
+# Fixed values, written out here again: age bands (name, first, last age), the
+# prefix of state names, the paths from ingredients to products.
+BANDS = (("0-3", 0, 3), ("4-7", 4, 7), ("8-11", 8, 11), ("12-17", 12, 17), ("18-25", 18, 25), ("26-35", 26, 35),
+         ("36-45", 36, 45), ("46-65", 46, 65), ("65-103", 65, 103))
+STATE_PREFIX = "Prescribe_"
+PATHS = (
+    ("IN", "ingredient_of constitutes", "SCD"), ("IN", "has_tradename ingredient_of", "SBD"),
+    ("IN", "ingredient_of constitutes contained_in", "GPCK"),
+    ("IN", "ingredient_of constitutes contained_in has_tradename", "BPCK"),
+    ("MIN", "ingredients_of", "SCD"), ("MIN", "ingredients_of has_tradename", "SBD"),
+    ("MIN", "ingredients_of contained_in", "GPCK"), ("MIN", "ingredients_of has_tradename contained_in", "BPCK"),
+)
+DEFAULT_BANDS = tuple(name for name, _, _ in BANDS)
 
 # -- stand-in inputs ---------------------------------------------------------
 
@@ -100,8 +112,12 @@ def ratio(part: str, total: str) -> str:
     return f"COALESCE(round_even(CAST({part} AS DOUBLE) / NULLIF(CAST({total} AS DOUBLE), 0), 3), 0.0)"
 
 
-def bands_values(bands=DEFAULT_AGE_RANGES) -> str:
-    rows = ", ".join(f"('{b}', {parse_band(b)[0]}, {parse_band(b)[1]})" for b in bands)
+def bands_values(bands=DEFAULT_BANDS) -> str:
+    """The bands as rows: a known band's ages as written above, another one's
+    from its name, cut by SQL."""
+    known = {name: f"('{name}', {lo}, {hi})" for name, lo, hi in BANDS}
+    rows = ", ".join(known.get(b, f"('{b}', CAST(split_part('{b}', '-', 1) AS INTEGER), CAST(split_part('{b}', '-', 2) AS INTEGER))")
+                     for b in bands)
     return f"bands AS (SELECT * FROM (VALUES {rows}) b(age, lo, hi))"
 
 
@@ -138,7 +154,7 @@ def q(v: str) -> str:
 def cohort_chain(cohorts) -> list[str]:
     """CTEs ids, matched, expanded, resolved, ndc for a list of modules,
     written with IN / EXISTS / QUALIFY."""
-    from ..sources.class_members import RELATION_SOURCE, SINGLE_RELATION_SOURCES
+    from .oracle_classes import source_of
 
     def side(which: str) -> str:
         parts = []
@@ -146,8 +162,8 @@ def cohort_chain(cohorts) -> list[str]:
             for r in getattr(m, f"rxcui_{which}") or ():
                 parts.append(f"SELECT {q(m.module_name)} AS cohort, {q(r)} AS rxcui")
             for cq in getattr(m, f"rxclass_{which}") or ():
-                src = RELATION_SOURCE[cq.relationship]
-                rela = "" if cq.relationship in SINGLE_RELATION_SOURCES else f" AND rela = {q(cq.relationship)}"
+                src, many = source_of(cq.relationship)
+                rela = f" AND rela = {q(cq.relationship)}" if many else ""
                 parts.append(f"SELECT {q(m.module_name)} AS cohort, rxcui FROM fx_class_members "
                              f"WHERE class_id = {q(cq.class_id)} AND rela_source = {q(src)}{rela}")
         if not parts:
@@ -206,7 +222,7 @@ def demo_cols(age: bool, gender: bool, state: bool) -> list[str]:
     return [n for n, on in (("age", age), ("gender", gender), ("state", state)) if on]
 
 
-def dist_ctes(age=True, gender=True, state=True, bands=DEFAULT_AGE_RANGES, cohorts=None) -> list[str]:
+def dist_ctes(age=True, gender=True, state=True, bands=DEFAULT_BANDS, cohorts=None) -> list[str]:
     """All CTEs up to ``ing`` (ingredient shares) and ``prod`` (product
     shares), both with a cohort column and the demographic columns."""
     d = demo_cols(age, gender, state)
@@ -345,8 +361,7 @@ def path_branch(root_tty: str, relas, final_tty: str) -> str:
 
 
 def crosswalk_cte(name: str = "xw") -> str:
-    from ..operators.graph import CROSSWALK_PATHS
-    branches = "\n  UNION ALL\n  ".join(path_branch(*p) for p in CROSSWALK_PATHS)
+    branches = "\n  UNION ALL\n  ".join(path_branch(root, relas.split(), final) for root, relas, final in PATHS)
     return f"""{name} AS (
   SELECT DISTINCT sq.*, dc.rxcui AS dose_form_rxcui, dc.str AS dose_form_name, dc.tty AS dose_form_tty,
     s.atv AS medication_ndc
@@ -399,11 +414,16 @@ def cohort_sql(cohorts, select: str) -> str:
     return with_(FX_CROSSWALK, FX_CLASS_MEMBERS, FX_RXNCONSO, FX_RXNREL, DFG_MAP, *cohort_chain(cohorts)) + select
 
 
+def class_rows(queries) -> str:
+    """(class id, relationship, source, relation to match) of class queries."""
+    from .oracle_classes import source_of
+
+    told = [(c, *source_of(c.relationship)) for c in queries]
+    return ", ".join(f"({q(c.class_id)}, {q(c.relationship)}, {q(src)}, {q(c.relationship) if many else 'NULL'})" for c, src, many in told)
+
+
 def class_members_sql(queries) -> str:
-    from ..sources.class_members import RELATION_SOURCE, SINGLE_RELATION_SOURCES
-    rows = ", ".join(
-        f"({q(c.class_id)}, {q(c.relationship)}, {q(RELATION_SOURCE[c.relationship])}, "
-        f"{'NULL' if c.relationship in SINGLE_RELATION_SOURCES else q(c.relationship)})" for c in queries)
+    rows = class_rows(queries)
     return with_(FX_CLASS_MEMBERS) + f"""SELECT DISTINCT v.class_id, v.relationship, m.rxcui
 FROM (VALUES {rows}) v(class_id, relationship, rela_source, rela)
 JOIN fx_class_members m ON m.class_id = v.class_id AND m.rela_source = v.rela_source
@@ -599,10 +619,7 @@ def row_counts_sql() -> str:
 
 
 def unmatched_classes_sql(queries) -> str:
-    from ..sources.class_members import RELATION_SOURCE, SINGLE_RELATION_SOURCES
-    rows = ", ".join(
-        f"({q(c.class_id)}, {q(c.relationship)}, {q(RELATION_SOURCE[c.relationship])}, "
-        f"{'NULL' if c.relationship in SINGLE_RELATION_SOURCES else q(c.relationship)})" for c in queries)
+    rows = class_rows(queries)
     return with_(FX_CLASS_MEMBERS) + f"""SELECT v.class_id, v.relationship, v.rela_source
 FROM (VALUES {rows}) v(class_id, relationship, rela_source, rela)
 WHERE NOT EXISTS (SELECT 1 FROM fx_class_members m WHERE m.class_id = v.class_id

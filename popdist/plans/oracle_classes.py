@@ -15,6 +15,13 @@ RELATIONSHIPS = (
     ("has_VAClass_extended", "VA", True),
 )
 
+
+
+def source_of(relationship: str) -> tuple[str, bool]:
+    """The relationship's source, and whether that has several relationships."""
+    return next((s, many) for r, s, many in RELATIONSHIPS if r == relationship)
+
+
 _RELATIONS = "relations AS (SELECT * FROM (VALUES " + ", ".join(
     f"({i}, {o.q(r)}, {o.q(s)}, {str(many).lower()})" for i, (r, s, many) in enumerate(RELATIONSHIPS)) + ") v(i, relationship, source, many))"
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from ..settings import DEFAULT_AGE_RANGES
 from . import oracle as o
 from . import oracle_classes as oc
 from . import oracle_modules as om
@@ -31,8 +30,8 @@ ORACLES: dict[str, str] = {
     "lookup_wide_product": o.lookup_wide_sql("all_medications_combo_0_product_distribution.csv", o.WIDE_PRODUCT_NAMES),
     "lookup_wide_noflags": o.lookup_wide_sql("all_medications_ingredient_distribution.csv", o.WIDE_INGREDIENT_NAMES,
                                              age=False, gender=False, state=False),
-    "lookup_wide_files": om.wide_files_sql(PROFILED, DEFAULT_AGE_RANGES),
-    "profile_distribution": om.profile_sql(PROFILED, DEFAULT_AGE_RANGES),
+    "lookup_wide_files": om.wide_files_sql(PROFILED, o.DEFAULT_BANDS),
+    "profile_distribution": om.profile_sql(PROFILED, o.DEFAULT_BANDS),
     "module_documents": om.documents_sql(COHORTS),
     # concept graph
     "build_crosswalk": o.build_crosswalk_sql(),
