@@ -37,7 +37,7 @@ from popdist.llm.common import id_text
 #: code points of a leaf; longer texts are cut
 LEAF = 32_768
 #: bytes of texts that are encoded together; their different chunks are encoded once
-TOGETHER = 8 << 20
+TOGETHER = 2 << 20
 #: chunks of other letters whose ids a Python worker remembers, at about 300 bytes each
 ODD_CHUNKS = 50_000
 #: code points on either side of a join in the first window
