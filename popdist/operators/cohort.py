@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import small_table
+from ..session import small_table, staged
 from ..settings import INGREDIENT_TTYS, ModuleSettings
 from ..sources.class_members import class_query_table, resolve_class_members
 
@@ -147,10 +147,13 @@ def resolve_then_filter(rows: DataFrame, cohorts: Sequence[ModuleSettings],
 def cohort_ndc_rows(spark: SparkSession, crosswalk: DataFrame, cohorts: Sequence[ModuleSettings],
                     dose_form_map: DataFrame, class_members: DataFrame | None = None) -> DataFrame:
     """The chain of the module build: ids -> matched rows -> expanded by
-    product -> one row per package -> filters."""
-    ids = cohort_ingredient_ids(spark, cohorts, class_members)
-    matched = match_either_key(crosswalk, ids)
-    expanded = expand_by_product(crosswalk, matched)
+    product -> one row per package -> filters.
+
+    The two key lists, of ids and of products, are staged: each is joined three
+    times, and Spark sees their sizes before it plans the joins."""
+    ids = staged(cohort_ingredient_ids(spark, cohorts, class_members), "cohort-ids")
+    products = staged(distinct_products(match_either_key(crosswalk, ids)), "cohort-products")
+    expanded = match_either_key(crosswalk, products.withColumnRenamed("medication_product_rxcui", "rxcui"))
     return resolve_then_filter(expanded, cohorts, dose_form_map)
 
 

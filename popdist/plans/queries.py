@@ -169,7 +169,7 @@ def lookup_csv_roundtrip(ctx: Context) -> DataFrame:
 def lookup_wide_files(ctx: Context) -> DataFrame:
     """The wide CSV file of every lookup table of six modules with four
     demographic profiles, written in one job and read back line by line."""
-    dist = ctx.profiled()
+    dist = ctx.profiled().materialize()
     path = scratch_path(ctx.spark, "wide-files")
     write_wide(lookup.lookup_long(dist), dist.profiles, path)
     return read_wide(ctx.spark, path).withColumnRenamed("module", "cohort").withColumnRenamed("file", "lookup_table")
@@ -466,7 +466,7 @@ def order_states(ctx: Context) -> DataFrame:
 @query
 def module_documents(ctx: Context) -> DataFrame:
     """Every state of the JSON documents of three modules, one row per state."""
-    dist = ctx.profiled(COHORTS)
+    dist = ctx.profiled(COHORTS).materialize()
     pairs = states.prescribed_pairs(dist.ndc_rows, ctx.fx.prescription, ctx.fx.demographics)
     return states.module_documents(states.document_pieces(dist, pairs, list(COHORTS)))
 
