@@ -150,11 +150,11 @@ def occurrences(docs: DataFrame, window: int, k: int) -> DataFrame:
 
 
 def fetch(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The words of one copy of each wanted segment: (seed, d, least, wide, words)."""
+    """The words of one copy of each wanted segment: (seed, d, least, wide, alone, words)."""
+    names = ("seed", "d", "least", "wide", "alone")
     by_doc = wanted.groupBy("rep.k", "rep.th").agg(F.collect_list(F.struct(
-        F.col("rep.pos").alias("pos"), "size", "seed", "d", "least", "wide")).alias("parts"))  # of one document
-    names = ("seed", "d", "least", "wide")
-    schema = pa.schema([*((n, pa.bool_() if n == "wide" else pa.int64()) for n in names), ("words", pa.binary())])
+        F.col("rep.pos").alias("pos"), "size", *names)).alias("parts"))  # of one document
+    schema = pa.schema([*((n, pa.bool_() if n in ("wide", "alone") else pa.int64()) for n in names), ("words", pa.binary())])
 
     def run(batches):
         for b in batches:
@@ -166,7 +166,7 @@ def fetch(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*parts[2:], pa.array(words, pa.binary())], schema=schema)
 
     joined = _squeezed(docs).drop("doc_id").join(by_doc, ["k", "th"]).select("z", "parts")
-    return joined.mapInArrow(run, "seed long, d long, least long, wide boolean, words binary")
+    return joined.mapInArrow(run, "seed long, d long, least long, wide boolean, alone boolean, words binary")
 
 
 def _runs(row: np.ndarray) -> list[dict]:
@@ -199,8 +199,10 @@ def search_shards(segments: DataFrame, shards: int, window: int) -> DataFrame:
             out["windows"] = None
         return out
 
+    # a seed that fills a shard has one of its own, so no shard holds two of them
     shard = F.when(F.col("wide"), shards + bucket(shards, "seed", "d")).otherwise(bucket(shards, "seed"))
-    return segments.withColumn("shard", shard).groupBy("shard").applyInPandas(
+    own = F.when(F.col("alone") & ~F.col("wide"), F.col("seed"))
+    return segments.withColumn("shard", shard).withColumn("own", own).groupBy("shard", "own").applyInPandas(
         search, f"seed long, d long, least long, runs {RUNS}, windows array<long>")
 
 
@@ -221,7 +223,7 @@ def repeated_intervals(docs: DataFrame, window: int = WINDOW, k: int = SEED_WORD
         found.groupBy("seed", "d", "size").agg(F.min("k").alias("least"), F.min(F.struct("k", "th", "pos")).alias("rep")), "substring-segments")
     width = staged(segments.groupBy("seed").agg(F.count("*").alias("n")), "substring-width")
     segments = staged(segments.join(width, "seed"), "substring-wanted")
-    several = segments.where("n > 1").withColumn("wide", F.col("n") > wide)
+    several = segments.where("n > 1").withColumn("wide", F.col("n") > wide).withColumn("alone", F.col("n") > SHARD_SEGMENTS)
     n = several.where("not wide").count()
     searched = staged(search_shards(fetch(docs, several), max(64, -(-n // SHARD_SEGMENTS)), window), "substring-searched")
     # a seed with one segment needs no search: all its windows start in that segment's documents
