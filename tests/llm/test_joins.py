@@ -8,6 +8,7 @@ from popdist.llm.components import components
 from popdist.llm.fmindex import FmIndex, WaveletMatrix, suffix_order
 from popdist.llm.substring_dedup import LAST_ID, dedup_substrings, seeds, sliding
 from popdist.llm.vptree import VPTree, nearest
+from tests_llm_helpers import linked_classes, low
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -192,11 +193,12 @@ def test_prefixes_shorten_only_as_far_as_the_links_ask_for(spark):
     text = lambda g: [f"{g}w{i}" for i in range(200)]
     near = [(g * 10 + i, " ".join([*text(g), f"end{i}"])) for g in range(40) for i in range(3)]  # all at 0.99
     far = [(10_000 + i, " ".join([*text("f")[:180 + i], *(f"x{i}{j}" for j in range(20 - i))])) for i in range(4)]  # near 0.8
-    for rows, last in ((near, J.DEPTH), (near + far, J.shortest_prefix()), (near[::3], J.shortest_prefix())):
+    for rows, last in ((near, [J.DEPTH]), (near + far, range(J.shortest_prefix(), J.DEPTH)), (near[::3], [J.shortest_prefix()])):
         levels = []
         docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("_row", F.monotonically_increasing_id())
         got = J._classed(J.staged(docs, "forest-docs"), "_row", levels).collect()
-        assert [k for k, _ in levels] == list(range(J.DEPTH, last - 1, -1))
+        assert levels[-1][0] in last and [k for k, _ in levels] == list(range(J.DEPTH, levels[-1][0] - 1, -1))
+        assert all(recall < J.RECALL for _, recall in levels[:-1])
         classes = linked_classes(rows)
         assert {r.doc_id: r.top.doc_id for r in got} == classes
 
