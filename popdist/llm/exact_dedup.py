@@ -136,8 +136,8 @@ def check_bytes(docs: DataFrame, rows: DataFrame, multi: DataFrame, digest_bytes
     """
     members = rows.join(multi.select("digest"), "digest", "left_semi")
     if row is None:
-        ids = members.select("k").distinct()
-        texts = id_text(docs).withColumn("k", F.coalesce("doc_id", F.lit(NO_ID))).join(ids, "k", "left_semi").drop("k")
+        ids = staged(members.select("k").distinct(), "dedup-members")
+        texts = by_rows(id_text(docs).withColumn("k", F.coalesce("doc_id", F.lit(NO_ID))), ids, "k", "left_semi").select("doc_id", "text")
     else:
         texts = by_rows(_id_text(docs, row), staged(members.select("row"), "dedup-members"), "row", "left_semi").select(
             "doc_id", "text", "row")
