@@ -328,20 +328,21 @@ def _classed(docs: DataFrame, row: str, levels: list[tuple[int, float]] | None =
 
     found, links, done = None, {}, None
     for k in range(DEPTH, shortest_prefix() - 1, -1):
-        in_blocks = _members(labels, k).join(classes.select("cid", "sig"), "cid") \
-            .select(*NODE, "cid", "own", "sig").repartition(*NODE).sortWithinPartitions(*NODE, "cid")
-        places = _places(in_blocks, k)
-        # the whole shingle sets of the classes that have a candidate, those of earlier levels made already
-        new = places.select("cid").distinct()
-        if done is not None:
-            new = new.join(done.select("cid"), "cid", "left_anti")
-        wanted = classes.join(new, "cid").select("cid", "sig", "copies", F.col("top.row").alias("row"))
-        sets = staged(_squeezed(by_rows(keyed, staged(wanted.select("row"), "jaccard-wanted"), "row", "left_semi"), "row long")
-                      .join(wanted, "row").select("cid", "sig", "copies", "z")
-                      .mapInArrow(shingles, "cid long, sig binary, copies long, shingles binary"), "jaccard-sets")
-        done = sets if done is None else done.unionByName(sets)
-        full = places.join(done, "cid").repartition(*NODE).sortWithinPartitions(*NODE, "cid")
-        level = _verified(full, k)
+        with freed(docs.sparkSession) as keep:  # a level's nodes, members and places go when it is verified
+            in_blocks = _members(labels, k).join(classes.select("cid", "sig"), "cid") \
+                .select(*NODE, "cid", "own", "sig").repartition(*NODE).sortWithinPartitions(*NODE, "cid")
+            places = _places(in_blocks, k)
+            # the whole shingle sets of the classes that have a candidate, those of earlier levels made already
+            new = places.select("cid").distinct()
+            if done is not None:
+                new = new.join(done.select("cid"), "cid", "left_anti")
+            wanted = classes.join(new, "cid").select("cid", "sig", "copies", F.col("top.row").alias("row"))
+            sets = keep(staged(_squeezed(by_rows(keyed, staged(wanted.select("row"), "jaccard-wanted"), "row", "left_semi"), "row long")
+                          .join(wanted, "row").select("cid", "sig", "copies", "z")
+                          .mapInArrow(shingles, "cid long, sig binary, copies long, shingles binary"), "jaccard-sets"))
+            done = sets if done is None else done.unionByName(sets)
+            full = places.join(done, "cid").repartition(*NODE).sortWithinPartitions(*NODE, "cid")
+            level = keep(_verified(full, k))
         for r in level.where("bins is not null").select(F.posexplode("bins").alias("i", "n")).groupBy("i").agg(F.sum("n").alias("n")).collect():
             if r.n:
                 links[r.i] = links.get(r.i, 0) + r.n
