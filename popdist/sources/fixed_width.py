@@ -95,3 +95,11 @@ def format_fixed_width(df: DataFrame, specs, width: int | None = None) -> DataFr
             parts.append(F.lit(" " * span))
         pos = a + span
     return df.select(F.concat(*parts).alias("value"))
+
+
+def write_fixed_width(df: DataFrame, specs, path: str, width: int | None = None) -> None:
+    """``df`` staged as fixed-width lines, gzip files that ``read_fixed_width``
+    reads as they are: most of a line is the blanks of fields that a stand-in
+    lacks, and they take no disk.  A file is one writing task's, so its lines
+    need not be split."""
+    format_fixed_width(df, specs, width).write.mode("overwrite").option("compression", "gzip").text(path)
