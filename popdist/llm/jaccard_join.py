@@ -101,7 +101,7 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def _described(docs: DataFrame) -> DataFrame:
-    """(doc_id, row, set, sig, blank) of every row; set and sig are null where
+    """(doc_id, row, name, set, sig, blank) of every row; set and sig are null where
     there are no shingles, blank (a 128-bit name of the text) elsewhere."""
 
     def run(batches):
@@ -109,18 +109,37 @@ def _described(docs: DataFrame) -> DataFrame:
             for s, texts in text_slices(b.column("text")):
                 sets = shingle_sets(texts)
                 full = [i for i, x in enumerate(sets) if len(x)]
-                name, sig = [None] * len(sets), [None] * len(sets)
+                sets_as, sig = [None] * len(sets), [None] * len(sets)
                 for i, row in zip(full, signatures([sets[i] for i in full]) if full else (), strict=True):
-                    name[i], sig[i] = hashlib.blake2b(sets[i].tobytes(), digest_size=16).digest(), row.tobytes()
+                    sets_as[i], sig[i] = hashlib.blake2b(sets[i].tobytes(), digest_size=16).digest(), row.tobytes()
                 n = len(texts)
                 yield pa.RecordBatch.from_pydict(
-                    {c: b.column(c).slice(s.start, n) for c in ("doc_id", "row")}
-                    | {"set": pa.array(name, pa.binary()), "sig": pa.array(sig, pa.binary()),
+                    {c: b.column(c).slice(s.start, n) for c in ("doc_id", "row", "name")}
+                    | {"set": pa.array(sets_as, pa.binary()), "sig": pa.array(sig, pa.binary()),
                        "blank": pa.array([None if len(x) else hashlib.blake2b(t, digest_size=16).digest()
                                           for x, t in zip(sets, texts, strict=True)], pa.binary())})
 
-    return docs.select("doc_id", "row", "text").mapInArrow(
-        run, "doc_id long, row long, set binary, sig binary, blank binary")
+    return docs.select("doc_id", "row", "name", "text").mapInArrow(
+        run, "doc_id long, row long, name binary, set binary, sig binary, blank binary")
+
+
+def _keyed(docs: DataFrame, row: str | None) -> DataFrame:
+    """(doc_id, text, row, name): null texts as empty; name is 128 bits of doc_id
+    and text, by which a row's text is found again in ``docs``; row is the column
+    ``row``, or else a number that holds only for the one read that stages it."""
+    doc_id, text = F.col("doc_id").cast("long"), F.coalesce("text", F.lit(""))
+    told = F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(" "), text)
+    return docs.select(doc_id.alias("doc_id"), text.alias("text"),
+                       (F.monotonically_increasing_id() if row is None else F.col(row)).alias("row"),
+                       F.unhex(F.substring(F.sha2(told, 256), 1, 32)).alias("name"))
+
+
+def _texts(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``wanted`` (with a unique ``name``) and z, the compressed text of that name.
+    Rows are chosen by 64 bits of the name, then joined by all of it, once each."""
+    of = lambda d: d.withColumn("h", F.xxhash64("name"))
+    texts = by_rows(of(keyed.select("name", "text")), staged(of(wanted).select("h"), "jaccard-wanted"), "h", "left_semi")
+    return _squeezed(texts, "name binary").groupBy("name").agg(F.first("z").alias("z")).join(wanted, "name")
 
 
 def _labels(classes: DataFrame) -> DataFrame:
@@ -301,20 +320,21 @@ def _verified(full: DataFrame, k: int) -> DataFrame:
     return staged(full.mapInArrow(verify, "cid long, links long, root long, bins array<long>"), "jaccard-found")
 
 
-def _classed(docs: DataFrame, row: str, levels: list[tuple[int, float]] | None = None) -> DataFrame:
+def _classed(docs: DataFrame, row: str | None, levels: list[tuple[int, float]] | None = None) -> DataFrame:
     """(doc_id, row, top, n_links, blank) of every row of ``docs``, whose column
-    ``row`` has unique staged numbers.  ``top`` (none, doc_id, row) is the row that
-    stands for the row's class: the smallest doc_id's, or where no row has a
-    doc_id (``none``) the smallest row number's.  ``levels`` is told the prefix
-    lengths searched and the recall measured after each."""
-    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"),
-                        F.col(row).alias("row"))
+    ``row`` has unique staged numbers; without one, rows get numbers here.
+    ``docs`` is read again for the texts that are compared.  ``top`` (none,
+    doc_id, row) is the row that stands for the row's class: the smallest
+    doc_id's, or where no row has a doc_id (``none``) the smallest row number's.
+    ``levels`` is told the prefix lengths searched and the recall measured after
+    each."""
+    keyed = _keyed(docs, row)
     rows = staged(_described(keyed), "jaccard-rows")
     own = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
     classes = staged(
         rows.where("set is not null").groupBy("set").agg(
-            F.min(own).alias("top"), F.count("*").alias("copies"), F.first("sig").alias("sig"))
-        .withColumn("cid", F.monotonically_increasing_id()), "jaccard-classes")
+            F.min(F.struct(own.alias("top"), "name")).alias("of"), F.count("*").alias("copies"), F.first("sig").alias("sig"))
+        .select("set", "of.top", "of.name", "copies", "sig", F.monotonically_increasing_id().alias("cid")), "jaccard-classes")
     labels = _labels(classes)
 
     def shingles(batches):
@@ -336,10 +356,9 @@ def _classed(docs: DataFrame, row: str, levels: list[tuple[int, float]] | None =
             new = places.select("cid").distinct()
             if done is not None:
                 new = new.join(done.select("cid"), "cid", "left_anti")
-            wanted = classes.join(new, "cid").select("cid", "sig", "copies", F.col("top.row").alias("row"))
-            sets = keep(staged(_squeezed(by_rows(keyed, staged(wanted.select("row"), "jaccard-wanted"), "row", "left_semi"), "row long")
-                          .join(wanted, "row").select("cid", "sig", "copies", "z")
-                          .mapInArrow(shingles, "cid long, sig binary, copies long, shingles binary"), "jaccard-sets"))
+            wanted = classes.join(new, "cid").select("cid", "sig", "copies", "name")
+            sets = keep(staged(_texts(keyed, wanted).select("cid", "sig", "copies", "z").mapInArrow(
+                shingles, "cid long, sig binary, copies long, shingles binary"), "jaccard-sets"))
             done = sets if done is None else done.unionByName(sets)
             full = places.join(done, "cid").repartition(*NODE).sortWithinPartitions(*NODE, "cid")
             level = keep(_verified(full, k))
@@ -377,7 +396,7 @@ def join(docs: DataFrame) -> DataFrame:
     Rows without doc_id belong to their class like others; a class where no
     row has a doc_id is named by a number of its own, from ``NO_ID`` + 1 on.
     """
-    return _classed(numbered(docs.select("doc_id", "text"), "jaccard-docs"), "_row").select(
+    return _classed(docs.select("doc_id", "text"), None).select(
         "doc_id", F.coalesce("top.doc_id", F.col("top.row") + F.lit(NO_ID + 1)).alias("class_id"), "n_links")
 
 

@@ -3,6 +3,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
+from popdist.llm import common
 from popdist.llm import jaccard_join as J
 from popdist.llm.components import components
 from popdist.llm.fmindex import FmIndex, WaveletMatrix, suffix_order
@@ -167,6 +168,29 @@ def test_rows_without_id_belong_to_their_class(spark):
     assert sorted(r.doc_id for r in kept if r.doc_id is not None) == [10, 11]
 
 
+@pytest.mark.parametrize("broadcast", [1000, 0])
+def test_join_stages_no_texts(spark, monkeypatch, broadcast):
+    """The documents are not copied; texts are found again by doc_id and text,
+    also where rows, doc_ids or texts repeat and where ids are missing."""
+    monkeypatch.setattr(common, "BROADCAST_ROWS", broadcast)
+    seen = {}
+
+    def spy(df, name):
+        seen[name] = df.columns
+        return staged(df, name)
+
+    staged = common.staged
+    monkeypatch.setattr(common, "staged", spy)
+    monkeypatch.setattr(J, "staged", spy)
+    text = [" ".join(f"{g}{i}" for i in range(60)) for g in "abcd"]
+    rows = [(1, f"{text[0]} end0"), (1, f"{text[0]} end0"), (1, f"{text[0]} end1"), (1, text[1]), (2, f"{text[0].upper()} end0")]
+    rows += [(None, text[1]), (None, f"{text[1]} end2"), (None, f"{text[1]} end2"), (None, f"1 {text[1]}"), (3, f"3 {text[1]}")]
+    rows += [(None, text[2]), (None, f"{text[2]} end3"), (4, text[3]), (5, f"{text[3]} end4"), (5, None), (None, " ")]
+    got = J.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter((r.doc_id, None if r.class_id < 0 else r.class_id, r.n_links) for r in got) == linked(rows)
+    assert "jaccard-sets" in seen and not any("text" in c for c in seen.values())
+
+
 def test_different_texts_without_id_have_different_names(spark):
     from popdist.llm.substring_dedup import _keyed
 
